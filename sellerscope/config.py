@@ -36,6 +36,8 @@ UNKNOWN = "Unknown"
 RISK_BINS = (0.0, 0.3, 0.6, 0.8, 1.0)
 RISK_LABELS = ("Low", "Medium", "High", "Critical")
 HIGH_RISK_LABELS = ("High", "Critical")
+# The notebook labels the same bins with a suffix.
+NOTEBOOK_RISK_LABELS = ("Low Risk", "Medium Risk", "High Risk", "Critical Risk")
 # Declared revenue bands: (-0.1, 0] (0, 1000] (1000, 10000] (10000, inf).
 REVENUE_BINS = (-0.1, 0.0, 1000.0, 10000.0, float("inf"))
 REVENUE_LABELS = ("Zero", "Low (1-1K)", "Medium (1K-10K)", "High (>10K)")

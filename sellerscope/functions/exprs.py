@@ -92,9 +92,9 @@ def _left_open_bins(c: Column, edges, labels) -> Column:
     return expr
 
 
-def risk_category(risk) -> Column:
+def risk_category(risk, labels=C.RISK_LABELS) -> Column:
     """(0,.3] Low, (.3,.6] Medium, (.6,.8] High, (.8,1] Critical; 0 -> NULL."""
-    return _left_open_bins(_c(risk), C.RISK_BINS, C.RISK_LABELS)
+    return _left_open_bins(_c(risk), C.RISK_BINS, labels)
 
 
 def revenue_band(revenue) -> Column:

@@ -9,7 +9,8 @@ from sellerscope import config as C
 from sellerscope.functions import overall_risk_max, overall_risk_override, risk_category
 
 
-def formula_scores(labelled: DataFrame, dormant_days: int = 60) -> DataFrame:
+def formula_scores(labelled: DataFrame, dormant_days: int = 60, override: bool = False,
+                   labels=C.RISK_LABELS) -> DataFrame:
     """Deterministic stand-in for model output (no fit), so that ranking,
     bucketing and the evaluation operators have an exact SQL oracle.
 
@@ -23,14 +24,14 @@ def formula_scores(labelled: DataFrame, dormant_days: int = 60) -> DataFrame:
         "dormancy_risk": F.when(F.col("never_activated") == 1, F.lit(None).cast("double"))
                           .otherwise(d / (d + F.lit(float(dormant_days)))),
     })
-    return combine_risk(out)
+    return combine_risk(out, override, labels)
 
 
-def combine_risk(df: DataFrame, override: bool = False) -> DataFrame:
+def combine_risk(df: DataFrame, override: bool = False, labels=C.RISK_LABELS) -> DataFrame:
     """overall_churn_risk (max of both, or the notebook's override) + category."""
     comb = overall_risk_override if override else overall_risk_max
     out = df.withColumn("overall_churn_risk", comb("never_activated_risk", "dormancy_risk"))
-    return out.withColumn("risk_category", risk_category("overall_churn_risk"))
+    return out.withColumn("risk_category", risk_category("overall_churn_risk", labels))
 
 
 def _category_table(spark: SparkSession) -> DataFrame:

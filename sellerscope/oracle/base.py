@@ -47,22 +47,23 @@ WON = ("(TIMESTAMP '1995-01-01 00:00:00' + to_days(CAST((p_partkey * 37) % 2000
 _STATUS = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in FX.ORDER_STATUS.items())
 
 
-def _risk_case(c: str) -> str:
-    e, lab = C.RISK_BINS, C.RISK_LABELS
-    whens = " ".join(f"WHEN {c} > {e[i]} AND {c} <= {e[i + 1]} THEN '{lab[i]}'" for i in range(len(lab)))
+def _risk_case(c: str, labels=C.RISK_LABELS) -> str:
+    e, lab = C.RISK_BINS, labels
+    whens = " ".join(f"WHEN {c} > CAST({e[i]} AS DOUBLE) AND {c} <= CAST({e[i + 1]} AS DOUBLE) THEN '{lab[i]}'"
+                     for i in range(len(lab)))
     return f"CASE {whens} END"
 
 
-def risk_case(c: str) -> str:
-    return _risk_case(c)
+def risk_case(c: str, labels=C.RISK_LABELS) -> str:
+    return _risk_case(c, labels)
 
 
 def revenue_case(c: str) -> str:
     e, lab = C.REVENUE_BINS, C.REVENUE_LABELS
     parts = []
     for i in range(len(lab)):
-        hi = "'inf'::DOUBLE" if e[i + 1] == float("inf") else repr(e[i + 1])
-        parts.append(f"WHEN {c} > {e[i]} AND {c} <= {hi} THEN '{lab[i]}'")
+        hi = "'inf'::DOUBLE" if e[i + 1] == float("inf") else f"CAST({e[i + 1]!r} AS DOUBLE)"
+        parts.append(f"WHEN {c} > CAST({e[i]!r} AS DOUBLE) AND {c} <= {hi} THEN '{lab[i]}'")
     return f"CASE {' '.join(parts)} END"
 
 
@@ -182,6 +183,17 @@ SELECT *, CASE WHEN dormancy_risk IS NULL THEN never_activated_risk
                ELSE greatest(never_activated_risk, dormancy_risk) END AS overall_churn_risk
 FROM f_scored0""",
     "f_scored": f"SELECT *, {risk_case('overall_churn_risk')} AS risk_category FROM f_scored1",
+    # notebook scoring: dormancy risk overrides, suffixed category labels
+    "f_nb_scored0": """
+SELECT *,
+  CAST((seller_id * 31) % 1000 AS DOUBLE) / CAST(1000 AS DOUBLE) AS never_activated_risk,
+  CASE WHEN never_activated = 1 THEN NULL
+       ELSE CAST(days_since_last_sale AS DOUBLE) / (CAST(days_since_last_sale AS DOUBLE) + CAST(60 AS DOUBLE))
+  END AS dormancy_risk
+FROM f_nb""",
+    "f_nb_scored1": "SELECT *, coalesce(dormancy_risk, never_activated_risk) AS overall_churn_risk FROM f_nb_scored0",
+    "f_nb_scored": f"SELECT *, {risk_case('overall_churn_risk', C.NOTEBOOK_RISK_LABELS)} AS risk_category "
+                   "FROM f_nb_scored1",
 }
 
 

@@ -51,3 +51,10 @@ class Inputs:
     @cached_property
     def scored(self) -> DataFrame:
         return risk.formula_scores(self.labelled, self.params.dormant_days)
+
+    @cached_property
+    def notebook_scored(self) -> DataFrame:
+        """Notebook scoring: dormancy risk overrides, suffixed labels."""
+        from sellerscope import config as C
+        return risk.formula_scores(self.notebook, self.params.dormant_days, override=True,
+                                   labels=C.NOTEBOOK_RISK_LABELS)
