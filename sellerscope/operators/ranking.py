@@ -204,3 +204,37 @@ def histogram(df: DataFrame, value_col: str, bins: int, lo: float | None = None,
         .alias("bin_upper"),
         F.coalesce("count", F.lit(0)).cast("long").alias("count"))
     return out.orderBy("bin")
+
+
+def histogram_shift(reference: DataFrame, new: DataFrame, value_col: str, bins: int = 30) -> DataFrame:
+    """Score drift: both batches binned on shared equal-width edges (the
+    range of the two together), with counts, shares and the share change."""
+    a = reference.select(F.col(value_col).cast("double").alias("_v"), F.lit(0).alias("_side"))
+    b = new.select(F.col(value_col).cast("double").alias("_v"), F.lit(1).alias("_side"))
+    both = a.unionByName(b).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    stats = both.agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    stats = stats.select(
+        F.when(F.col("_lo") == F.col("_hi"), F.col("_lo") - 0.5).otherwise(F.col("_lo")).alias("_lo"),
+        F.when(F.col("_lo") == F.col("_hi"), F.col("_hi") + 0.5).otherwise(F.col("_hi")).alias("_hi"))
+    norm = F.lit(float(bins)) / (F.col("_hi") - F.col("_lo"))
+    idx = F.floor((F.col("_v") - F.col("_lo")) * norm).cast("int")
+    idx = F.when(idx >= bins, F.lit(bins - 1)).otherwise(idx)
+    counts = (both.crossJoin(F.broadcast(stats)).groupBy(idx.alias("bin"))
+              .agg(F.sum((F.col("_side") == 0).cast("long")).alias("reference_count"),
+                   F.sum((F.col("_side") == 1).cast("long")).alias("new_count")))
+    totals = both.agg(F.sum((F.col("_side") == 0).cast("long")).alias("_na"),
+                      F.sum((F.col("_side") == 1).cast("long")).alias("_nb"))
+    grid = (df_range(reference, bins).crossJoin(F.broadcast(stats)).crossJoin(F.broadcast(totals)))
+    step = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
+    out = grid.join(counts, "bin", "left").select(
+        "bin", (F.col("_lo") + F.col("bin") * step).alias("bin_lower"),
+        F.coalesce("reference_count", F.lit(0)).cast("long").alias("reference_count"),
+        F.coalesce("new_count", F.lit(0)).cast("long").alias("new_count"),
+        F.try_divide(F.coalesce("reference_count", F.lit(0)).cast("double"), F.col("_na")).alias("reference_share"),
+        F.try_divide(F.coalesce("new_count", F.lit(0)).cast("double"), F.col("_nb")).alias("new_share"))
+    return out.withColumn("share_change", F.col("new_share") - F.col("reference_share")).orderBy("bin")
+
+
+def df_range(df: DataFrame, n: int) -> DataFrame:
+    """Bin ids 0..n-1 (a bounded grid, so empty bins are listed)."""
+    return df.sparkSession.range(n).select(F.col("id").cast("int").alias("bin"))
