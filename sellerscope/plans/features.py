@@ -53,7 +53,7 @@ def pre_activation_pipeline(wide: bool = False) -> Pipeline:
     if wide:
         stages = _encoder_stages("unknown", "nan")
         extra = SQLTransformer(statement=(
-            "SELECT *, " + _sql_fill_numeric(PRE_NUMERIC).replace(" AS ", " AS _f_") + ", "
+            "SELECT *, " + ", ".join(f"CAST(coalesce({c}, 0) AS DOUBLE) AS _f_{c}" for c in PRE_NUMERIC) + ", "
             "CAST(CASE WHEN CAST(has_company AS STRING) IN ('True','true') THEN 1 ELSE 0 END AS DOUBLE)"
             " AS has_company_binary, "
             "CAST(CASE WHEN CAST(has_gtin AS STRING) IN ('True','true') THEN 1 ELSE 0 END AS DOUBLE)"
