@@ -63,7 +63,7 @@ def run_contract(df: DataFrame, rules: list[Rule]) -> DataFrame:
     parts = []
     for i, r in enumerate(value_rules):
         parts.append((r, F.coalesce(F.col(f"r{i}"), F.lit(0)).cast("long")))
-    out = one.select(*[F.struct(F.lit(r.name).alias("rule"), F.lit(r.column).alias("column"),
+    out = one.select(*[F.struct(F.lit(r.name).alias("rule"), F.lit(r.column).alias("column_name"),
                                 v.alias("violations"), F.lit(rules.index(r)).alias("rule_order"))
                        .alias(f"s{i}") for i, (r, v) in enumerate(parts)]) if parts else None
     tables = []
@@ -73,17 +73,17 @@ def run_contract(df: DataFrame, rules: list[Rule]) -> DataFrame:
     for r in rules:
         order = rules.index(r)
         if r.column not in df.columns:
-            tables.append(spark.range(1).select(F.lit(r.name).alias("rule"), F.lit(r.column).alias("column"),
+            tables.append(spark.range(1).select(F.lit(r.name).alias("rule"), F.lit(r.column).alias("column_name"),
                                                 F.lit(1).cast("long").alias("violations"),
                                                 F.lit(order).alias("rule_order")))
         elif r.kind == "unique":
             dup = (df.filter(F.col(r.column).isNotNull()).groupBy(r.column).count()
                    .filter(F.col("count") > 1).agg(F.coalesce(F.sum("count"), F.lit(0)).alias("violations")))
-            tables.append(dup.select(F.lit(r.name).alias("rule"), F.lit(r.column).alias("column"),
+            tables.append(dup.select(F.lit(r.name).alias("rule"), F.lit(r.column).alias("column_name"),
                                      F.col("violations").cast("long"), F.lit(order).alias("rule_order")))
         elif r.kind == "dtype":
             ok = isinstance(df.schema[r.column].dataType, _DTYPES[r.arg])
-            tables.append(spark.range(1).select(F.lit(r.name).alias("rule"), F.lit(r.column).alias("column"),
+            tables.append(spark.range(1).select(F.lit(r.name).alias("rule"), F.lit(r.column).alias("column_name"),
                                                 F.lit(0 if ok else 1).cast("long").alias("violations"),
                                                 F.lit(order).alias("rule_order")))
     res = tables[0]

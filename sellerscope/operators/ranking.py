@@ -28,6 +28,13 @@ HASH_BITS = 60
 _BUCKET = "_bucket"
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into ``spark.checkpoint.dir`` (set only if unset)."""
+    from sellerscope.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def value_edges(df: DataFrame, col: str, buckets: int = DEFAULT_BUCKETS,
                 rel_err: float = 0.001) -> list[float]:
     """At most ``buckets - 1`` sorted split points of ``col`` (driver literals)."""
@@ -39,14 +46,16 @@ def value_edges(df: DataFrame, col: str, buckets: int = DEFAULT_BUCKETS,
 
 
 def bucket_of(value: Column, edges: list[float]) -> Column:
-    """Number of edges strictly below ``value`` (monotone in value)."""
-    if not edges:
-        return F.lit(0)
-    expr = None
-    for e in edges:
-        term = (value > F.lit(e)).cast("int")
-        expr = term if expr is None else expr + term
-    return expr
+    """Number of edges strictly below ``value`` (monotone in value), as a
+    balanced binary search of ``when`` branches: depth log2(B), so the
+    generated code stays small. NULL goes to bucket 0."""
+    def search(lo: int, hi: int) -> Column:
+        # edges[:lo] are below value, edges[hi:] are not
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(value > F.lit(edges[mid]), search(mid + 1, hi)).otherwise(search(lo, mid))
+    return search(0, len(edges))
 
 
 def hash_rank_key(key: Column, seed: int) -> Column:
@@ -87,6 +96,11 @@ def prefix_sums(df: DataFrame, value_col: str, sums: dict[str, Column],
            .groupBy(*partition_cols, value_col, "_ord")
            .agg(*[F.sum(c).alias(n) for n, c in sums.items()]))
     if edges is None:
+        # the distinct-value table feeds two jobs (edges, then ranks): write
+        # it once to the shared checkpoint folder instead of recomputing the
+        # whole input lineage; it is at most as large as the input, usually
+        # far smaller, and a lost executor re-reads it rather than recomputing
+        agg = materialize(agg)
         edges = value_edges(agg, "_ord", buckets)
     bucketed = agg.withColumn(_BUCKET, bucket_of(F.col("_ord"), edges))
     w = (Window.partitionBy(*partition_cols, _BUCKET).orderBy("_ord")

@@ -35,7 +35,8 @@ def register(name: str, sql: str | None = None):
 
 def _load_modules() -> None:
     # importing the query modules fills REGISTRY
-    from sellerscope.plans import queries_analysis, queries_ops, queries_ranking, queries_segments  # noqa: F401
+    from sellerscope.plans import (queries_analysis, queries_ml, queries_ops, queries_quality,  # noqa: F401
+                                   queries_ranking, queries_segments)
 
 
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -217,3 +217,25 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def cross_validate(data: DataFrame, label_col: str, feature_pipeline: Pipeline, algorithm: str,
+                   params: ChurnParams = DEFAULT_PARAMS) -> DataFrame:
+    """Mean and (population) std of AUC over stratified hash folds, with
+    ``CrossValidator(foldCol=...)``: one row (cv_auc_mean, cv_auc_std)."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    from sellerscope.operators.ranking import stratified_folds
+
+    base = data.withColumn("label", F.col(label_col).cast("double"))
+    folded = class_weights(stratified_folds(base, "label", "seller_id", params.cv_folds, params.seed), "label")
+    n = folded.count()
+    est = Pipeline(stages=[*feature_pipeline.getStages(), make_estimator(algorithm, n, params)])
+    cv = CrossValidator(estimator=est, estimatorParamMaps=ParamGridBuilder().build(),
+                        evaluator=BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC"),
+                        foldCol="fold", numFolds=params.cv_folds, seed=params.seed)
+    model = cv.fit(folded)
+    return data.sparkSession.createDataFrame(
+        [(algorithm, float(model.avgMetrics[0]), float(model.stdMetrics[0]))],
+        "algorithm string, cv_auc_mean double, cv_auc_std double")
