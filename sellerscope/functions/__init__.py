@@ -8,6 +8,7 @@ from sellerscope.functions.exprs import (  # noqa: F401
     currency_brl,
     days_between,
     exact_avg,
+    exact_stddev_samp,
     exact_sum,
     pct,
     flag,

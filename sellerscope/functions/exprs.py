@@ -180,3 +180,19 @@ def exact_avg(c) -> Column:
 def pct(num, den) -> Column:
     """num / den * 100 rounded to 1 dp (half even); NULL when den is 0."""
     return round1(F.try_divide(_c(num).cast("double"), _c(den).cast("double")) * 100)
+
+
+def exact_stddev_samp(c) -> Column:
+    """Sample standard deviation of a money column, exact up to the final
+    sqrt: with cents x, var = (n * sum(x^2) - sum(x)^2) / (n (n - 1)) where the
+    numerator is exact integer (decimal) arithmetic, so the result does not
+    depend on summation order and equal values give exactly 0. NULL for n < 2.
+    The sums are algebraic, so partial aggregation before the shuffle holds.
+    """
+    cents = F.round(_c(c).cast("decimal(18,2)") * 100, 0).cast("decimal(38,0)")
+    n = F.count(cents)
+    s1 = F.sum(cents)
+    s2 = F.sum(cents * cents)
+    num = (n.cast("decimal(38,0)") * s2 - s1 * s1).cast("double")
+    var = num / (n.cast("double") * (n - 1).cast("double")) / F.lit(10000.0)
+    return F.when(n > 1, F.sqrt(var))

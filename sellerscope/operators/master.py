@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sellerscope import config as C
-from sellerscope.functions import days_between, money
+from sellerscope.functions import days_between, exact_stddev_samp, money
 
 LEAD_COLUMNS = ("mql_id", "first_contact_date", "landing_page_id", "origin")
 GEO_COLUMNS = ("seller_id", "seller_city", "seller_state")
@@ -68,7 +68,7 @@ def seller_activity(seller_orders: DataFrame) -> DataFrame:
         F.countDistinct("customer_id").alias("unique_customers"),
         F.sum(price).cast("double").alias("total_gmv"),
         (F.sum(price).cast("double") / F.count("price")).alias("avg_order_value"),
-        F.stddev_samp(F.col("price").cast("double")).alias("std_order_value"),
+        exact_stddev_samp("price").alias("std_order_value"),
         F.sum(money("freight_value")).cast("double").alias("total_freight"),
         F.min("order_purchase_timestamp").alias("first_sale_date"),
         F.max("order_purchase_timestamp").alias("last_sale_date"),

@@ -105,7 +105,7 @@ def segment_revenue_band(nb: DataFrame) -> DataFrame:
                                   "Declared_Revenue string, band_order int")
     banded = nb.withColumn("_band", revenue_band("declared_monthly_revenue")).filter(F.col("_band").isNotNull())
     counts = _small_table(banded, F.col("_band"), "Declared_Revenue")
-    out = F.broadcast(bands).join(counts, "Declared_Revenue", "left").select(
+    out = bands.join(counts, "Declared_Revenue", "left").select(
         "Declared_Revenue", "band_order",
         *[F.coalesce(c, F.lit(0)).cast("long").alias(c)
           for c in ("Total_Sellers", "Churned", "Never_Activated", "Active")],

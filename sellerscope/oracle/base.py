@@ -37,6 +37,14 @@ def xsum(c: str) -> str:
     return f"CAST(sum(CAST({c} AS DECIMAL(20,2))) AS DOUBLE)"
 
 
+def xstd(c: str) -> str:
+    """Exact sample std in cents (same arithmetic as functions.exact_stddev_samp)."""
+    cents = f"CAST(round(CAST({c} AS DECIMAL(18,2)) * 100, 0) AS HUGEINT)"
+    num = f"CAST(count({c}) * sum({cents} * {cents}) - sum({cents}) * sum({cents}) AS DOUBLE)"
+    return (f"CASE WHEN count({c}) > 1 THEN sqrt({num} / (CAST(count({c}) AS DOUBLE) * "
+            f"CAST(count({c}) - 1 AS DOUBLE)) / 10000.0) END")
+
+
 def xavg(c: str) -> str:
     return f"({xsum(c)} / count({c}))"
 
@@ -121,7 +129,7 @@ SELECT seller_id,
   count(DISTINCT customer_id) AS unique_customers,
   {xsum('price')} AS total_gmv,
   {xsum('price')} / count(price) AS avg_order_value,
-  stddev_samp(price) AS std_order_value,
+  {xstd('price')} AS std_order_value,
   {xsum('freight_value')} AS total_freight,
   min(order_purchase_timestamp) AS first_sale_date,
   max(order_purchase_timestamp) AS last_sale_date,

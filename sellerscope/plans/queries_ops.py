@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sellerscope import config as C
 from sellerscope import functions as X
 from sellerscope.operators import cohorts, interventions, master, segments
-from sellerscope.oracle.base import days, pct, q, revenue_case, risk_case, with_ctes
+from sellerscope.oracle.base import days, pct, q, revenue_case, risk_case, with_ctes, xstd
 from sellerscope.plans.catalog import register
 from sellerscope.sources import registry, sinks
 from sellerscope.sources import schemas as S
@@ -350,11 +350,11 @@ def q_end_date_scalar(inp):
     return master.dataset_end_date(inp.tables["orders"])
 
 
-@register("seller_activity_supplier", sql=with_ctes("""
+@register("seller_activity_supplier", sql=with_ctes(f"""
 SELECT seller_id, count(DISTINCT order_id) AS total_orders, count(DISTINCT customer_id) AS unique_customers,
   CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS total_gmv,
   CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(price) AS avg_order_value,
-  stddev_samp(price) AS std_order_value,
+  {xstd('price')} AS std_order_value,
   CAST(sum(CAST(freight_value AS DECIMAL(18,2))) AS DOUBLE) AS total_freight,
   min(order_purchase_timestamp) AS first_sale_date, max(order_purchase_timestamp) AS last_sale_date,
   count(order_purchase_timestamp) AS total_items_sold
