@@ -24,6 +24,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = 64
+# buckets grow with the data so one bucket's window stays about this size
+TARGET_ROWS_PER_BUCKET = 1_000_000
+MAX_BUCKETS = 16_384
 HASH_BITS = 60
 _BUCKET = "_bucket"
 
@@ -35,11 +38,19 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def scaled_buckets(rows: int, minimum: int = DEFAULT_BUCKETS) -> int:
+    """Bucket count for ``rows`` rows: at least ``minimum``, about
+    TARGET_ROWS_PER_BUCKET rows each, at most MAX_BUCKETS."""
+    return int(min(MAX_BUCKETS, max(minimum, math.ceil(rows / TARGET_ROWS_PER_BUCKET))))
+
+
 def value_edges(df: DataFrame, col: str, buckets: int = DEFAULT_BUCKETS,
-                rel_err: float = 0.001) -> list[float]:
-    """At most ``buckets - 1`` sorted split points of ``col`` (driver literals)."""
+                rel_err: float | None = None) -> list[float]:
+    """At most ``buckets - 1`` sorted split points of ``col`` (driver
+    literals; the fetch is bounded by the bucket count)."""
     if buckets <= 1:
         return []
+    rel_err = rel_err if rel_err is not None else min(0.001, 0.25 / buckets)
     probs = [i / buckets for i in range(1, buckets)]
     qs = df.approxQuantile(col, probs, rel_err)
     return sorted({float(v) for v in qs if v is not None and not math.isnan(v)})
@@ -64,9 +75,21 @@ def hash_rank_key(key: Column, seed: int) -> Column:
     return F.conv(F.substring(F.md5(text), 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
-def hash_edges(buckets: int = DEFAULT_BUCKETS) -> list[float]:
-    """Split points of a uniform 60-bit hash: known without a data pass."""
-    return [float(i * (2 ** HASH_BITS) // buckets) for i in range(1, buckets)]
+def hash_bucket(h: Column, buckets: int) -> Column:
+    """Bucket of a uniform 60-bit hash: integer division, no edges needed."""
+    step = -(-(2 ** HASH_BITS) // buckets)
+    return F.floor(h / F.lit(step)).cast("int")
+
+
+def with_bucket(df: DataFrame, value_col: str, edges: list[float]) -> DataFrame:
+    """Adds ``_bucket`` (monotone in the value). Up to 127 edges: a small
+    codegen'd search tree; beyond: ``Bucketizer`` (a JVM binary search)."""
+    if len(edges) <= 127:
+        return df.withColumn(_BUCKET, bucket_of(F.col(value_col), edges))
+    from pyspark.ml.feature import Bucketizer
+    b = Bucketizer(splits=[float("-inf"), *edges, float("inf")], inputCol=value_col, outputCol=_BUCKET,
+                   handleInvalid="keep")
+    return b.transform(df).withColumn(_BUCKET, F.col(_BUCKET).cast("int"))
 
 
 def _offsets(bucketed: DataFrame, partition_cols: list[str], sums: list[str]) -> DataFrame:
@@ -101,8 +124,8 @@ def prefix_sums(df: DataFrame, value_col: str, sums: dict[str, Column],
         # whole input lineage; it is at most as large as the input, usually
         # far smaller, and a lost executor re-reads it rather than recomputing
         agg = materialize(agg)
-        edges = value_edges(agg, "_ord", buckets)
-    bucketed = agg.withColumn(_BUCKET, bucket_of(F.col("_ord"), edges))
+        edges = value_edges(agg, "_ord", scaled_buckets(agg.count(), buckets))
+    bucketed = with_bucket(agg, "_ord", edges)
     w = (Window.partitionBy(*partition_cols, _BUCKET).orderBy("_ord")
          .rowsBetween(Window.unboundedPreceding, -1))
     within = bucketed.withColumns({f"{n}_in": F.coalesce(F.sum(n).over(w), F.lit(0)) for n in sums})
@@ -164,26 +187,26 @@ def row_positions(df: DataFrame, order_cols: list[str], partition_cols=(),
 
 
 def stratified_split(df: DataFrame, label_col: str, key_col: str, test_size: float = 0.25,
-                     seed: int = 42, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                     seed: int = 42, buckets: int | None = None) -> DataFrame:
     """Adds ``is_test``: within each label the rows ranked by md5(seed:key)
     (key breaks ties), the first ceil(test_size * n_label) are test rows.
     Exact per-class fractions; membership is reproducible in SQL."""
     h = hash_rank_key(F.col(key_col), seed)
     df = df.withColumn("_h", h)
-    pos = row_positions(df, ["_h", key_col], [label_col], bucket_of(F.col("_h"), hash_edges(buckets)),
-                        "_pos", "_n_label")
+    b = buckets if buckets else scaled_buckets(df.count())
+    pos = row_positions(df, ["_h", key_col], [label_col], hash_bucket(F.col("_h"), b), "_pos", "_n_label")
     test = F.col("_pos") <= F.ceil(F.col("_n_label") * F.lit(float(test_size)))
     return pos.withColumn("is_test", test.cast("int")).drop("_h", "_pos", "_n_label")
 
 
 def stratified_folds(df: DataFrame, label_col: str, key_col: str, folds: int = 5,
-                     seed: int = 42, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                     seed: int = 42, buckets: int | None = None) -> DataFrame:
     """Adds ``fold`` in [0, folds): rows of each label dealt round-robin in
     md5(seed:key) order, so every fold gets the same class mix (+-1 row)."""
     h = hash_rank_key(F.col(key_col), seed)
     df = df.withColumn("_h", h)
-    pos = row_positions(df, ["_h", key_col], [label_col], bucket_of(F.col("_h"), hash_edges(buckets)),
-                        "_pos", "_n_label")
+    b = buckets if buckets else scaled_buckets(df.count())
+    pos = row_positions(df, ["_h", key_col], [label_col], hash_bucket(F.col("_h"), b), "_pos", "_n_label")
     return pos.withColumn("fold", ((F.col("_pos") - 1) % folds).cast("int")).drop("_h", "_pos", "_n_label")
 
 

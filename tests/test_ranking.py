@@ -95,3 +95,17 @@ def test_classification_report_shape(values):
     rep = EV.classification_report(EV.with_prediction(df.withColumn("s", F.col("v") / 1000.0), "s"), "y")
     names = [r.class_label for r in rep.collect()]
     assert names == ["0", "1", "accuracy", "macro avg", "weighted avg"]
+
+
+def test_many_buckets_match_pandas(values, monkeypatch):
+    # force the large-data path: ~10 rows per bucket, Bucketizer with hundreds of edges
+    pdf, df = values
+    monkeypatch.setattr(ranking, "TARGET_ROWS_PER_BUCKET", 3)
+    got = ranking.average_rank_pct(df, "v", "r").select("k", "r").toPandas().set_index("k")["r"]
+    exp = pdf.set_index("k")["v"].rank(pct=True)
+    assert np.allclose(got.sort_index().values, exp.sort_index().values, atol=1e-12)
+    q = ranking.exact_quantile(df, "v", 0.37).first()[0]
+    assert q == pytest.approx(np.percentile(pdf["v"], 37), abs=1e-9)
+    split = ranking.stratified_split(df, "y", "k", 0.25, 42).toPandas()
+    base = ranking.stratified_split(df, "y", "k", 0.25, 42, buckets=1).toPandas()
+    assert split.sort_values("k")["is_test"].tolist() == base.sort_values("k")["is_test"].tolist()
