@@ -32,7 +32,10 @@ _BUCKET = "_bucket"
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into ``spark.checkpoint.dir`` (set only if unset)."""
+    """Reliable checkpoint into ``spark.checkpoint.dir`` (the shared folder;
+    set here only when the session left it unset). Cuts the lineage so a
+    table read by several jobs is computed once, and a lost executor
+    re-reads the checkpoint instead of recomputing the input."""
     from sellerscope.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
@@ -106,7 +109,8 @@ def _offsets(bucketed: DataFrame, partition_cols: list[str], sums: list[str]) ->
 
 def prefix_sums(df: DataFrame, value_col: str, sums: dict[str, Column],
                 partition_cols=(), buckets: int = DEFAULT_BUCKETS,
-                edges: list[float] | None = None, descending: bool = False) -> DataFrame:
+                edges: list[float] | None = None, descending: bool = False,
+                input_materialized: bool = False) -> DataFrame:
     """One row per (partition, distinct non-null value) with, for each named
     sum: its per-value amount ``s``, the amount of all strictly earlier values
     ``s_before`` (ascending, or descending with ``descending``) and the
@@ -123,7 +127,8 @@ def prefix_sums(df: DataFrame, value_col: str, sums: dict[str, Column],
         # it once to the shared checkpoint folder instead of recomputing the
         # whole input lineage; it is at most as large as the input, usually
         # far smaller, and a lost executor re-reads it rather than recomputing
-        agg = materialize(agg)
+        if not input_materialized:
+            agg = materialize(agg)
         edges = value_edges(agg, "_ord", scaled_buckets(agg.count(), buckets))
     bucketed = with_bucket(agg, "_ord", edges)
     w = (Window.partitionBy(*partition_cols, _BUCKET).orderBy("_ord")
@@ -140,7 +145,11 @@ def average_rank_pct(df: DataFrame, value_col: str, out_col: str = "rank_pct",
     """pandas ``rank(pct=True)`` (ties get their average rank / count of
     non-null values), appended to every row of ``df``; NULL stays NULL."""
     partition_cols = list(partition_cols)
-    ps = prefix_sums(df, value_col, {"_n": F.lit(1).cast("long")}, partition_cols, buckets)
+    # the input feeds the distinct-value table and the join back: write it
+    # once (a projected, usually filtered table) instead of recomputing it
+    df = materialize(df)
+    ps = prefix_sums(df, value_col, {"_n": F.lit(1).cast("long")}, partition_cols, buckets,
+                     input_materialized=True)
     ranks = ps.select(*partition_cols, value_col,
                       ((F.col("_n_before") + (F.col("_n") + 1) / 2.0) / F.col("_n_total")).alias(out_col))
     return df.join(ranks, [*partition_cols, value_col], "left")
