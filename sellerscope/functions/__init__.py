@@ -7,6 +7,7 @@ from sellerscope.functions.exprs import (  # noqa: F401
     clip_low,
     currency_brl,
     days_between,
+    decimal_mean,
     exact_avg,
     exact_stddev_samp,
     exact_sum,

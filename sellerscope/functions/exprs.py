@@ -196,3 +196,13 @@ def exact_stddev_samp(c) -> Column:
     num = (n.cast("decimal(38,0)") * s2 - s1 * s1).cast("double")
     var = num / (n.cast("double") * (n - 1).cast("double")) / F.lit(10000.0)
     return F.when(n > 1, F.sqrt(var))
+
+
+def decimal_mean(c, scale: int = 6) -> Column:
+    """Order-independent mean of a double column: values rounded to
+    ``scale`` decimals and summed exactly as decimals, so the result does
+    not change with partitioning or merge order (a double ``avg`` can move
+    in the last bits between runs). Pick ``scale`` so value * 10^scale stays
+    well inside double precision (6 for money, 9 for probabilities)."""
+    col = _c(c).cast("double")
+    return F.sum(col.cast(f"decimal(38,{scale})")).cast("double") / F.count(col)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sellerscope.config import DEFAULT_PARAMS, ChurnParams
-from sellerscope.functions import flag, round1
+from sellerscope.functions import decimal_mean, flag, round1
 
 
 def never_activated(params: ChurnParams = DEFAULT_PARAMS) -> F.Column:
@@ -56,7 +56,7 @@ def baseline_metrics(master: DataFrame) -> DataFrame:
     d1 = F.col("days_to_first_sale")
 
     def act_avg(c):
-        return F.avg(F.when(act, F.col(c).cast("double")))
+        return decimal_mean(F.when(act, F.col(c).cast("double")), 6)
 
     one = master.agg(
         F.count(F.lit(1)).cast("double").alias("total_sellers"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sellerscope import config as C
-from sellerscope.functions import overall_risk_max, overall_risk_override, risk_category
+from sellerscope.functions import decimal_mean, overall_risk_max, overall_risk_override, risk_category
 
 
 def formula_scores(labelled: DataFrame, dormant_days: int = 60, override: bool = False,
@@ -63,7 +63,7 @@ def avg_risk_by_status(scored: DataFrame) -> DataFrame:
     flags overlap, so three conditional means); statuses with no seller are
     left out."""
     r = F.col("overall_churn_risk")
-    one = scored.agg(*[F.avg(F.when(F.col(s) == 1, r)).alias(s)
+    one = scored.agg(*[decimal_mean(F.when(F.col(s) == 1, r), 9).alias(s)
                        for s in ("never_activated", "dormant", "active")],
                      *[F.sum(F.col(s)).alias(f"n_{s}") for s in ("never_activated", "dormant", "active")])
     long = one.select(F.explode(F.array(*[

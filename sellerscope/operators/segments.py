@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from sellerscope import config as C
-from sellerscope.functions import exact_avg, exact_sum, pct, revenue_band, round1
+from sellerscope.functions import decimal_mean, exact_avg, exact_sum, pct, revenue_band, round1
 
 
 def _clean(df: DataFrame, segment_col: str) -> F.Column:
@@ -252,8 +252,8 @@ def active_vs_dormant(nb: DataFrame) -> DataFrame:
     aggs = []
     for i, (_, c) in enumerate(metrics):
         v = F.col(c).cast("double")
-        aggs.append(F.avg(F.when(F.col("active") == 1, v)).alias(f"a{i}"))
-        aggs.append(F.avg(F.when(F.col("dormant") == 1, v)).alias(f"d{i}"))
+        aggs.append(decimal_mean(F.when(F.col("active") == 1, v), 6).alias(f"a{i}"))
+        aggs.append(decimal_mean(F.when(F.col("dormant") == 1, v), 6).alias(f"d{i}"))
     one = act.agg(*aggs)
     rows = F.array(*[F.struct(F.lit(name).alias("Metric"), F.col(f"a{i}").alias("Active_Sellers"),
                               F.col(f"d{i}").alias("Dormant_Sellers"), F.lit(i).alias("metric_order"))

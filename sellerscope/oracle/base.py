@@ -45,6 +45,11 @@ def xstd(c: str) -> str:
             f"CAST(count({c}) - 1 AS DOUBLE)) / 10000.0) END")
 
 
+def dmean(c: str, scale: int = 6) -> str:
+    """Order-independent mean (same arithmetic as functions.decimal_mean)."""
+    return f"(CAST(sum(CAST(CAST({c} AS DOUBLE) AS DECIMAL(38,{scale}))) AS DOUBLE) / count(CAST({c} AS DOUBLE)))"
+
+
 def xavg(c: str) -> str:
     return f"({xsum(c)} / count({c}))"
 
@@ -55,16 +60,13 @@ WON = ("(TIMESTAMP '1995-01-01 00:00:00' + to_days(CAST((p_partkey * 37) % 2000
 _STATUS = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in FX.ORDER_STATUS.items())
 
 
-def _risk_case(c: str, labels=C.RISK_LABELS) -> str:
+def risk_case(c: str, labels=C.RISK_LABELS) -> str:
     e, lab = C.RISK_BINS, labels
     whens = " ".join(f"WHEN {c} > CAST({e[i]} AS DOUBLE) AND {c} <= CAST({e[i + 1]} AS DOUBLE) THEN '{lab[i]}'"
                      for i in range(len(lab)))
     return f"CASE {whens} END"
 
 
-def risk_case(c: str, labels=C.RISK_LABELS) -> str:
-    return _risk_case(c, labels)
-
 
 def revenue_case(c: str) -> str:
     e, lab = C.REVENUE_BINS, C.REVENUE_LABELS

@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sellerscope import config as C
-from sellerscope.functions import activation_speed_score, safe_ratio
 
 CATEGORICALS = ("lead_behaviour_profile", "business_segment", "lead_type", "business_type",
                 "origin", "seller_state")
@@ -77,19 +76,7 @@ def pre_activation_pipeline(wide: bool = False) -> Pipeline:
     return Pipeline(stages=stages)
 
 
-def retention_columns(df: DataFrame, wide: bool = False) -> DataFrame:
-    """Ratio and speed features of the retention model (column expressions)."""
-    out = df.withColumns({
-        "gmv_per_order": safe_ratio("total_gmv", "total_orders"),
-        "customers_per_order": safe_ratio("unique_customers", "total_orders"),
-        "freight_ratio": safe_ratio("total_freight", "total_gmv") if "total_freight" in df.columns
-        else F.lit(None).cast("double"),
-        "activation_speed_score": activation_speed_score("days_to_first_sale").cast("double"),
-    })
-    return out
-
-
-def retention_feature_list(df_columns, eleven: bool = False, wide: bool = False) -> list[str]:
+def retention_feature_list(eleven: bool = False, wide: bool = False) -> list[str]:
     """The reference trains on the 9 of 11 listed columns present in the
     un-encoded activated frame; ``eleven`` keeps the two encoded ones."""
     if wide:
@@ -101,7 +88,7 @@ def retention_feature_list(df_columns, eleven: bool = False, wide: bool = False)
 
 def retention_pipeline(eleven: bool = False, wide: bool = False) -> Pipeline:
     """Activity features (+ ratios and speed score); NULL/inf -> 0."""
-    cols = retention_feature_list(None, eleven, wide)
+    cols = retention_feature_list(eleven, wide)
     act_cols = [c for c in cols if not c.endswith("_encoded") and c not in C.WIDE_EXTRA_FEATURES
                 and c not in C.PRE_ACTIVATION_FEATURES]
     stages = []

@@ -259,7 +259,7 @@ def q_features_retention_wide(inp):
     # encoders fitted on every seller, applied to the activated ones
     model = FE.retention_pipeline(wide=True).fit(inp.notebook)
     act = inp.notebook.filter(F.col("never_activated") == 0)
-    cols = FE.retention_feature_list(None, wide=True)
+    cols = FE.retention_feature_list(wide=True)
     return FE.feature_frame(model, act, cols)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sellerscope import config as C
 from sellerscope.operators import labels, ranking, risk, segments, summary
-from sellerscope.oracle.base import pct, q, revenue_case, with_ctes, xavg, xsum
+from sellerscope.oracle.base import dmean, pct, q, revenue_case, with_ctes, xavg, xsum
 from sellerscope.plans.catalog import register
 from sellerscope.plans.queries_ops import _segment_sql
 
@@ -47,11 +47,11 @@ SELECT * FROM (SELECT
   CAST(sum(CASE WHEN never_activated = 0 THEN 1 ELSE 0 END) AS DOUBLE) AS activated_sellers,
   avg(CAST(days_to_first_sale AS DOUBLE)) AS avg_days_to_first_sale,
   quantile_cont(CAST(days_to_first_sale AS DOUBLE), 0.5) AS median_days_to_first_sale,
-  avg(CASE WHEN never_activated = 0 THEN CAST(total_orders AS DOUBLE) END) AS avg_orders_activated,
-  avg(CASE WHEN never_activated = 0 THEN CAST(total_gmv AS DOUBLE) END) AS avg_gmv_activated,
-  avg(CASE WHEN never_activated = 0 THEN CAST(avg_order_value AS DOUBLE) END) AS avg_order_value_activated,
-  avg(CASE WHEN never_activated = 0 THEN CAST(unique_customers AS DOUBLE) END) AS avg_customers_activated,
-  avg(CASE WHEN never_activated = 0 THEN CAST(days_active AS DOUBLE) END) AS avg_days_active_activated
+  {dmean('CASE WHEN never_activated = 0 THEN CAST(total_orders AS DOUBLE) END')} AS avg_orders_activated,
+  {dmean('CASE WHEN never_activated = 0 THEN CAST(total_gmv AS DOUBLE) END')} AS avg_gmv_activated,
+  {dmean('CASE WHEN never_activated = 0 THEN CAST(avg_order_value AS DOUBLE) END')} AS avg_order_value_activated,
+  {dmean('CASE WHEN never_activated = 0 THEN CAST(unique_customers AS DOUBLE) END')} AS avg_customers_activated,
+  {dmean('CASE WHEN never_activated = 0 THEN CAST(days_active AS DOUBLE) END')} AS avg_days_active_activated
 FROM f_nb) UNPIVOT (value FOR metric IN (total_sellers, never_activated, dormant, active, total_churned,
   activated_sellers, avg_days_to_first_sale, median_days_to_first_sale, avg_orders_activated, avg_gmv_activated,
   avg_order_value_activated, avg_customers_activated, avg_days_active_activated))"""
@@ -211,8 +211,8 @@ AVD_METRICS = [("Total Orders", "total_orders"), ("Total GMV (R$)", "total_gmv")
 @register("active_vs_dormant", sql=with_ctes(
     "SELECT *, round_even((Active_Sellers - Dormant_Sellers) / NULLIF(Dormant_Sellers, 0) * 100, 1) "
     "AS \"Difference_%\" FROM (" + " UNION ALL ".join(
-        f"SELECT {q(name)} AS Metric, avg(CASE WHEN active = 1 THEN CAST({c} AS DOUBLE) END) AS Active_Sellers, "
-        f"avg(CASE WHEN dormant = 1 THEN CAST({c} AS DOUBLE) END) AS Dormant_Sellers, {i} AS metric_order "
+        f"SELECT {q(name)} AS Metric, {dmean(f'CASE WHEN active = 1 THEN CAST({c} AS DOUBLE) END')} AS Active_Sellers, "
+        f"{dmean(f'CASE WHEN dormant = 1 THEN CAST({c} AS DOUBLE) END')} AS Dormant_Sellers, {i} AS metric_order "
         f"FROM f_nb WHERE never_activated = 0"
         for i, (name, c) in enumerate(AVD_METRICS)) + ")"))
 def q_active_vs_dormant(inp):
@@ -259,7 +259,7 @@ def q_risk_distribution(inp):
 
 
 @register("avg_risk_by_status", sql=with_ctes(" UNION ALL ".join(
-    f"SELECT {q(s)} AS status, avg(overall_churn_risk) AS avg_risk FROM f_scored WHERE {s} = 1 "
+    f"SELECT {q(s)} AS status, {dmean('overall_churn_risk', 9)} AS avg_risk FROM f_scored WHERE {s} = 1 "
     f"HAVING count(*) > 0" for s in ("never_activated", "dormant", "active"))))
 def q_avg_risk_by_status(inp):
     return risk.avg_risk_by_status(inp.scored)

@@ -168,7 +168,7 @@ def pre_activation(master: DataFrame, params: ChurnParams = DEFAULT_PARAMS, wide
 def retention(master: DataFrame, params: ChurnParams = DEFAULT_PARAMS, eleven: bool = False,
               wide: bool = False, algorithms=ALGORITHMS) -> StageResult:
     activated = master.filter(F.col("never_activated") == 0)
-    cols = FE.retention_feature_list(None, eleven, wide)
+    cols = FE.retention_feature_list(eleven, wide)
     return train_stage(activated, "retention", "dormant", FE.retention_pipeline(eleven, wide),
                        cols, params, algorithms)
 
