@@ -31,6 +31,7 @@ from sellerscope.operators.ranking import stratified_split
 from sellerscope.plans import features as FE
 
 MIN_ROWS = 10
+ROWS_PER_FIT_PARTITION = 250_000
 ALGORITHMS = ("LogisticRegression", "RandomForest", "GradientBoosting")
 
 
@@ -117,7 +118,11 @@ def train_stage(data: DataFrame, stage: str, label_col: str, feature_pipeline: P
     inner = stratified_split(outer_train, "label", "seller_id", params.test_size, params.seed)
     inner_train = class_weights(inner.filter(F.col("is_test") == 0).drop("is_test"), "label")
     inner_test = inner.filter(F.col("is_test") == 1).drop("is_test")
-    train_feats = feat_model.transform(inner_train).persist()
+    # iterative fits run one job per iteration/level: size partitions to the
+    # data (about ROWS_PER_FIT_PARTITION rows each) rather than the upstream
+    # shuffle width, so small stages do not pay per-task overhead 100s of times
+    parts = max(1, -(-n // ROWS_PER_FIT_PARTITION))
+    train_feats = feat_model.transform(inner_train).repartition(parts).persist()
     n_train = train_feats.count()
     fitted = {}
     for name in algorithms:
