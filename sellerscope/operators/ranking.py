@@ -162,10 +162,11 @@ def _lerp(a: Column, b: Column, t: Column) -> Column:
 
 
 def exact_quantile(df: DataFrame, value_col: str, p: float, out_col: str = "q",
-                   buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                   buckets: int = DEFAULT_BUCKETS, input_materialized: bool = False) -> DataFrame:
     """One row: the exact linear-interpolation quantile (numpy default) of
     the non-null values, distributed (no value map held in one task)."""
-    ps = prefix_sums(df, value_col, {"_n": F.lit(1).cast("long")}, (), buckets)
+    ps = prefix_sums(df, value_col, {"_n": F.lit(1).cast("long")}, (), buckets,
+                     input_materialized=input_materialized)
     h = (F.col("_n_total") - 1).cast("double") * F.lit(float(p))
     lo = F.floor(h)
     hi = F.least(lo + 1, F.col("_n_total") - 1)
@@ -228,6 +229,9 @@ def histogram(df: DataFrame, value_col: str, bins: int, lo: float | None = None,
     v = F.col(value_col).cast("double")
     vals = df.select(v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
     if lo is None or hi is None:
+        # bounds then bins: two reads of one column instead of two evaluations
+        # of the input's lineage
+        vals = materialize(vals)
         stats = vals.agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     else:
         stats = spark.range(1).select(F.lit(float(lo)).alias("_lo"), F.lit(float(hi)).alias("_hi"))
@@ -257,7 +261,7 @@ def histogram_shift(reference: DataFrame, new: DataFrame, value_col: str, bins:
     range of the two together), with counts, shares and the share change."""
     a = reference.select(F.col(value_col).cast("double").alias("_v"), F.lit(0).alias("_side"))
     b = new.select(F.col(value_col).cast("double").alias("_v"), F.lit(1).alias("_side"))
-    both = a.unionByName(b).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    both = materialize(a.unionByName(b).filter(F.col("_v").isNotNull() & ~F.isnan("_v")))
     stats = both.agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     stats = stats.select(
         F.when(F.col("_lo") == F.col("_hi"), F.col("_lo") - 0.5).otherwise(F.col("_lo")).alias("_lo"),
@@ -284,3 +288,16 @@ def histogram_shift(reference: DataFrame, new: DataFrame, value_col: str, bins:
 def df_range(df: DataFrame, n: int) -> DataFrame:
     """Bin ids 0..n-1 (a bounded grid, so empty bins are listed)."""
     return df.sparkSession.range(n).select(F.col("id").cast("int").alias("bin"))
+
+
+def above_quantile_flags(df: DataFrame, key_cols, specs) -> DataFrame:
+    """``key_cols`` plus one 0/1 flag per (value_col, p, out_col) spec:
+    value strictly above its exact p-quantile over ``df``. The projected
+    input is checkpointed once and feeds every quantile and the final pass."""
+    cols = list(dict.fromkeys([*key_cols, *[c for c, _, _ in specs]]))
+    base = materialize(df.select(*cols))
+    out = base
+    for i, (col, p, name) in enumerate(specs):
+        q = exact_quantile(base, col, p, f"_q{i}", input_materialized=True)
+        out = out.crossJoin(F.broadcast(q)).withColumn(name, (F.col(col) > F.col(f"_q{i}")).cast("int"))
+    return out.select(*key_cols, *[name for _, _, name in specs])

@@ -46,7 +46,8 @@ def risk_distribution(scored: DataFrame) -> DataFrame:
     sellers, uncategorised (risk exactly 0) included."""
     spark = scored.sparkSession
     counts = scored.groupBy("risk_category").agg(F.count(F.lit(1)).alias("sellers"))
-    total = scored.agg(F.count(F.lit(1)).alias("total"))
+    # the total comes from the grouped counts (NULL category included): one pass
+    total = counts.agg(F.sum("sellers").alias("total"))
     # both sides are tiny (4 fixed rows, <= 5 aggregated rows): AQE picks the join
     cats = _category_table(spark)
     out = (cats.join(counts, "risk_category", "left")

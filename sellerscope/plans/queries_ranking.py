@@ -148,11 +148,8 @@ FROM ({ACT}) a CROSS JOIN ({_quantile_sql(f"SELECT CAST(total_gmv AS DOUBLE) AS
 CROSS JOIN ({_quantile_sql(f"SELECT CAST(total_orders AS DOUBLE) AS v FROM ({ACT})", 0.75)}) o"""))
 def q_quantile_flags(inp):
     act = inp.labelled.filter(F.col("never_activated") == 0)
-    g = ranking.exact_quantile(act, "total_gmv", 0.75, "_qg")
-    o = ranking.exact_quantile(act, "total_orders", 0.75, "_qo")
-    out = act.crossJoin(F.broadcast(g)).crossJoin(F.broadcast(o))
-    return out.select("seller_id", (F.col("total_gmv") > F.col("_qg")).cast("int").alias("is_high_value"),
-                      (F.col("total_orders") > F.col("_qo")).cast("int").alias("is_frequent_seller"))
+    return ranking.above_quantile_flags(act, ["seller_id"], [("total_gmv", 0.75, "is_high_value"),
+                                                             ("total_orders", 0.75, "is_frequent_seller")])
 
 
 @register("top_fraction_threshold", sql=with_ctes(f"""
