@@ -144,7 +144,8 @@ def classification_report(df: DataFrame, label_col: str, pred_col: str = "predic
         row("0", p0, r0, f0, s0), row("1", p1, r1, f1, s1),
         row("accuracy", F.lit(None).cast("double"), F.lit(None).cast("double"), acc, n),
         row("macro avg", (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, n),
-        row("weighted avg", (p0 * s0 + p1 * s1) / n, (r0 * s0 + r1 * s1) / n, (f0 * s0 + f1 * s1) / n, n))
+        row("weighted avg", _div0(p0 * s0 + p1 * s1, n), _div0(r0 * s0 + r1 * s1, n),
+            _div0(f0 * s0 + f1 * s1, n), n))
     return c.select(F.explode(rows).alias("x")).select("x.*")
 
 

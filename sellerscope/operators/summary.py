@@ -47,6 +47,7 @@ def kpi_row(scored: DataFrame, params: ChurnParams = DEFAULT_PARAMS) -> DataFram
     )
     rate, months = params.intervention_success_rate, float(params.retained_months)
     return one.withColumns({
-        "high_risk_pct": round1(F.col("high_risk").cast("double") / F.col("total_sellers").cast("double") * 100),
+        "high_risk_pct": round1(F.try_divide(F.col("high_risk").cast("double"),
+                                             F.col("total_sellers").cast("double")) * 100),
         "projected_gmv_saved": F.bround(F.col("gmv_at_risk") * F.lit(rate) * F.lit(months), 2),
     })

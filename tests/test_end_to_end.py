@@ -89,3 +89,20 @@ def test_oracle_agreement(spark, name):
                 assert u == pytest.approx(w, rel=1e-9, abs=1e-9)
             else:
                 assert u == w or (hasattr(u, "replace") and str(u) == str(w))
+
+
+def test_operators_on_empty_input(inputs):
+    """Empty inputs give empty or zero/NULL rows, never a divide-by-zero (ANSI)."""
+    from sellerscope.operators import cohorts, interventions, ranking, risk, segments, summary
+    from sellerscope.operators import evaluation as EV
+    empty = inputs.scored.filter(F.lit(False))
+    assert summary.kpi_row(empty).first().total_sellers == 0
+    assert summary.exec_summary(empty).count() == 1
+    assert risk.risk_distribution(empty).count() == 4
+    assert interventions.business_gains(interventions.intervention_list(empty)).first().total_at_risk == 0
+    assert segments.segment_analysis(empty, "lead_type").count() == 0
+    assert cohorts.cohort_analysis(empty).count() == 0
+    assert EV.roc_auc(empty, "churned", "overall_churn_risk").first()[0] is None
+    assert ranking.exact_quantile(empty, "total_gmv", 0.5).first()[0] is None
+    assert EV.classification_report(EV.with_prediction(empty, "overall_churn_risk"), "churned").count() == 5
+    assert ranking.stratified_split(empty, "churned", "seller_id").count() == 0
