@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from sellerscope import config as C
 from sellerscope.operators.ranking import exact_quantile, prefix_sums
+from sellerscope.operators.scalars import attach_scalars
 
 
 def with_prediction(df: DataFrame, score_col: str, threshold: float = C.DECISION_THRESHOLD,
@@ -115,7 +116,7 @@ def pr_auc(df: DataFrame, label_col: str, score_col: str) -> DataFrame:
     area = (tp1 - F.col("pos_before")).cast("double") / p_tot * (prec1 + prec0) / 2.0
     one = t.filter(F.col("pos_before") < F.col("pos_total")).agg(F.sum(area).alias("pr_auc"))
     base = df.agg(F.avg(F.col(label_col).cast("double")).alias("base_rate"))
-    return one.crossJoin(base)
+    return attach_scalars(one, base)
 
 
 def classification_report(df: DataFrame, label_col: str, pred_col: str = "prediction") -> DataFrame:
@@ -153,7 +154,7 @@ def precision_at_top(df: DataFrame, label_col: str, score_col: str, top: float =
     """One row: the (1 - top) quantile of the scores and the mean label of
     rows scoring at or above it (the top fraction's precision)."""
     q = exact_quantile(df, score_col, 1.0 - top, "threshold")
-    flagged = df.crossJoin(F.broadcast(q)).filter(F.col(score_col) >= F.col("threshold"))
+    flagged = attach_scalars(df, q).filter(F.col(score_col) >= F.col("threshold"))
     return flagged.groupBy("threshold").agg(
         F.avg(F.col(label_col).cast("double")).alias("precision_at_top"),
         F.count(F.lit(1)).alias("flagged"))
@@ -167,5 +168,5 @@ def combined_metrics(scored: DataFrame, score_col: str = "overall_churn_risk",
                       F.coalesce(F.col(label_col), F.lit(0)).alias("y"))
     auc = roc_auc(d, "y", "s")
     m = binary_metrics(with_prediction(d, "s"), "y")
-    out = auc.crossJoin(m)
+    out = attach_scalars(auc, m)
     return out.select(*[F.bround(c, 3).alias(c) for c in out.columns])

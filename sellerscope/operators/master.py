@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from sellerscope import config as C
 from sellerscope.functions import days_between, exact_stddev_samp, money
+from sellerscope.operators.scalars import attach_scalars
 
 LEAD_COLUMNS = ("mql_id", "first_contact_date", "landing_page_id", "origin")
 GEO_COLUMNS = ("seller_id", "seller_city", "seller_state")
@@ -79,7 +80,7 @@ def seller_activity(seller_orders: DataFrame) -> DataFrame:
 def activity_time_metrics(activity: DataFrame, end_date: DataFrame) -> DataFrame:
     """days_active, days_since_last_sale (against the one-row end date, a
     broadcast nested-loop join with a single row) and avg_daily_orders."""
-    out = activity.crossJoin(F.broadcast(end_date))
+    out = attach_scalars(activity, end_date)
     days_active = days_between("first_sale_date", "last_sale_date") + 1
     out = out.withColumns({
         "days_active": days_active,

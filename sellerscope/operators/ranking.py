@@ -23,6 +23,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sellerscope.operators.scalars import attach_scalars
+
 DEFAULT_BUCKETS = 64
 # buckets grow with the data so one bucket's window stays about this size
 TARGET_ROWS_PER_BUCKET = 1_000_000
@@ -243,9 +245,9 @@ def histogram(df: DataFrame, value_col: str, bins: int, lo: float | None = None,
     idx = F.floor((F.col("_v") - F.col("_lo")) * norm).cast("int")
     idx = F.when(idx >= bins, F.lit(bins - 1)).otherwise(idx)
     in_range = (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))
-    counts = (vals.crossJoin(F.broadcast(stats)).filter(in_range)
+    counts = (attach_scalars(vals, stats).filter(in_range)
               .groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("count")))
-    grid = spark.range(bins).select(F.col("id").cast("int").alias("bin")).crossJoin(F.broadcast(stats))
+    grid = attach_scalars(spark.range(bins).select(F.col("id").cast("int").alias("bin")), stats)
     step = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
     out = grid.join(counts, "bin", "left").select(
         "bin",
@@ -269,12 +271,12 @@ def histogram_shift(reference: DataFrame, new: DataFrame, value_col: str, bins:
     norm = F.lit(float(bins)) / (F.col("_hi") - F.col("_lo"))
     idx = F.floor((F.col("_v") - F.col("_lo")) * norm).cast("int")
     idx = F.when(idx >= bins, F.lit(bins - 1)).otherwise(idx)
-    counts = (both.crossJoin(F.broadcast(stats)).groupBy(idx.alias("bin"))
+    counts = (attach_scalars(both, stats).groupBy(idx.alias("bin"))
               .agg(F.sum((F.col("_side") == 0).cast("long")).alias("reference_count"),
                    F.sum((F.col("_side") == 1).cast("long")).alias("new_count")))
     totals = both.agg(F.sum((F.col("_side") == 0).cast("long")).alias("_na"),
                       F.sum((F.col("_side") == 1).cast("long")).alias("_nb"))
-    grid = (df_range(reference, bins).crossJoin(F.broadcast(stats)).crossJoin(F.broadcast(totals)))
+    grid = attach_scalars(attach_scalars(df_range(reference, bins), stats), totals)
     step = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
     out = grid.join(counts, "bin", "left").select(
         "bin", (F.col("_lo") + F.col("bin") * step).alias("bin_lower"),
@@ -299,5 +301,5 @@ def above_quantile_flags(df: DataFrame, key_cols, specs) -> DataFrame:
     out = base
     for i, (col, p, name) in enumerate(specs):
         q = exact_quantile(base, col, p, f"_q{i}", input_materialized=True)
-        out = out.crossJoin(F.broadcast(q)).withColumn(name, (F.col(col) > F.col(f"_q{i}")).cast("int"))
+        out = attach_scalars(out, q).withColumn(name, (F.col(col) > F.col(f"_q{i}")).cast("int"))
     return out.select(*key_cols, *[name for _, _, name in specs])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sellerscope import config as C
 from sellerscope.functions import decimal_mean, overall_risk_max, overall_risk_override, risk_category
+from sellerscope.operators.scalars import attach_scalars
 
 
 def formula_scores(labelled: DataFrame, dormant_days: int = 60, override: bool = False,
@@ -51,7 +52,7 @@ def risk_distribution(scored: DataFrame) -> DataFrame:
     # both sides are tiny (4 fixed rows, <= 5 aggregated rows): AQE picks the join
     cats = _category_table(spark)
     out = (cats.join(counts, "risk_category", "left")
-           .crossJoin(F.broadcast(total))
+           .transform(lambda d: attach_scalars(d, total))
            .select("risk_category", "category_order",
                    F.coalesce("sellers", F.lit(0)).cast("long").alias("sellers"),
                    (F.coalesce("sellers", F.lit(0)).cast("double") / F.col("total").cast("double") * 100)

@@ -16,6 +16,7 @@ from pyspark.sql.types import DoubleType
 
 from sellerscope import config as C
 from sellerscope.functions import decimal_mean, exact_avg, exact_sum, pct, revenue_band, round1
+from sellerscope.operators.scalars import attach_scalars
 
 
 def _clean(df: DataFrame, segment_col: str) -> F.Column:
@@ -37,7 +38,7 @@ def segment_analysis(df: DataFrame, segment_col: str) -> DataFrame | None:
         exact_sum("total_gmv").alias("Total_GMV"),
     )
     total = agg.agg(F.sum("Total_Sellers").alias("_all"))
-    out = agg.crossJoin(F.broadcast(total)).withColumns({
+    out = attach_scalars(agg, total).withColumns({
         "Churn_Rate_%": pct("Churned", "Total_Sellers"),
         "Market_Share_%": pct("Total_Sellers", "_all"),
     }).drop("_all")
@@ -132,7 +133,7 @@ def segment_origin(nb: DataFrame) -> DataFrame:
         F.avg(F.col("sales_cycle_days").cast("double")).alias("Avg_Sales_Cycle_Days"))
     out = out.withColumn("Churn_Rate_%", pct("Churned", "Total_Sellers"))
     sources = out.agg(F.count(F.lit(1)).alias("_sources"))
-    out = out.crossJoin(F.broadcast(sources)).filter(F.col("_sources") > 1).drop("_sources")
+    out = attach_scalars(out, sources).filter(F.col("_sources") > 1).drop("_sources")
     return out.orderBy(F.col("Total_Sellers").desc(), "Lead_Source")
 
 
@@ -194,9 +195,10 @@ def chi_square_test(table: DataFrame) -> DataFrame:
     dof = (F.col("r") - 1) * (F.col("k") - 1)
     diff = F.abs(F.col("o") - e)
     corr = F.when(dof == 1, F.least(F.lit(0.5), diff)).otherwise(F.lit(0.0))
-    terms = (cells.join(row_tot, "segment").crossJoin(F.broadcast(dims))
+    terms = (attach_scalars(cells.join(row_tot, "segment"), dims)
              .select(dof.alias("dof"), (F.pow(diff - corr, 2) / e).alias("t")))
-    stat = terms.groupBy("dof").agg(F.sum("t").alias("chi2"))
+    # terms summed as decimals: the statistic does not depend on summation order
+    stat = terms.groupBy("dof").agg(F.sum(F.col("t").cast("decimal(38,9)")).cast("double").alias("chi2"))
     return stat.select("chi2", F.col("dof").cast("long").alias("dof"),
                        chi2_sf(F.col("chi2"), F.col("dof").cast("double")).alias("p_value"))
 

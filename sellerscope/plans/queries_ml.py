@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sellerscope.operators import evaluation as EV
+from sellerscope.operators.scalars import attach_scalars
 from sellerscope.plans import features as FE
 from sellerscope.plans import scoring as SC
 from sellerscope.plans import training as TR
@@ -80,7 +81,7 @@ def q_model_performance(inp):
         res = _stage(inp, stage)
         scored = TR.positive_probability(res.model, res.outer_test, "p")
         top = EV.precision_at_top(scored, "label", "p", 0.2).select("precision_at_top")
-        ev = TR.evaluate_model(res).crossJoin(top)
+        ev = attach_scalars(TR.evaluate_model(res), top)
         rows.append(ev)
     return rows[0].unionByName(rows[1])
 

@@ -9,6 +9,7 @@ from sellerscope import config as C
 from sellerscope.operators import evaluation as EV
 from sellerscope.operators import interventions as IV
 from sellerscope.operators import ranking, segments
+from sellerscope.operators.scalars import attach_scalars
 from sellerscope.oracle.base import q, with_ctes
 from sellerscope.plans import features as FE
 from sellerscope.plans import training as TR
@@ -159,7 +160,7 @@ WHERE never_activated_risk >= qq.q GROUP BY qq.q"""))
 def q_top_fraction_threshold(inp):
     s = inp.scored
     t = ranking.exact_quantile(s, "never_activated_risk", 0.8, "threshold")
-    return (s.crossJoin(F.broadcast(t)).filter(F.col("never_activated_risk") >= F.col("threshold"))
+    return (attach_scalars(s, t).filter(F.col("never_activated_risk") >= F.col("threshold"))
             .groupBy("threshold").agg(F.count(F.lit(1)).alias("flagged")))
 
 

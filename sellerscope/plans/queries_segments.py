@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sellerscope import config as C
 from sellerscope.operators import labels, ranking, risk, segments, summary
+from sellerscope.operators.scalars import attach_scalars
 from sellerscope.oracle.base import dmean, pct, q, revenue_case, with_ctes, xavg, xsum
 from sellerscope.plans.catalog import register
 from sellerscope.plans.queries_ops import _segment_sql
@@ -176,7 +177,7 @@ def q_contingency_table(inp):
 
 
 CHI_SQL = """
-SELECT sum(power(abs(o - e) - corr, 2) / e) AS chi2, dof FROM (
+SELECT CAST(sum(CAST(power(abs(o - e) - corr, 2) / e AS DECIMAL(38,9))) AS DOUBLE) AS chi2, dof FROM (
   SELECT o, e, dof, CASE WHEN dof = 1 THEN least(0.5, abs(o - e)) ELSE 0.0 END AS corr FROM (
     SELECT cells.o, CAST(rowt.row_total * cells.col_total AS DOUBLE) / CAST(dims.n AS DOUBLE) AS e,
       CAST((dims.r - 1) * (dims.k - 1) AS BIGINT) AS dof
@@ -356,7 +357,7 @@ WHERE never_activated = 0 AND total_gmv <= qq.q"""))
 def q_trimmed_gmv(inp):
     act = inp.notebook.filter(F.col("never_activated") == 0)
     qq = ranking.exact_quantile(act, "total_gmv", 0.95, "_q95")
-    return act.crossJoin(F.broadcast(qq)).filter(F.col("total_gmv") <= F.col("_q95")).select("seller_id", "total_gmv")
+    return attach_scalars(act, qq).filter(F.col("total_gmv") <= F.col("_q95")).select("seller_id", "total_gmv")
 
 
 @register("histogram_gmv", sql=with_ctes(_hist_final(30), **_hist_sql(f"""
@@ -393,7 +394,7 @@ LEFT JOIN c ON g.bin = c.bin""",
 def q_score_drift(inp):
     s = inp.scored
     cut = s.agg(F.timestamp_add("DAY", F.lit(-365), F.max("won_date")).alias("_cut"))
-    tagged = s.crossJoin(F.broadcast(cut))
+    tagged = attach_scalars(s, cut)
     ref = tagged.filter(F.col("won_date") < F.col("_cut"))
     new = tagged.filter(F.col("won_date") >= F.col("_cut"))
     return ranking.histogram_shift(ref, new, "overall_churn_risk", 30)

@@ -28,6 +28,7 @@ from sellerscope import config as C
 from sellerscope.config import DEFAULT_PARAMS, ChurnParams
 from sellerscope.operators import evaluation as EV
 from sellerscope.operators.ranking import stratified_split
+from sellerscope.operators.scalars import attach_scalars
 from sellerscope.plans import features as FE
 
 MIN_ROWS = 10
@@ -132,7 +133,7 @@ def train_stage(data: DataFrame, stage: str, label_col: str, feature_pipeline: P
         fitted[name] = model
         scored = EV.with_prediction(positive_probability(model, inner_test, "p"), "p")
         auc = EV.roc_auc(scored, "label", "p")
-        m = EV.binary_metrics(scored, "label").crossJoin(auc).first().asDict()
+        m = attach_scalars(EV.binary_metrics(scored, "label"), auc).first().asDict()
         m.update(stage=stage, algorithm=name, params=_estimator_params(est))
         res.metrics.append(m)
         if hasattr(clf, "featureImportances"):
@@ -181,9 +182,9 @@ def retention(master: DataFrame, params: ChurnParams = DEFAULT_PARAMS, eleven: b
 def evaluate_model(res: StageResult) -> DataFrame:
     """Held-out (outer split) metrics of the chosen model as one row."""
     scored = EV.with_prediction(positive_probability(res.model, res.outer_test, "p"), "p")
-    out = EV.binary_metrics(scored, "label").crossJoin(EV.roc_auc(scored, "label", "p"))
+    out = attach_scalars(EV.binary_metrics(scored, "label"), EV.roc_auc(scored, "label", "p"))
     n = res.outer_test.agg(F.count(F.lit(1)).alias("test_rows"))
-    return out.crossJoin(n).select(F.lit(res.stage).alias("stage"), F.lit(res.best).alias("algorithm"), "*")
+    return attach_scalars(out, n).select(F.lit(res.stage).alias("stage"), F.lit(res.best).alias("algorithm"), "*")
 
 
 def metrics_frame(spark, results: list[StageResult], run_id: str | None = None) -> DataFrame:
