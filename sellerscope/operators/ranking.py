@@ -98,7 +98,11 @@ def with_bucket(df: DataFrame, value_col: str, edges: list[float]) -> DataFrame:
 
 
 def _offsets(bucketed: DataFrame, partition_cols: list[str], sums: list[str]) -> DataFrame:
-    """Per (partition, bucket): totals of earlier buckets and partition totals."""
+    """Per (partition, bucket): totals of earlier buckets and partition totals.
+
+    Runs on the per-bucket totals only (at most partition keys x buckets
+    rows, 16384 buckets at most), so even without partition keys the
+    ordered window sees a small, bounded table."""
     totals = bucketed.groupBy(*partition_cols, _BUCKET).agg(*[F.sum(s).alias(s) for s in sums])
     before = Window.partitionBy(*partition_cols).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*partition_cols)

@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sellerscope import config as C
@@ -40,9 +40,9 @@ def class_weights(df: DataFrame, label_col: str, out_col: str = "weight") -> Dat
     """'balanced' weights n / (k * n_c), joined from a per-class table
     (one row per class, so the broadcast is bounded by the class count)."""
     counts = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("_nc"))
-    w = Window.partitionBy()
-    weights = counts.select(label_col, (F.sum("_nc").over(w).cast("double")
-                                        / (F.count(F.lit(1)).over(w) * F.col("_nc"))).alias(out_col))
+    totals = counts.agg(F.sum("_nc").alias("_n"), F.count(F.lit(1)).alias("_k"))
+    weights = attach_scalars(counts, totals).select(
+        label_col, (F.col("_n").cast("double") / (F.col("_k") * F.col("_nc"))).alias(out_col))
     return df.join(F.broadcast(weights), label_col, "left")
 
 
