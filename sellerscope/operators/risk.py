@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sellerscope import config as C
 from sellerscope.functions import decimal_mean, overall_risk_max, overall_risk_override, risk_category
-from sellerscope.operators.scalars import attach_scalars
 
 
 def formula_scores(labelled: DataFrame, dormant_days: int = 60, override: bool = False,
@@ -47,16 +46,18 @@ def risk_distribution(scored: DataFrame) -> DataFrame:
     sellers, uncategorised (risk exactly 0) included."""
     spark = scored.sparkSession
     counts = scored.groupBy("risk_category").agg(F.count(F.lit(1)).alias("sellers"))
-    # the total comes from the grouped counts (NULL category included): one pass
-    total = counts.agg(F.sum("sellers").alias("total"))
-    # both sides are tiny (4 fixed rows, <= 5 aggregated rows): AQE picks the join
+    # the four fixed categories (zero-filled) full-outer-joined with the grouped
+    # counts (at most 5 rows, the NULL category included): the total is a
+    # window over these few rows, so the input is evaluated once
     cats = _category_table(spark)
-    out = (cats.join(counts, "risk_category", "left")
-           .transform(lambda d: attach_scalars(d, total))
-           .select("risk_category", "category_order",
-                   F.coalesce("sellers", F.lit(0)).cast("long").alias("sellers"),
-                   (F.coalesce("sellers", F.lit(0)).cast("double") / F.col("total").cast("double") * 100)
-                   .alias("share_pct")))
+    both = cats.join(counts, "risk_category", "full_outer").withColumns({
+        "sellers": F.coalesce("sellers", F.lit(0)).cast("long"),
+        "total": F.sum(F.coalesce("sellers", F.lit(0))).over(Window.partitionBy()),
+    })
+    out = both.filter(F.col("category_order").isNotNull()).select(
+        "risk_category", "category_order", "sellers",
+        F.try_divide(F.col("sellers").cast("double"), F.col("total").cast("double")).alias("_f"))
+    out = out.withColumn("share_pct", F.col("_f") * 100).drop("_f")
     return out.orderBy("category_order")
 
 

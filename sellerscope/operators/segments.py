@@ -10,12 +10,13 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from sellerscope import config as C
 from sellerscope.functions import decimal_mean, exact_avg, exact_sum, pct, revenue_band, round1
+from sellerscope.operators.ranking import materialize
 from sellerscope.operators.scalars import attach_scalars
 
 
@@ -37,11 +38,13 @@ def segment_analysis(df: DataFrame, segment_col: str) -> DataFrame | None:
         exact_avg("total_gmv").alias("Avg_GMV"),
         exact_sum("total_gmv").alias("Total_GMV"),
     )
-    total = agg.agg(F.sum("Total_Sellers").alias("_all"))
-    out = attach_scalars(agg, total).withColumns({
+    # the share's denominator is a window over the aggregated rows: one row
+    # per segment (bounded by the category's cardinality, not by the data),
+    # so the input lineage is evaluated once
+    out = agg.withColumns({
         "Churn_Rate_%": pct("Churned", "Total_Sellers"),
-        "Market_Share_%": pct("Total_Sellers", "_all"),
-    }).drop("_all")
+        "Market_Share_%": pct("Total_Sellers", F.sum("Total_Sellers").over(Window.partitionBy())),
+    })
     return out.orderBy(F.col("Churn_Rate_%").desc(), "Segment")
 
 
@@ -132,8 +135,9 @@ def segment_origin(nb: DataFrame) -> DataFrame:
         exact_avg("total_gmv").alias("Avg_GMV"),
         F.avg(F.col("sales_cycle_days").cast("double")).alias("Avg_Sales_Cycle_Days"))
     out = out.withColumn("Churn_Rate_%", pct("Churned", "Total_Sellers"))
-    sources = out.agg(F.count(F.lit(1)).alias("_sources"))
-    out = attach_scalars(out, sources).filter(F.col("_sources") > 1).drop("_sources")
+    # guard over the aggregated rows (one per source): evaluated once
+    out = out.withColumn("_sources", F.count(F.lit(1)).over(Window.partitionBy()))
+    out = out.filter(F.col("_sources") > 1).drop("_sources")
     return out.orderBy(F.col("Total_Sellers").desc(), "Lead_Source")
 
 
@@ -183,6 +187,9 @@ def chi_square_test(table: DataFrame) -> DataFrame:
     lists observed values. ``p_value`` is the chi-square survival function
     evaluated on the one-row result (``chi2_sf``).
     """
+    # the contingency table is tiny (segments x 2) and feeds the margins, the
+    # dimensions and the terms: cut its lineage once
+    table = materialize(table)
     cells = table.select("segment", F.explode(F.array(
         F.struct(F.lit(0).alias("c"), F.col("churned_0").alias("o")),
         F.struct(F.lit(1).alias("c"), F.col("churned_1").alias("o")))).alias("x")).select("segment", "x.*")
