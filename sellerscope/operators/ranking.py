@@ -208,6 +208,10 @@ def stratified_split(df: DataFrame, label_col: str, key_col: str, test_size: flo
     (key breaks ties), the first ceil(test_size * n_label) are test rows.
     Exact per-class fractions; membership is reproducible in SQL."""
     h = hash_rank_key(F.col(key_col), seed)
+    if not buckets:
+        # the row count sizes the buckets: checkpoint first so counting and
+        # ranking read the same materialized rows (one lineage evaluation)
+        df = materialize(df)
     df = df.withColumn("_h", h)
     b = buckets if buckets else scaled_buckets(df.count())
     pos = row_positions(df, ["_h", key_col], [label_col], hash_bucket(F.col("_h"), b), "_pos", "_n_label")
@@ -220,6 +224,10 @@ def stratified_folds(df: DataFrame, label_col: str, key_col: str, folds: int = 5
     """Adds ``fold`` in [0, folds): rows of each label dealt round-robin in
     md5(seed:key) order, so every fold gets the same class mix (+-1 row)."""
     h = hash_rank_key(F.col(key_col), seed)
+    if not buckets:
+        # the row count sizes the buckets: checkpoint first so counting and
+        # ranking read the same materialized rows (one lineage evaluation)
+        df = materialize(df)
     df = df.withColumn("_h", h)
     b = buckets if buckets else scaled_buckets(df.count())
     pos = row_positions(df, ["_h", key_col], [label_col], hash_bucket(F.col("_h"), b), "_pos", "_n_label")

@@ -392,7 +392,9 @@ LEFT JOIN c ON g.bin = c.bin""",
     t="SELECT CAST(sum(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS BIGINT) AS na, "
       "CAST(sum(CASE WHEN side = 1 THEN 1 ELSE 0 END) AS BIGINT) AS nb FROM dv WHERE v IS NOT NULL AND NOT isnan(v)"))
 def q_score_drift(inp):
-    s = inp.scored
+    # one evaluation of the scored lineage: a two-column projection feeds the
+    # cut date and both batches
+    s = ranking.materialize(inp.scored.select("won_date", "overall_churn_risk"))
     cut = s.agg(F.timestamp_add("DAY", F.lit(-365), F.max("won_date")).alias("_cut"))
     tagged = attach_scalars(s, cut)
     ref = tagged.filter(F.col("won_date") < F.col("_cut"))
