@@ -35,8 +35,10 @@ ORDER_ITEMS = _schema(
     ("shipping_limit_date", TS), ("price", D), ("freight_value", D),
 )
 
-# Registry name -> (file stem, schema). The last five are registered by the
-# reference but no column of them is read; they stay lazy here.
+# --- fixed values: file stems of the public marketplace extracts ------------
+# Registry name -> (file stem, schema). The last five are registered but no
+# column of them is read; they stay lazy here. Pass ``tables=`` to
+# TableRegistry for other file names.
 TABLES = {
     "mqls": ("olist_marketing_qualified_leads_dataset", MQLS),
     "deals": ("olist_closed_deals_dataset", DEALS),
