@@ -35,7 +35,7 @@ def main(argv=None) -> None:
 
     from pyspark.sql import SparkSession
 
-    from sellerscope.plans import pipeline
+    from sellerscope.plans import runs
     from sellerscope.session import SCALE_CONF, ensure_checkpoint_dir
 
     builder = SparkSession.builder.appName("sellerscope")
@@ -45,14 +45,14 @@ def main(argv=None) -> None:
     ensure_checkpoint_dir(spark)
     params = ChurnParams(never_activated_days=args.never_activated_days, dormant_days=args.dormant_days)
     if args.command == "train":
-        pipeline.run_training(spark, _tables(spark, args), args.out, params)
+        runs.run_training(spark, _tables(spark, args), args.out, params)
     elif args.command == "score":
         model_dir = args.models or os.path.join(args.out, "models")
-        dist = pipeline.run_inference(spark, _tables(spark, args), model_dir,
+        dist = runs.run_inference(spark, _tables(spark, args), model_dir,
                                       os.path.join(args.out, "seller_risk_scores_inference"), params)
         dist.show()
     else:
-        for name, df in pipeline.dashboard_tables(spark, args.out, params).items():
+        for name, df in runs.dashboard_tables(spark, args.out, params).items():
             df.write.mode("overwrite").json(os.path.join(args.out, "dashboard", name))
     spark.stop()
 

@@ -3,7 +3,7 @@
 The reference has no streaming operator: no watermark, window, state or
 late-data handling. Recency is measured against the batch's own latest
 purchase, and re-scoring means re-running the inference run
-(``plans.pipeline.run_inference``) on a fresh extract, which is a batch job.
+(``plans.runs.run_inference``) on a fresh extract, which is a batch job.
 Nothing here would correspond to reference behaviour, so no Structured
 Streaming query is defined.
 """
