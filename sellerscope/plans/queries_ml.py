@@ -30,12 +30,12 @@ def _metrics(inp, results):
 
 for _name, _algo in (("train_logreg", "LogisticRegression"), ("train_rf", "RandomForest"),
                      ("train_gbt", "GradientBoosting")):
-    def _mk(algo):
-        @register(_name)
+    def _mk(name, algo):
+        @register(name)
         def _q(inp):
             return _metrics(inp, [_stage(inp, "pre_activation", (algo,))])
         return _q
-    _mk(_algo)
+    _mk(_name, _algo)
 
 
 @register("train_pre_activation")
