@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sellerscope.llm import exact_dedup
+from sellerscope.llm import exact_dedup, near_dedup
 from sellerscope.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,3 +33,8 @@ SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION B
        doc_id = first_value(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
 FROM d WINDOW w AS (PARTITION BY norm ORDER BY points DESC, doc_id)
 """
+
+
+@query
+def op3_minhash_near_dedup(spark, sf_dir):
+    return near_dedup.near_groups(read_table(spark, sf_dir, "documents"))
