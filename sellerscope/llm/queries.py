@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sellerscope.llm import exact_dedup, near_dedup
+from sellerscope.llm import exact_dedup, near_dedup, packing
 from sellerscope.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +38,10 @@ FROM d WINDOW w AS (PARTITION BY norm ORDER BY points DESC, doc_id)
 @query
 def op3_minhash_near_dedup(spark, sf_dir):
     return near_dedup.near_groups(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_best_fit_packing(spark, sf_dir):
+    import public_tokenizers
+
+    return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
