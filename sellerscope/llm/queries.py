@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sellerscope.llm import exact_dedup, near_dedup, packing
+from sellerscope.llm import exact_dedup, mixing, near_dedup, packing, quality
 from sellerscope.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,16 @@ def op2_best_fit_packing(spark, sf_dir):
     import public_tokenizers
 
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op5_pfair_mixing(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.mix(docs).select("doc_id", "source", F.col("_component").alias("component"), F.col("_block").alias("block"),
+                                   F.col("_release").alias("release"), F.col("_deadline").alias("deadline"),
+                                   F.col("_slot").alias("slot"), F.col("_place").alias("place"))
+
+
+@query
+def op6_quality_classifier(spark, sf_dir):
+    return quality.quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
