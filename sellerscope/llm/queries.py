@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sellerscope.llm import exact_dedup, mixing, near_dedup, packing, quality
+from sellerscope.llm import classlm, exact_dedup, langid, mixing, near_dedup, packing, quality
 from sellerscope.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,22 @@ def op5_pfair_mixing(spark, sf_dir):
 @query
 def op6_quality_classifier(spark, sf_dir):
     return quality.quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def _fold(folds: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds))
+
+
+@query
+def op1_kneser_ney_langid(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    out = langid.identify(docs, langid.fit(docs, _fold(4) != 2))
+    return out.select("doc_id", (_fold(4) == 2).alias("held_out"), "lang_pred", "score", "bits", "rejected")
+
+
+@query
+def op8_class_lm_scoring(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    out = classlm.score(docs, _fold(7) != 2)
+    return out.withColumn("held_out", _fold(7) == 2).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
