@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sellerscope.llm import classlm, exact_dedup, langid, mixing, near_dedup, packing, quality
+from sellerscope.llm import ann, classlm, exact_dedup, langid, mixing, near_dedup, packing, quality
 from sellerscope.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,9 @@ def op8_class_lm_scoring(spark, sf_dir):
     out = classlm.score(docs, _fold(7) != 2)
     return out.withColumn("held_out", _fold(7) == 2).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op9_hnsw_neighbours(spark, sf_dir):
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.where("vec_id % 100 = 0"))
