@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sellerscope.llm import ann, classlm, exact_dedup, langid, mixing, near_dedup, packing, quality
+from sellerscope.llm import ann, classlm, exact_dedup, langid, licenses, linededup, mixing, near_dedup, packing, quality
 from sellerscope.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,14 @@ def op8_class_lm_scoring(spark, sf_dir):
 def op9_hnsw_neighbours(spark, sf_dir):
     vectors = read_table(spark, sf_dir, "embeddings")
     return ann.search(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+@query
+def op10_line_dedup(spark, sf_dir):
+    return linededup.line_groups(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_license_scan(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    return licenses.scan(docs, licenses.fit(docs))
