@@ -61,10 +61,12 @@ CUES = "licen|copyright|rights reserved|redistribut|permission|public domain|cre
 
 FAMILIES = sorted(TEMPLATES)
 BITS = 15
-WINDOW, STRIDE = 60, 30
+WINDOW, STRIDE = 16, 8
+#: words on either side of a window that its templates are compared with too
+AROUND = 32
 #: bound of the sample of ordinary paragraphs, and the share of held-out ones that may look like a licence
 SAMPLE, FALSE_ALARMS = 4_000, 0.001
-VARIANTS, ROUNDS, STEP = 60, 40, 0.5
+VARIANTS, ROUNDS, STEP = 90, 40, 0.5
 CONFIRMED = 0.6
 MEMO = 300_000
 STRIP = b".,;:!?\"'()[]{}<>*#/|"
@@ -107,7 +109,8 @@ class Model:
         return z / z.sum(axis=1, keepdims=True)
 
 
-def variants(seed: int = 5) -> list[tuple[str, int]]:
+def variants(ordinary: list[str], seed: int = 5) -> list[tuple[str, int]]:
+    """Notices with words left out and others around them; a third stand inside ordinary text."""
     rng = np.random.default_rng(seed)
     out = []
     for family, templates in TEMPLATES.items():
@@ -116,6 +119,10 @@ def variants(seed: int = 5) -> list[tuple[str, int]]:
             if len(words) > 6:
                 words = [w for w in words if rng.random() > 0.06]
             words = [*str(rng.choice(BEFORE)).split(), *words, *str(rng.choice(AFTER)).split()] if i >= len(templates) else words
+            if i % 3 == 2 and ordinary:
+                around = ordinary[rng.integers(len(ordinary))].split()
+                at = int(rng.integers(0, len(around) + 1))
+                words = [*around[max(0, at - int(rng.integers(0, 6))):at], *words, *around[at:at + int(rng.integers(0, 6))]]
             out.append((" ".join(words), FAMILIES.index(family)))
     return out
 
@@ -124,10 +131,12 @@ def train(ordinary: list[str]) -> Model:
     """Fit to the variants and to three quarters of the ordinary paragraphs; the others set the bound."""
     rng, memo, unknown = np.random.default_rng(11), Grams(), len(FAMILIES)
     ordinary = sorted(ordinary)
-    rows = variants() + [(t, unknown) for t in ORDINARY * 6] + [(t, unknown) for i, t in enumerate(ordinary) if i % 4]
+    rows = variants([t for i, t in enumerate(ordinary) if i % 4]) + [(t, unknown) for t in ORDINARY * 6] + [(t, unknown) for i, t in enumerate(ordinary) if i % 4]
     cases = []
     for text, y in rows:
-        words = words_of(text)[:WINDOW]
+        words = words_of(text)
+        at = int(rng.integers(0, max(1, len(words) - WINDOW + 1)))
+        words = words[at:at + WINDOW]
         if words:
             cases.append((np.concatenate(places(words, memo)), y, len(words)))
     w, b = np.zeros((2 << BITS, unknown + 1), np.float32), np.zeros(unknown + 1)
@@ -209,9 +218,10 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
             out = []
             for i in np.flatnonzero(p[np.arange(len(p)), best] >= m.least):
                 k, a, size_ = starts[i]
-                have = triples(words[a:a + size_])
+                line = int(begin[k])
+                have = triples(words[max(line, a - AROUND):min(line + int(size[k]), a + size_ + AROUND)])
                 near = max(len(t & have) / len(t) for t in known[FAMILIES[best[i]]])
-                out.append((k, a - int(begin[k]), FAMILIES[best[i]], float(p[i, best[i]]), near, near >= CONFIRMED))
+                out.append((k, a - line, FAMILIES[best[i]], float(p[i, best[i]]), near, near >= CONFIRMED))
             return out
 
         for pdf in batches:

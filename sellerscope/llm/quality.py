@@ -167,7 +167,8 @@ def quality(docs: DataFrame, labels: DataFrame, keep: float = KEEP) -> DataFrame
     joined = scored.join(sites, (F.col("host") == F.col("h")) & (F.col("path") == F.col("p")))
     return (joined.withColumn("host_rate", own_host).withColumn("path_rate", own_path)
             .withColumn("posterior", _sigmoid(F.col("evidence") + _logit(F.col("path_rate")) - prior))
-            .select("doc_id", "evidence", "host_rate", "path_rate", "posterior", (F.col("posterior") >= keep).alias("kept")))
+            .select("doc_id", "evidence", "host_rate", "path_rate", "posterior",
+                    (F.lit(model is None) | (F.col("posterior") >= keep)).alias("kept")))
 
 
 def drop_low_quality(docs: DataFrame, labels: DataFrame, keep: float = KEEP) -> DataFrame:
