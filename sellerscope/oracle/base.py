@@ -54,8 +54,8 @@ def xavg(c: str) -> str:
     return f"({xsum(c)} / count({c}))"
 
 
-WON = ("(TIMESTAMP '1995-01-01 00:00:00' + to_days(CAST((p_partkey * 37) % 2000 AS INTEGER))"
-       " + to_seconds(CAST((p_partkey * 7919) % 86400 AS BIGINT)))")
+WON = ("(TIMESTAMP '1994-07-01 00:00:00' + to_days(CAST((k * 37) % 2000 AS INTEGER))"
+       " + to_seconds(CAST((k * 7919) % 86400 AS BIGINT)))")
 
 _STATUS = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in FX.ORDER_STATUS.items())
 
@@ -78,42 +78,45 @@ def revenue_case(c: str) -> str:
 
 
 CTES = {
+    "f_keys": """
+SELECT p_partkey AS k, p_brand AS segment, CAST(p_retailprice AS DOUBLE) AS price, CAST(p_size AS DOUBLE) AS size FROM part
+UNION ALL
+SELECT c_custkey + 1000000000, c_mktsegment, CAST(abs(c_acctbal) AS DOUBLE), CAST(c_custkey % 50 + 1 AS DOUBLE) FROM customer""",
     "f_deals": f"""
-SELECT p_partkey AS mql_id, p_partkey AS seller_id, {WON} AS won_date,
-  CASE WHEN p_partkey % 50 = 0 THEN NULL ELSE p_brand END AS business_segment,
-  {pick('p_partkey % 9', FX.LEAD_TYPES)} AS lead_type,
-  {pick('(p_partkey // 9) % 6', FX.PROFILES)} AS lead_behaviour_profile,
-  {pick('p_partkey % 3', FX.BUSINESS_TYPES)} AS business_type,
-  CASE p_partkey % 4 WHEN 0 THEN NULL WHEN 1 THEN CAST(0 AS DOUBLE)
-       WHEN 2 THEN CAST(p_retailprice AS DOUBLE) ELSE CAST(p_retailprice AS DOUBLE) * 12 END
+SELECT k AS mql_id, k AS seller_id, {WON} AS won_date,
+  CASE WHEN k % 50 = 0 THEN NULL WHEN k % 499 = 1 THEN 'NICHE_' || CAST(k % 5 AS VARCHAR) ELSE segment END AS business_segment,
+  {pick('k % 9', FX.LEAD_TYPES)} AS lead_type,
+  {pick('(k // 9) % 6', FX.PROFILES)} AS lead_behaviour_profile,
+  {pick('k % 3', FX.BUSINESS_TYPES)} AS business_type,
+  CASE k % 4 WHEN 0 THEN NULL WHEN 1 THEN CAST(0 AS DOUBLE) WHEN 2 THEN price ELSE price * 12 END
     AS declared_monthly_revenue,
-  CASE p_partkey % 5 WHEN 0 THEN NULL WHEN 1 THEN CAST(0 AS DOUBLE) ELSE CAST(p_size AS DOUBLE) END
+  CASE k % 5 WHEN 0 THEN NULL WHEN 1 THEN CAST(0 AS DOUBLE) ELSE size END
     AS declared_product_catalog_size,
-  CASE p_partkey % 3 WHEN 0 THEN NULL WHEN 1 THEN TRUE ELSE FALSE END AS has_company,
-  (p_partkey % 2 = 0) AS has_gtin
-FROM part""",
+  CASE k % 3 WHEN 0 THEN NULL WHEN 1 THEN TRUE ELSE FALSE END AS has_company,
+  (k % 2 = 0) AS has_gtin
+FROM f_keys""",
     "f_mqls": f"""
-SELECT p_partkey AS mql_id,
-  CASE WHEN p_partkey % 11 = 0 THEN NULL
-       ELSE {WON} - to_days(CAST((p_partkey * 13) % 120 AS INTEGER)) END AS first_contact_date,
+SELECT CASE WHEN k % 20 = 0 THEN -k ELSE k END AS mql_id,
+  CASE WHEN k % 11 = 0 THEN NULL
+       ELSE {WON} - to_days(CAST((k * 13) % 120 AS INTEGER)) END AS first_contact_date,
   'lp' || CAST(p_size AS VARCHAR) AS landing_page_id,
-  CASE WHEN p_partkey % 17 = 0 THEN NULL ELSE p_type END AS origin
-FROM part WHERE p_partkey % 20 <> 0""",
+  CASE WHEN k % 17 = 0 THEN NULL ELSE p_type END AS origin
+FROM (SELECT p_partkey AS k, p_size, p_type FROM part)""",
     "f_sellers": """
-SELECT p_partkey AS seller_id, 'CITY_' || CAST(p_size AS VARCHAR) AS seller_city, n_name AS seller_state
-FROM part JOIN nation ON p_partkey % 25 = n_nationkey WHERE p_partkey % 10 < 9""",
+SELECT CASE WHEN p_partkey % 10 = 9 THEN -p_partkey ELSE p_partkey END AS seller_id,
+  'CITY_' || CAST(p_size AS VARCHAR) AS seller_city, n_name AS seller_state
+FROM part JOIN nation ON p_partkey % 25 = n_nationkey""",
     "f_orders": f"""
 SELECT o_orderkey AS order_id, o_custkey AS customer_id,
   CASE o_orderstatus {_STATUS} END AS order_status,
   CAST(o_orderdate AS TIMESTAMP) AS order_purchase_timestamp,
   CAST(NULL AS TIMESTAMP) AS order_delivered_customer_date
 FROM orders""",
-    "f_items": f"""
-SELECT l_orderkey AS order_id, l_partkey AS seller_id, CAST(l_extendedprice AS DOUBLE) AS price,
+    "f_items": """
+SELECT l_orderkey AS order_id, l_partkey AS seller_id,
+  CASE WHEN l_partkey % 40 = 7 THEN 0.0 ELSE CAST(l_extendedprice AS DOUBLE) END AS price,
   CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(6,4)), 2) AS DOUBLE) AS freight_value
-FROM lineitem
-WHERE l_linenumber <= {FX.MAX_LINE_PER_ORDER}
-  AND l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '{FX.ITEM_PRIORITY}')""",
+FROM lineitem""",
     "f_seller_master": f"""
 SELECT d.*, m.first_contact_date, m.landing_page_id, m.origin,
   {days('m.first_contact_date', 'd.won_date')} AS sales_cycle_days,
@@ -198,7 +201,7 @@ FROM f_scored0""",
 SELECT *,
   CAST((seller_id * 31) % 1000 AS DOUBLE) / CAST(1000 AS DOUBLE) AS never_activated_risk,
   CASE WHEN never_activated = 1 THEN NULL
-       ELSE CAST(days_since_last_sale AS DOUBLE) / (CAST(days_since_last_sale AS DOUBLE) + CAST(60 AS DOUBLE))
+       ELSE CAST(days_since_last_sale AS DOUBLE) / (CAST(days_since_last_sale AS DOUBLE) + CAST(30 AS DOUBLE))
   END AS dormancy_risk
 FROM f_nb""",
     "f_nb_scored1": "SELECT *, coalesce(dormancy_risk, never_activated_risk) AS overall_churn_risk FROM f_nb_scored0",

@@ -54,7 +54,9 @@ class Inputs:
 
     @cached_property
     def notebook_scored(self) -> DataFrame:
-        """Notebook scoring: dormancy risk overrides, suffixed labels."""
+        """Notebook scoring: dormancy risk overrides, suffixed labels. The
+        formula's half-way point is half the dormancy bound, so active sellers
+        reach the at-risk range."""
         from sellerscope import config as C
-        return risk.formula_scores(self.notebook, self.params.dormant_days, override=True,
+        return risk.formula_scores(self.notebook, self.params.dormant_days // 2, override=True,
                                    labels=C.NOTEBOOK_RISK_LABELS)

@@ -275,10 +275,13 @@ SELECT strftime(won_date, '%Y-%m') AS cohort_month,
 FROM f_labelled WHERE won_date IS NOT NULL GROUP BY 1"""
 
 
-@register("complete_cohorts", sql=with_ctes(f"SELECT * FROM c WHERE cohort_month < '{C.COHORT_CUTOFF}'",
-                                            c=COHORT_SQL))
+#: a cut-off inside the test tables' range of dates
+CUTOFF = "1998-01"
+
+
+@register("complete_cohorts", sql=with_ctes("SELECT * FROM c WHERE cohort_month < '1998-01'", c=COHORT_SQL))
 def q_complete_cohorts(inp):
-    return cohorts.complete_cohorts(cohorts.cohort_analysis(inp.labelled))
+    return cohorts.complete_cohorts(cohorts.cohort_analysis(inp.labelled), CUTOFF)
 
 
 def _segment_sql(col: str, source: str = "f_labelled") -> str:

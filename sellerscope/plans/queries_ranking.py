@@ -110,11 +110,10 @@ POTENTIAL = ("CASE WHEN coalesce(total_gmv > 0, FALSE) THEN CAST(total_gmv AS DO
 @register("intervention_top100", sql=with_ctes(f"""
 SELECT {', '.join(C.TOP100_COLUMNS)} FROM (
   SELECT *, {POTENTIAL} AS potential_value, {ACTION_SQL} AS recommended_action
-  FROM f_scored WHERE overall_churn_risk > 0.6 AND churned = 0)
+  FROM f_nb_scored WHERE overall_churn_risk > 0.6 AND churned = 0)
 ORDER BY overall_churn_risk DESC, potential_value DESC NULLS LAST, seller_id LIMIT 100"""))
 def q_intervention_top100(inp):
-    # the notebook list applied to the pipeline's risk (max of both scores)
-    return IV.intervention_top100(inp.scored)
+    return IV.intervention_top100(inp.notebook_scored)
 
 
 @register("top_segments", sql=with_ctes("""

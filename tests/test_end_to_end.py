@@ -50,10 +50,10 @@ def test_invariants(inputs):
 
 
 def test_fixture_counts_match_survey(inputs):
-    # measured with DuckDB in FIXTURES.md: sf0.001 has 200 sellers, 124 never / 75 dormant / 5 active
+    # measured with DuckDB in FIXTURES.md: sf0.001 has 350 sellers, 173 never / 96 dormant / 92 active
     lab = inputs.labelled
     r = lab.agg(F.count(F.lit(1)), F.sum("never_activated"), F.sum("dormant"), F.sum("active")).first()
-    assert tuple(r) == (200, 124, 75, 5)
+    assert tuple(r) == (350, 173, 96, 92)
 
 
 def _norm(v):
