@@ -8,8 +8,8 @@ operators here instead:
    fetched once as literals (B - 1 doubles; a bounded fetch, and a recomputed
    task sees the same edges, so rows never move between buckets);
 3. run the ordered window inside each (partition, bucket);
-4. add per-bucket offsets from a table of at most ``P x B`` rows, which is
-   small by construction and therefore the only thing broadcast.
+4. add per-bucket offsets from a table of at most ``P x B`` rows; whether it
+   is broadcast is left to the measured size (AQE).
 
 The same table yields average ranks (pandas ``rank(pct=True)``), exact
 interpolated quantiles (numpy's linear method), ROC/PR cumulative counts and
@@ -141,7 +141,7 @@ def prefix_sums(df: DataFrame, value_col: str, sums: dict[str, Column],
          .rowsBetween(Window.unboundedPreceding, -1))
     within = bucketed.withColumns({f"{n}_in": F.coalesce(F.sum(n).over(w), F.lit(0)) for n in sums})
     offsets = _offsets(bucketed, partition_cols, list(sums))
-    out = within.join(F.broadcast(offsets), [*partition_cols, _BUCKET], "inner")
+    out = within.join(offsets, [*partition_cols, _BUCKET], "inner")
     out = out.withColumns({f"{n}_before": F.col(f"{n}_offset") + F.col(f"{n}_in") for n in sums})
     return out.drop(_BUCKET, "_ord", *[f"{n}_in" for n in sums], *[f"{n}_offset" for n in sums])
 
@@ -196,7 +196,7 @@ def row_positions(df: DataFrame, order_cols: list[str], partition_cols=(),
     w = Window.partitionBy(*partition_cols, _BUCKET).orderBy(*order_cols)
     within = b.withColumn("_pos_in", F.row_number().over(w)).withColumn("_one", F.lit(1).cast("long"))
     offsets = _offsets(within, partition_cols, ["_one"])
-    out = within.join(F.broadcast(offsets), [*partition_cols, _BUCKET], "inner")
+    out = within.join(offsets, [*partition_cols, _BUCKET], "inner")
     out = out.withColumns({out_col: F.col("_one_offset") + F.col("_pos_in"),
                            total_col: F.col("_one_total")})
     return out.drop(_BUCKET, "_pos_in", "_one", "_one_offset", "_one_total")

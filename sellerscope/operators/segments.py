@@ -9,10 +9,8 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from sellerscope import config as C
 from sellerscope.functions import decimal_mean, exact_avg, exact_sum, pct, revenue_band, round1
@@ -210,45 +208,35 @@ def chi_square_test(table: DataFrame) -> DataFrame:
                        chi2_sf(F.col("chi2"), F.col("dof").cast("double")).alias("p_value"))
 
 
-def _gammaincc(a: float, x: float) -> float:
-    """Regularised upper incomplete gamma Q(a, x) (series / continued fraction)."""
-    if x <= 0:
-        return 1.0
-    lg = math.lgamma(a)
-    if x < a + 1:
-        term = total = 1.0 / a
-        ap = a
-        for _ in range(1000):
-            ap += 1
-            term *= x / ap
-            total += term
-            if abs(term) < abs(total) * 1e-16:
-                break
-        return max(0.0, 1.0 - total * math.exp(-x + a * math.log(x) - lg))
-    b = x + 1 - a
-    c = 1 / 1e-300
-    d = 1 / b
-    h = d
-    for i in range(1, 1000):
-        an = -i * (i - a)
-        b += 2
-        d = an * d + b
-        d = 1e-300 if abs(d) < 1e-300 else d
-        c = b + an / c
-        c = 1e-300 if abs(c) < 1e-300 else c
-        d = 1 / d
-        delta = d * c
-        h *= delta
-        if abs(delta - 1) < 1e-16:
-            break
-    return math.exp(-x + a * math.log(x) - lg) * h
-
-
-@F.pandas_udf(DoubleType())
-def chi2_sf(x: pd.Series, dof: pd.Series) -> pd.Series:
-    """P(X > x) for X ~ chi-square(dof); a scalar helper on aggregated rows."""
-    return pd.Series([float("nan") if (pd.isna(a) or pd.isna(k) or k <= 0) else _gammaincc(k / 2.0, a / 2.0)
-                      for a, k in zip(x, dof)])
+def chi2_sf(x: F.Column, dof: F.Column) -> F.Column:
+    """P(X > x) for X ~ chi-square(dof), dof a whole number: the finite sum
+    exp(-y) * sum(y^(a + i) / Gamma(a + i + 1)), y = x / 2, which starts at a = 0
+    for even dof and at a = 1/2, after erfc(sqrt(y)), for odd ones."""
+    y = x / 2
+    odd = F.pmod(dof, F.lit(2)) == 1
+    start = F.when(odd, F.sqrt(y) * 2 / math.sqrt(math.pi)).otherwise(F.lit(1.0))
+    half = F.when(odd, F.lit(0.5)).otherwise(F.lit(0.0))
+    steps = F.floor(dof / 2).cast("int")
+    first = F.struct(start.alias("term"), F.lit(0.0).alias("total"))
+    total = F.aggregate(
+        F.when(steps > 0, F.sequence(F.lit(1), steps)).otherwise(F.array().cast("array<int>")), first,
+        lambda acc, i: F.struct((acc["term"] * y / (i + half)).alias("term"), (acc["total"] + acc["term"]).alias("total")),
+        lambda acc: acc["total"])
+    out = F.when(odd, erfc(F.sqrt(y))).otherwise(F.lit(0.0)) + F.exp(-y) * total
+    return F.when((dof > 0) & x.isNotNull(), F.when(x <= 0, F.lit(1.0)).otherwise(out)).otherwise(F.lit(float("nan")))
+
+
+def erfc(z: F.Column) -> F.Column:
+    """Complementary error function of z >= 0: a power series, from 2 on a continued fraction."""
+    start = F.struct(z.alias("term"), z.alias("total"))
+    series = F.aggregate(
+        F.sequence(F.lit(1), F.lit(60)), start,
+        lambda acc, n: F.struct((acc["term"] * 2 * z * z / (n * 2 + 1)).alias("term"),
+                                (acc["total"] + acc["term"] * 2 * z * z / (n * 2 + 1)).alias("total")),
+        lambda acc: acc["total"])
+    fraction = F.aggregate(F.sequence(F.lit(120), F.lit(1), F.lit(-1)), F.lit(0.0), lambda acc, n: n / 2.0 / (z + acc))
+    scale = F.exp(-z * z) / math.sqrt(math.pi)
+    return F.when(z < 2, 1 - 2 * scale * series).otherwise(scale / (z + fraction))
 
 
 def active_vs_dormant(nb: DataFrame) -> DataFrame:

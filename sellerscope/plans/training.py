@@ -193,7 +193,7 @@ def metrics_frame(spark, results: list[StageResult], run_id: str | None = None)
     rows = []
     for res in results:
         for i, m in enumerate(res.metrics):
-            rows.append((run_id, m["stage"], m["algorithm"], i, m["params"], float(m["roc_auc"] or 0.0),
+            rows.append((run_id, m["stage"], m["algorithm"], i, m["params"], None if m["roc_auc"] is None else float(m["roc_auc"]),
                          float(m["accuracy"]), float(m["precision"]), float(m["recall"]), float(m["f1_score"]),
                          bool(m["is_best"])))
     schema = ("run_id string, stage string, algorithm string, candidate_order int, params map<string,string>, "

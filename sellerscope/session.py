@@ -41,7 +41,6 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -61,11 +60,14 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder, creating a private one only if unset."""
+    """Return the checkpoint folder. A private one is made only where it is
+    unset and the master is local; on a cluster the folder must be named."""
     d = checkpoint_dir(spark)
     if not d:
-        # Only reached when nothing is configured (local tests / bench).
-        d = tempfile.mkdtemp(prefix="sellerscope-ckpt-")
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        d = tempfile.mkdtemp(prefix="sellerscope-ckpt-")  # one process: tests, bench
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir() or d
