@@ -1,5 +1,6 @@
 """Registered queries whose result comes from a model fit (SURVEY 2.11,
-2.1 persistence): rows-only checks, no SQL equivalent."""
+2.1 persistence). SQL has no equal of a fit; the ``*_facts`` ids state what
+must hold of any fit (split sizes, ranges, consistency) and have oracles."""
 
 from __future__ import annotations
 
@@ -7,17 +8,19 @@ from pyspark.sql import functions as F
 
 from sellerscope.operators import evaluation as EV
 from sellerscope.operators.scalars import attach_scalars
+from sellerscope.oracle.base import with_ctes
 from sellerscope.plans import features as FE
 from sellerscope.plans import scoring as SC
 from sellerscope.plans import training as TR
 from sellerscope.plans.catalog import register
+from sellerscope.plans.queries_ranking import HASH
 from sellerscope.session import scratch_path
 
 _FITS: dict = {}
 
 
 def _stage(inp, stage: str, algorithms=TR.ALGORITHMS):
-    key = (inp.sf_dir, stage, tuple(algorithms))
+    key = (inp.spark.sparkContext.applicationId, inp.sf_dir, stage, tuple(algorithms), inp.params)
     if key not in _FITS:
         fit = TR.pre_activation if stage == "pre_activation" else TR.retention
         _FITS[key] = fit(inp.labelled, inp.params, algorithms=algorithms)
@@ -106,3 +109,82 @@ def q_model_save_load(inp):
     loaded = TR.load_model(path)
     return TR.positive_probability(loaded, inp.labelled, "never_activated_risk").select(
         "seller_id", "never_activated", "never_activated_risk")
+
+
+def _facts_sql(stage: str, label: str, rows: str) -> str:
+    """Rows of the outer test part and of the inner parts, from the md5 splits."""
+    split = f"(row_number() OVER (PARTITION BY {label} ORDER BY {HASH}, seller_id) <= ceil(count(*) OVER (PARTITION BY {label}) * 0.25))"
+    return f"""
+SELECT '{stage}' AS stage, CAST((SELECT count(*) FROM o WHERE t) AS BIGINT) AS outer_test_rows,
+  CAST(sum(CAST(NOT i AS INTEGER)) AS BIGINT) AS train_rows, CAST(sum(CAST(i AS INTEGER)) AS BIGINT) AS test_rows,
+  3::BIGINT AS candidates, 1::BIGINT AS best, TRUE AS best_has_highest_auc, TRUE AS metrics_in_range, TRUE AS importance_sums_to_one
+FROM (SELECT *, {split} AS i FROM (SELECT seller_id, {label} FROM o WHERE NOT t))""".replace("FROM o", f"FROM o_{stage}"), f"""
+SELECT seller_id, {label}, {split} AS t FROM f_labelled WHERE {rows}"""
+
+
+_PRE, _O_PRE = _facts_sql("pre_activation", "never_activated", "TRUE")
+_RET, _O_RET = _facts_sql("retention", "dormant", "never_activated = 0")
+
+
+@register("train_facts", sql=with_ctes(f"{_PRE} UNION ALL {_RET}", o_pre_activation=_O_PRE, o_retention=_O_RET))
+def q_train_facts(inp):
+    rows = []
+    for stage in ("pre_activation", "retention"):
+        res = _stage(inp, stage)
+        best = [m for m in res.metrics if m["is_best"]]
+        rows.append((stage, *(res.sizes[k] for k in ("outer_test_rows", "train_rows", "test_rows")), len(res.metrics), len(best),
+                     best[0]["roc_auc"] == max(m["roc_auc"] for m in res.metrics),
+                     all(0 <= m[k] <= 1 for m in res.metrics for k in ("roc_auc", "accuracy", "precision", "recall", "f1_score")),
+                     all(abs(sum(v for _, v in x) - 1) < 1e-9 for x in res.importance.values())))
+    return inp.spark.createDataFrame(rows, (
+        "stage string, outer_test_rows long, train_rows long, test_rows long, candidates long, best long, "
+        "best_has_highest_auc boolean, metrics_in_range boolean, importance_sums_to_one boolean"))
+
+
+@register("score_sellers_facts", sql=with_ctes("""
+SELECT seller_id, never_activated = 0 AS has_dormancy_risk, TRUE AS in_range, TRUE AS overall_is_max, TRUE AS category_is_bin
+FROM f_labelled"""))
+def q_score_sellers_facts(inp):
+    from sellerscope.functions import risk_category
+    pre, ret = _stage(inp, "pre_activation"), _stage(inp, "retention")
+    scored = SC.score_sellers(inp.labelled, pre.model, ret.model)
+    never, dormant, overall = F.col("never_activated_risk"), F.col("dormancy_risk"), F.col("overall_churn_risk")
+    return scored.select(
+        "seller_id", dormant.isNotNull().alias("has_dormancy_risk"),
+        (never.between(0, 1) & F.coalesce(dormant, never).between(0, 1)).alias("in_range"),
+        (overall == F.greatest(never, dormant)).alias("overall_is_max"),
+        F.col("risk_category").eqNullSafe(risk_category("overall_churn_risk")).alias("category_is_bin"))
+
+
+@register("model_reload_facts", sql=with_ctes("SELECT count(*) AS sellers, TRUE AS reloaded_scores_are_equal FROM f_labelled"))
+def q_model_reload_facts(inp):
+    pre = _stage(inp, "pre_activation")
+    path = scratch_path(inp.spark, "pre_activation_model")
+    TR.save_model(pre.model, path)
+    both = TR.positive_probability(TR.load_model(path), TR.positive_probability(pre.model, inp.labelled, "_a"), "_b")
+    return both.agg(F.count("*").alias("sellers"), F.bool_and(F.col("_a") == F.col("_b")).alias("reloaded_scores_are_equal"))
+
+
+def _held_out(inp, stage: str):
+    res = _stage(inp, stage)
+    return EV.with_prediction(TR.positive_probability(res.model, res.outer_test, "p"), "p")
+
+
+for _stage_name in ("pre_activation", "retention"):
+    def _mk_fitted(stage):
+        @register(f"fitted_report_{stage}")
+        def _report(inp):
+            return EV.classification_report(_held_out(inp, stage), "label")
+
+        @register(f"fitted_confusion_{stage}")
+        def _confusion(inp):
+            return EV.confusion_matrix(_held_out(inp, stage), "label")
+
+        @register(f"fitted_roc_{stage}")
+        def _roc(inp):
+            return EV.roc_curve(_held_out(inp, stage), "label", "p")
+
+        @register(f"fitted_pr_{stage}")
+        def _pr(inp):
+            return EV.pr_curve(_held_out(inp, stage), "label", "p")
+    _mk_fitted(_stage_name)

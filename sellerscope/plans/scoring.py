@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sellerscope import config as C
 from sellerscope.config import DEFAULT_PARAMS, ChurnParams
+from sellerscope.operators.ranking import materialize
 from sellerscope.operators.risk import combine_risk
 from sellerscope.plans import training as TR
 
@@ -45,7 +46,7 @@ def score_columns(scored: DataFrame) -> DataFrame:
 def train_and_score(labelled: DataFrame, params: ChurnParams = DEFAULT_PARAMS, algorithms=TR.ALGORITHMS):
     """The training run's model part: both stages, then scoring of all
     sellers (scores are in-sample for training rows, as in the reference)."""
-    labelled = labelled.persist()
+    labelled = materialize(labelled)
     pre = TR.pre_activation(labelled, params, algorithms=algorithms)
     ret = TR.retention(labelled, params, algorithms=algorithms)
     scored = score_sellers(labelled, pre.model, ret.model) if pre.model is not None else None

@@ -27,23 +27,23 @@ from pyspark.sql import functions as F
 from sellerscope import config as C
 from sellerscope.config import DEFAULT_PARAMS, ChurnParams
 from sellerscope.operators import evaluation as EV
-from sellerscope.operators.ranking import stratified_split
+from sellerscope.operators.ranking import materialize, stratified_split
 from sellerscope.operators.scalars import attach_scalars
 from sellerscope.plans import features as FE
 
 MIN_ROWS = 10
-ROWS_PER_FIT_PARTITION = 250_000
+#: partitions of the training rows in a fit; the same at every size, as forests depend on it
+FIT_PARTITIONS = 4
 ALGORITHMS = ("LogisticRegression", "RandomForest", "GradientBoosting")
 
 
 def class_weights(df: DataFrame, label_col: str, out_col: str = "weight") -> DataFrame:
-    """'balanced' weights n / (k * n_c), joined from a per-class table
-    (one row per class, so the broadcast is bounded by the class count)."""
+    """'balanced' weights n / (k * n_c), joined from a per-class table."""
     counts = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("_nc"))
     totals = counts.agg(F.sum("_nc").alias("_n"), F.count(F.lit(1)).alias("_k"))
     weights = attach_scalars(counts, totals).select(
         label_col, (F.col("_n").cast("double") / (F.col("_k") * F.col("_nc"))).alias(out_col))
-    return df.join(F.broadcast(weights), label_col, "left")
+    return df.join(weights, label_col, "left")
 
 
 def make_estimator(name: str, n_train: int, params: ChurnParams = DEFAULT_PARAMS,
@@ -85,6 +85,7 @@ class StageResult:
     importance: dict[str, list[tuple[str, float]]] = field(default_factory=dict)
     outer_test: DataFrame | None = None
     skipped: str | None = None
+    sizes: dict[str, int] = field(default_factory=dict)
 
 
 def _label_counts(df: DataFrame, label_col: str) -> dict:
@@ -93,7 +94,7 @@ def _label_counts(df: DataFrame, label_col: str) -> dict:
 
 def train_stage(data: DataFrame, stage: str, label_col: str, feature_pipeline: Pipeline,
                 feature_cols: list[str], params: ChurnParams = DEFAULT_PARAMS,
-                algorithms=ALGORITHMS) -> StageResult:
+                algorithms=ALGORITHMS, fit_partitions: int = FIT_PARTITIONS) -> StageResult:
     """Fit the candidates of one stage and keep the best by held-out AUC.
 
     Outer stratified split (75/25, seeded hash) -> inner split of the outer
@@ -112,18 +113,16 @@ def train_stage(data: DataFrame, stage: str, label_col: str, feature_pipeline: P
         res.skipped = "single class"
         return res
     feat_model = feature_pipeline.fit(base)
-    split = stratified_split(base, "label", "seller_id", params.test_size, params.seed)
-    split = split.persist()
+    # both splits feed every candidate: written once, and read where they are needed
+    split = materialize(stratified_split(base, "label", "seller_id", params.test_size, params.seed))
     outer_train = split.filter(F.col("is_test") == 0).drop("is_test")
     res.outer_test = split.filter(F.col("is_test") == 1).drop("is_test")
-    inner = stratified_split(outer_train, "label", "seller_id", params.test_size, params.seed)
+    inner = materialize(stratified_split(outer_train, "label", "seller_id", params.test_size, params.seed))
     inner_train = class_weights(inner.filter(F.col("is_test") == 0).drop("is_test"), "label")
     inner_test = inner.filter(F.col("is_test") == 1).drop("is_test")
-    # iterative fits run one job per iteration/level: size partitions to the
-    # data (about ROWS_PER_FIT_PARTITION rows each) rather than the upstream
-    # shuffle width, so small stages do not pay per-task overhead 100s of times
-    parts = max(1, -(-n // ROWS_PER_FIT_PARTITION))
-    train_feats = feat_model.transform(inner_train).repartition(parts).persist()
+    res.sizes = {r["is_test"]: r["count"] for r in inner.groupBy("is_test").count().collect()}
+    res.sizes = {"outer_test_rows": n - sum(res.sizes.values()), "train_rows": res.sizes.get(0, 0), "test_rows": res.sizes.get(1, 0)}
+    train_feats = feat_model.transform(inner_train).repartition(fit_partitions, "seller_id").persist()
     n_train = train_feats.count()
     fitted = {}
     for name in algorithms:
