@@ -28,7 +28,7 @@ def _stage(inp, stage: str, algorithms=TR.ALGORITHMS):
 
 
 def _metrics(inp, results):
-    return TR.metrics_frame(inp.spark, results, run_id="sf:" + inp.sf_dir)
+    return TR.metrics_frame(inp.spark, results, run_id="sf:" + inp.sf_dir, params=inp.params)
 
 
 for _name, _algo in (("train_logreg", "LogisticRegression"), ("train_rf", "RandomForest"),

@@ -27,13 +27,13 @@ def labelled_master(tables: dict[str, DataFrame], params: ChurnParams = DEFAULT_
     return labels.define_churn_labels(master.build_master(tables, params.completed_statuses), params)
 
 
-def _write(df: DataFrame, out_dir: str, name: str, fmt: str, skip_empty: bool = False) -> None:
-    sinks.write_table(df, os.path.join(out_dir, name), fmt, skip_empty)
+def _write(df: DataFrame, out_dir: str, name: str, fmt: str) -> None:
+    sinks.write_table(df, os.path.join(out_dir, name), fmt)
 
 
 def run_training(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
                  params: ChurnParams = DEFAULT_PARAMS, fmt: str = "parquet",
-                 algorithms=TR.ALGORITHMS) -> dict:
+                 algorithms=TR.ALGORITHMS, run_id: str | None = None) -> dict:
     """Analytics + both models + scoring + exports. The labelled master is
     written once and re-read, so its lineage (the large join and the
     activity aggregation) is computed a single time for all consumers."""
@@ -51,7 +51,7 @@ def run_training(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str
         pre = TR.pre_activation(lab, params, algorithms=algorithms)
         ret = TR.retention(lab, params, algorithms=algorithms)
         result.update(pre_activation=pre, retention=ret)
-        runs = TR.metrics_frame(spark, [r for r in (pre, ret) if r.metrics])
+        runs = TR.metrics_frame(spark, [r for r in (pre, ret) if r.metrics], run_id, params)
         TR.log_run(runs, os.path.join(out_dir, "model_runs"))
         for res in (pre, ret):
             if res.model is not None:
@@ -65,7 +65,7 @@ def run_training(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str
             scored = spark.read.parquet(spath)
             _write(quality.check_scores(scored), out_dir, "contract_risk_scores", fmt)
             iv = interventions.intervention_list(scored, params)
-            _write(iv, out_dir, "intervention_priority_list", fmt, skip_empty=True)
+            _write(iv, out_dir, "intervention_priority_list", fmt)  # empty too: no old list stays
             _write(interventions.business_gains(iv, params), out_dir, "business_gains", fmt)
             _write(interventions.urgency_tiers(iv), out_dir, "urgency_tiers", fmt)
             _write(summary.exec_summary(scored), out_dir, "exec_summary", fmt)
@@ -90,15 +90,19 @@ def run_inference(spark: SparkSession, tables: dict[str, DataFrame], model_dir:
     return risk.risk_distribution(sinks.read_back(spark, out_path, fmt) if fmt == "parquet" else out)
 
 
-def dashboard_tables(spark: SparkSession, out_dir: str, params: ChurnParams = DEFAULT_PARAMS) -> dict[str, DataFrame]:
+def dashboard_tables(spark: SparkSession, out_dir: str, params: ChurnParams = DEFAULT_PARAMS,
+                     fmt: str = "parquet") -> dict[str, DataFrame]:
     """KPI row, risk distribution, complete cohorts, top segments, profile
     and state series, intervention payload and combined metrics, from the
     training run's outputs; a missing output gives an empty table (never
     invented numbers)."""
-    def read(name):
-        return registry.safe_read(spark, os.path.join(out_dir, name))
+    def read(name, fmt=fmt):
+        path = os.path.join(out_dir, name)
+        if registry._path_exists(spark, path):
+            return sinks.read_back(spark, path, fmt)
+        return registry.safe_read(spark, path)
 
-    scores = read("seller_risk_scores")
+    scores = read("seller_risk_scores", "parquet")
     out = {}
     if scores.columns:
         out["kpi"] = summary.kpi_row(scores, params)

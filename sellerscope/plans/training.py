@@ -186,18 +186,20 @@ def evaluate_model(res: StageResult) -> DataFrame:
     return attach_scalars(out, n).select(F.lit(res.stage).alias("stage"), F.lit(res.best).alias("algorithm"), "*")
 
 
-def metrics_frame(spark, results: list[StageResult], run_id: str | None = None) -> DataFrame:
-    """Run log rows: run id, stage, algorithm, params, five metrics, is_best."""
-    run_id = run_id or uuid.uuid4().hex
+def metrics_frame(spark, results: list[StageResult], run_id: str | None = None,
+                  params: ChurnParams = DEFAULT_PARAMS) -> DataFrame:
+    """Run log rows: run id, stage, algorithm, params, five metrics, is_best, and the run's configuration."""
+    run_id = run_id or "run-" + uuid.uuid4().hex
+    config = {k: str(v) for k, v in params.as_dict().items()}
     rows = []
     for res in results:
         for i, m in enumerate(res.metrics):
             rows.append((run_id, m["stage"], m["algorithm"], i, m["params"], None if m["roc_auc"] is None else float(m["roc_auc"]),
                          float(m["accuracy"]), float(m["precision"]), float(m["recall"]), float(m["f1_score"]),
-                         bool(m["is_best"])))
+                         bool(m["is_best"]), config))
     schema = ("run_id string, stage string, algorithm string, candidate_order int, params map<string,string>, "
               "roc_auc double, accuracy double, precision double, recall double, f1_score double, "
-              "is_best boolean")
+              "is_best boolean, config map<string,string>")
     return spark.createDataFrame(rows, schema)
 
 
@@ -212,8 +214,10 @@ def importance_frame(spark, res: StageResult, algorithm: str | None = None) -> D
 
 
 def log_run(metrics: DataFrame, path: str) -> None:
-    """Append the run's candidate rows to the ``model_runs`` table."""
-    metrics.write.mode("append").parquet(path)
+    """Add the run's candidate rows to the ``model_runs`` table; a run that is
+    logged again replaces its own rows."""
+    (metrics.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_id").parquet(path))
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -44,13 +44,22 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 def _cast_text(c, dtype):
-    if isinstance(dtype, T.TimestampNTZType):
-        return F.try_to_timestamp(c).cast("timestamp_ntz")
     if isinstance(dtype, T.StringType):
         return c
     return c.try_cast(dtype)
 
 
+def malformed_counts(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """(column, malformed, missing) of a CSV extract: values that do not parse as
+    the declared type (they read as NULL), and whether the column is absent."""
+    raw = spark.read.option("header", True).csv(path)
+    counts = [F.struct(F.lit(f.name).alias("column"),
+                       (F.count_if(F.col(f.name).isNotNull() & _cast_text(F.col(f.name), f.dataType).isNull())
+                        if f.name in raw.columns else F.lit(0).cast("long")).alias("malformed"),
+                       F.lit(f.name not in raw.columns).alias("missing")) for f in schema.fields]
+    return raw.agg(F.array(*counts).alias("c")).select(F.explode("c").alias("c")).select("c.*")
+
+
 def safe_read(spark: SparkSession, path: str, schema: T.StructType | None = None,
               fmt: str | None = None) -> DataFrame:
     """Read when present, else an empty table of the declared schema."""
@@ -86,7 +95,7 @@ class TableRegistry:
 def parse_dates(data: dict[str, DataFrame], date_columns: dict | None = None) -> dict[str, DataFrame]:
     """Cast the listed date columns to timestamp_ntz where present.
 
-    Text that does not parse becomes NULL (``try_to_timestamp``).
+    Text that does not parse becomes NULL; no session time zone takes part.
     """
     date_columns = date_columns or schemas.DATE_COLUMNS
     out = dict(data)
@@ -99,7 +108,7 @@ def parse_dates(data: dict[str, DataFrame], date_columns: dict | None = None) ->
             if c in df.columns:
                 dtype = df.schema[c].dataType
                 if isinstance(dtype, T.StringType):
-                    changes[c] = F.try_to_timestamp(F.col(c)).cast("timestamp_ntz")
+                    changes[c] = F.col(c).try_cast("timestamp_ntz")
                 elif not isinstance(dtype, T.TimestampNTZType):
                     changes[c] = F.col(c).cast("timestamp_ntz")
         if changes:

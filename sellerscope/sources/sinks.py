@@ -10,17 +10,13 @@ def project_available(df: DataFrame, preferred) -> DataFrame:
     return df.select(*[c for c in preferred if c in df.columns])
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", skip_empty: bool = False) -> bool:
-    """Write (overwrite) with a header row for CSV; optionally skip when
-    empty (a one-row probe, not a count). Returns whether it wrote."""
-    if skip_empty and df.isEmpty():
-        return False
+def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Write (overwrite, so an empty result replaces an old one too), with a header row for CSV."""
     w = df.write.mode("overwrite")
     if fmt == "csv":
         w.option("header", True).csv(path)
     else:
         w.parquet(path)
-    return True
 
 
 def read_back(spark, path: str, fmt: str = "parquet", schema=None) -> DataFrame:
