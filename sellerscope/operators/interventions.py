@@ -23,16 +23,21 @@ def at_risk_not_churned(scored: DataFrame, threshold: float = 0.6) -> DataFrame:
                                     F.lit(False)))
 
 
+def with_urgency(at_risk: DataFrame, params: ChurnParams = DEFAULT_PARAMS) -> DataFrame:
+    """Days until dormant and urgency tier."""
+    return at_risk.withColumns({
+        "days_until_dormant": F.lit(params.dormant_days) - F.col("days_since_last_sale"),
+        "urgency": urgency("days_since_last_sale", params.dormant_days),
+    })
+
+
 def prioritise(at_risk: DataFrame, params: ChurnParams = DEFAULT_PARAMS) -> DataFrame:
     """GMV percentile (average rank within the list), priority score,
     days until dormant and urgency tier."""
     ranked = average_rank_pct(at_risk, "total_gmv", "gmv_percentile")
-    return ranked.withColumns({
-        "priority_score": F.col("overall_churn_risk") * C.PRIORITY_RISK_WEIGHT
-                          + F.col("gmv_percentile") * C.PRIORITY_GMV_WEIGHT,
-        "days_until_dormant": F.lit(params.dormant_days) - F.col("days_since_last_sale"),
-        "urgency": urgency("days_since_last_sale", params.dormant_days),
-    })
+    score = (F.col("overall_churn_risk") * C.PRIORITY_RISK_WEIGHT
+             + F.col("gmv_percentile") * C.PRIORITY_GMV_WEIGHT)
+    return with_urgency(ranked.withColumn("priority_score", score), params)
 
 
 def intervention_list(scored: DataFrame, params: ChurnParams = DEFAULT_PARAMS) -> DataFrame:
@@ -56,7 +61,8 @@ def intervention_top100(nb_scored: DataFrame, k: int = 100, threshold: float = 0
 
 
 def urgency_tiers(interventions: DataFrame) -> DataFrame:
-    """Sellers and GMV per urgency tier, for the tiers the report lists."""
+    """Sellers and GMV per urgency tier, for the tiers the report lists. Needs
+    ``with_urgency`` only, not the rank of ``prioritise``."""
     tiers = C.URGENCY_LABELS[:3]
     out = (interventions.filter(F.col("urgency").isin(*tiers))
            .groupBy("urgency").agg(F.count(F.lit(1)).alias("sellers"),

@@ -59,7 +59,7 @@ def q_intervention_list(inp):
 SELECT urgency, count(*) AS sellers, CAST(sum(CAST(total_gmv AS DECIMAL(20,2))) AS DOUBLE) AS gmv_at_risk
 FROM iv WHERE urgency IN ('Immediate', 'High', 'Medium') GROUP BY urgency""", **IV_CTES))
 def q_urgency_tiers(inp):
-    return IV.urgency_tiers(IV.intervention_list(inp.scored, inp.params))
+    return IV.urgency_tiers(IV.with_urgency(IV.at_risk_active_sellers(inp.scored), inp.params))
 
 
 @register("business_gains", sql=with_ctes(f"""
@@ -71,7 +71,7 @@ FROM (SELECT count(*) AS total_at_risk,
         CAST(sum(CAST(total_gmv AS DECIMAL(20,2))) AS DOUBLE) / count(total_gmv) AS avg_seller_gmv FROM iv)""",
     **IV_CTES))
 def q_business_gains(inp):
-    return IV.business_gains(IV.intervention_list(inp.scored, inp.params), inp.params)
+    return IV.business_gains(IV.at_risk_active_sellers(inp.scored), inp.params)
 
 
 @register("top_immediate", sql=with_ctes("""

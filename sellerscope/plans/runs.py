@@ -66,7 +66,7 @@ def run_training(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str
             _write(quality.check_scores(scored), out_dir, "contract_risk_scores", fmt)
             iv = interventions.intervention_list(scored, params)
             _write(iv, out_dir, "intervention_priority_list", fmt)  # empty too: no old list stays
-            _write(interventions.business_gains(iv, params), out_dir, "business_gains", fmt)
+            _write(interventions.business_gains(interventions.at_risk_active_sellers(scored), params), out_dir, "business_gains", fmt)
             _write(interventions.urgency_tiers(iv), out_dir, "urgency_tiers", fmt)
             _write(summary.exec_summary(scored), out_dir, "exec_summary", fmt)
             _write(risk.risk_distribution(scored), out_dir, "risk_distribution", fmt)
