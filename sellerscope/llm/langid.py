@@ -21,7 +21,6 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +28,7 @@ from sellerscope.llm.common import cut, text_or_empty
 
 ORDER = 4
 #: training rows per language; a fifth of them calibrates scores instead
-SAMPLE = 1500
+SAMPLE = 1000
 #: words whose scores a task keeps
 MEMO = 300_000
 #: share of calibration texts of the right language that are rejected
@@ -44,15 +43,21 @@ def grams(word: str, n: int) -> list[str]:
     return [w[max(0, i - n + 1):i + 1] for i in range(1, len(w))]
 
 
-def hashed(grams: list[str]) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(g) for g in grams], np.uint64)
+_ODD = np.random.default_rng(5).integers(1 << 40, 1 << 63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def gram_hash(g: str) -> int:
+    """Sum of code points times the multiplier of their distance from the end."""
+    return sum((ord(c) + 1) * int(m) for c, m in zip(reversed(g), _ODD)) & 0xFFFFFFFFFFFFFFFF
 
 
 class KneserNey:
-    """Probabilities of a language's n-grams and weights of their contexts, in sorted hash arrays."""
+    """Interpolated probabilities of a language's n-grams, and their contexts' back-off weights."""
 
     def __init__(self, words: dict[str, int], order: int = ORDER):
-        self.order, self.prob, self.rest = order, [], []
+        self.order = order
+        self.prob: list[dict[str, float]] = []
+        self.rest: list[dict[str, float]] = []
         counts: Counter[str] = Counter()
         for word, n in words.items():
             for g in grams(word, order):
@@ -70,7 +75,7 @@ class KneserNey:
             levels.insert(0, lower)
         self.characters = len(levels[0]) + 1
         below: dict[str, float] = {}
-        for n, level in enumerate(levels, 1):
+        for level in levels:
             ones, twos = sum(c == 1 for c in level.values()), sum(c == 2 for c in level.values())
             discount = ones / (ones + 2 * twos) if ones and twos else 0.5
             total, kinds = Counter(), Counter()
@@ -80,80 +85,105 @@ class KneserNey:
             rest = {h: discount * kinds[h] / total[h] for h in total}
             prob = {g: (c - discount) / total[g[:-1]] + rest[g[:-1]] * (
                 below.get(g[1:], 1 / self.characters) if len(g) > 1 else 1 / self.characters) for g, c in level.items()}
-            self.prob.append(self._sorted(prob))
-            self.rest.append(self._sorted(rest))
+            self.prob.append(prob)
+            self.rest.append(rest)
             below = below | prob
 
+
+class Tables:
+    """The languages' models as sorted hash arrays: per order the n-grams of any language, and
+    for each a row of values by language (0: the language lacks the n-gram; contexts: 1)."""
+
+    def __init__(self, models: list[KneserNey]):
+        self.order, self.languages = models[0].order, len(models)
+        self.uniform = np.array([1 / m.characters for m in models])
+        self.prob = [self._table([m.prob[n] for m in models], n + 1, 0.0) for n in range(self.order)]
+        self.rest = [self._table([m.rest[n] for m in models], n, 1.0) for n in range(self.order)]
+
     @staticmethod
-    def _sorted(values: dict[str, float]) -> tuple[np.ndarray, np.ndarray]:
-        keys = hashed(list(values))
+    def _table(values: list[dict[str, float]], length: int, missing: float) -> tuple[np.ndarray, np.ndarray]:
+        names = sorted({g for v in values for g in v if len(g) == length})
+        keys = np.array([gram_hash(g) for g in names], np.uint64)
         order = np.argsort(keys)
-        return keys[order], np.array(list(values.values()), np.float64)[order]
+        rows = np.array([[v.get(names[i], missing) for v in values] for i in order.tolist()]).reshape(-1, len(values))
+        # a last row that no n-gram has, for what is not found
+        return np.append(keys[order], np.uint64(0xFFFFFFFFFFFFFFFF)), np.vstack([rows, np.full((1, len(values)), missing)])
 
     @staticmethod
-    def _find(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.minimum(np.searchsorted(table[0], keys), len(table[0]) - 1)
-        return table[0][at] == keys, table[1][at]
+    def _find(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(table[0], keys)
+        return table[1][np.where(table[0][at] == keys, at, len(table[0]) - 1)]
 
     def log2(self, words: list[str]) -> np.ndarray:
-        """log2 probability of each word and the space after it."""
-        flat = [g for w in words for g in grams(w, self.order)]
-        length = np.array([len(w) + 1 for w in words])
-        value, weight = np.zeros(len(flat)), np.ones(len(flat))
-        open_ = np.arange(len(flat))  # characters whose n-gram has not been found yet
+        """log2 probability of each word and the space after it, by language."""
+        code = np.frombuffer(" ".join(["", *words, ""]).encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)
+        space = np.flatnonzero(code == 33)
+        depth = np.arange(1, len(code)) - space[np.searchsorted(space, np.arange(1, len(code))) - 1]
+        # hashes of the n-grams that end at each character, n from 0 on
+        ends = [np.zeros(len(code), np.uint64)]
+        for n in range(self.order):
+            shifted = np.concatenate([np.zeros(min(n, len(code)), np.uint64), code[:max(0, len(code) - n)]])
+            ends.append(ends[-1] + shifted * _ODD[n])
+        value = np.zeros((len(depth), self.languages))
+        weight = np.ones_like(value)
+        rows = np.arange(len(depth))  # characters that some language has not found yet
         for n in range(self.order, 0, -1):
-            now = [flat[i] for i in open_]
-            long = np.array([len(g) >= n for g in now], bool)
-            hit, prob = self._find(self.prob[n - 1], hashed([g[-n:] for g in now]))
-            hit &= long
-            value[open_[hit]] = weight[open_[hit]] * prob[hit]
-            known, rest = self._find(self.rest[n - 1], hashed([g[-n:-1] for g in now]))
-            back = ~hit & long & known
-            weight[open_[back]] *= rest[back]
-            open_ = open_[~hit]
-        value[open_] = weight[open_] / self.characters
-        return np.add.reduceat(np.log2(value), np.concatenate([[0], np.cumsum(length)[:-1]]))
+            deep = rows[depth[rows] >= n - 1]
+            open_ = value[deep] == 0
+            p = self._find(self.prob[n - 1], ends[n][deep + 1])
+            value[deep] = np.where(open_, weight[deep] * p, value[deep])
+            still = open_ & (p == 0)
+            left = still.any(axis=1)
+            deep, still = deep[left], still[left]
+            weight[deep] *= np.where(still, self._find(self.rest[n - 1], ends[n - 1][deep]), 1.0)
+            rows = rows[(value[rows] == 0).any(axis=1)]
+        value = np.where(value == 0, weight * self.uniform, value)
+        return np.add.reduceat(np.log2(value), space[:-1], axis=0)
+
+
+#: texts whose new words are scored at once
+TOGETHER = 128
 
 
 class Scorer:
-    """Bits and characters of a text under each language, with a bounded memory of words."""
+    """Bits and characters of texts under each language, with a bounded memory of words."""
 
-    def __init__(self, models: list[KneserNey]):
-        self.models, self.memo, self.rows = models, {}, np.zeros((0, len(models) + 1))
+    def __init__(self, tables: Tables):
+        self.tables, self.memo, self.rows = tables, {}, np.zeros((0, tables.languages + 1))
 
-    def __call__(self, text: str) -> np.ndarray:
-        """Bits per language, and last the number of scored characters (0: no letter)."""
-        tokens = text.lower().split()
+    def __call__(self, texts: list[str]) -> np.ndarray:
+        """Per text: bits by language, and last the number of scored characters (0: no letter)."""
+        tokens = [t.lower().split() for t in texts]
         memo = self.memo
-        new = [t for t in set(tokens) if t not in memo]
+        new = list({w for t in tokens for w in t if w not in memo})
+        if len(memo) + len(new) > MEMO:
+            memo.clear()
+            self.rows, new = self.rows[:0], list({w for t in tokens for w in t})
         if new:
-            if len(memo) + len(new) > MEMO:
-                memo.clear()
-                self.rows, new = self.rows[:0], list(set(tokens))
             parts = [LETTERS.findall(t) for t in new]
-            words = [w for p in parts for w in p]
             added = np.zeros((len(new), self.rows.shape[1]))
+            words = list({w for p in parts for w in p})
             if words:
-                score = np.stack([*(m.log2(words) for m in self.models), [len(w) + 1.0 for w in words]], axis=1)
+                place = dict(zip(words, range(len(words))))
+                score = np.column_stack([self.tables.log2(words), [len(w) + 1.0 for w in words]])
+                of = np.array([place[w] for p in parts for w in p])
                 owner = np.repeat(np.arange(len(new)), [len(p) for p in parts])
                 for j in range(added.shape[1]):
-                    added[:, j] = np.bincount(owner, score[:, j], len(new))
+                    added[:, j] = np.bincount(owner, score[of, j], len(new))
             memo.update(zip(new, range(len(self.rows), len(self.rows) + len(new))))
             self.rows = np.concatenate([self.rows, added])
-        at = np.fromiter(map(memo.__getitem__, tokens), np.int64, len(tokens))
-        n = np.bincount(at, minlength=len(self.rows)).astype(float) if len(at) > len(self.rows) else None
-        return n @ self.rows if n is not None else self.rows[at].sum(axis=0)
+        return np.array([self.rows[np.fromiter(map(memo.__getitem__, t), np.int64, len(t))].sum(axis=0) for t in tokens])
 
 
 class Model:
-    def __init__(self, languages: list[str], models: list[KneserNey]):
-        self.languages, self.models, self.scale, self.worst = languages, models, 1.0, np.inf
+    def __init__(self, languages: list[str], tables: Tables):
+        self.languages, self.tables, self.scale, self.worst = languages, tables, 1.0, np.inf
 
     def calibrate(self, texts: list[tuple[str, str]]) -> None:
         """The scale of entropy differences that makes scores probabilities, and the rejection bound."""
-        scorer, gaps, right, own = Scorer(self.models), [], [], []
+        scorer, gaps, right, own = Scorer(self.tables), [], [], []
         for lang, text in texts:
-            s = scorer(text)
+            s = scorer([text])[0]
             if s[-1]:
                 bits = -s[:-1] / s[-1]
                 gaps.append(bits - bits.min())
@@ -206,7 +236,7 @@ def fit(docs: DataFrame, training: Column, sample: int = SAMPLE) -> Model | None
     if not words:
         return None
     languages = sorted(words)
-    model = Model(languages, [KneserNey(words[lang]) for lang in languages])
+    model = Model(languages, Tables([KneserNey(words[lang]) for lang in languages]))
     model.calibrate([(r["lang"], r["text"]) for r in drawn.where(calibrates).toLocalIterator() if r["lang"] in words])
     return model
 
@@ -221,11 +251,11 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
 
     def predict(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = shared.value
-        scorer = Scorer(m.models) if m else None
+        scorer = Scorer(m.tables) if m else None
         for pdf in batches:
-            rows = []
-            for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
-                s = scorer(text) if scorer else np.zeros(1)
+            rows, texts = [], pdf["text"].tolist()
+            sums = [x for i in range(0, len(texts), TOGETHER) for x in scorer(texts[i:i + TOGETHER])] if m else [np.zeros(1)] * len(texts)
+            for doc_id, s in zip(pdf["doc_id"], sums):
                 if not s[-1]:
                     rows.append((doc_id, UNDETERMINED, 0.0, None, False))
                     continue

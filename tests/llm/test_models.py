@@ -17,23 +17,23 @@ def fold(n):
 # ---- language identification
 
 def test_kneser_ney_sums_to_one():
-    model = langid.KneserNey({"abc": 5, "abd": 3, "cab": 2, "a": 1})
-    letters = [*"abcd ", "?"]  # "?" stands for every unseen character
+    models = [langid.KneserNey({"abc": 5, "abd": 3, "cab": 2, "a": 1}), langid.KneserNey({"dd": 2, "é": 1, "cab": 1})]
+    tables = langid.Tables(models)
 
-    def probability(context, c):
+    def probability(model, context, c):
         gram, value = (context + c)[-4:], 1.0
         for n in range(len(gram), 0, -1):
-            hit, p = model._find(model.prob[n - 1], langid.hashed([gram[-n:]]))
-            if hit[0]:
-                return value * p[0]
-            known, rest = model._find(model.rest[n - 1], langid.hashed([gram[-n:-1]]))
-            value *= rest[0] if known[0] else 1
+            if (p := model.prob[n - 1].get(gram[-n:])) is not None:
+                return value * p
+            value *= model.rest[n - 1].get(gram[-n:-1], 1)
         return value / model.characters
 
-    for context in (" ", " a", " ab", "abc", "zzz"):
-        assert math.isclose(sum(probability(context, c) for c in letters), 1)
-    word = sum(math.log2(probability(" abd "[max(0, i - 3):i], " abd "[i])) for i in range(1, 5))
-    assert math.isclose(model.log2(["abd", "q"])[0], word)
+    for model, letters in ((models[0], "abcd ?"), (models[1], "cabdé ?")):  # "?": every unseen character
+        for context in (" ", " a", " ab", "abc", "zzz"):
+            assert math.isclose(sum(probability(model, context, c) for c in letters), 1)
+    for word, got in zip(["abd", "q", "é", "cabcab"], tables.log2(["abd", "q", "é", "cabcab"])):
+        w = f" {word} "
+        assert np.allclose(got, [sum(math.log2(probability(m, w[max(0, i - 3):i], w[i])) for i in range(1, len(w))) for m in models])
 
 
 def test_identify(spark, docs):
