@@ -8,7 +8,8 @@ its own place. Every line is indexed under its segments (with its length and the
 number) and probes, for each length it could be linked with, the substrings at the places
 that the lengths allow. A parity map of character counts, of which an edit changes at
 most two bits, goes with every key and drops most chance meetings inside the join; what is
-left is verified by a banded bit-parallel edit distance.
+left is verified by a banded bit-parallel edit distance. Only hashes are shuffled; the texts
+of candidate lines are fetched afterwards.
 
 The earliest line of each group of linked classes stays; blank lines always stay.
 """
@@ -23,9 +24,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sellerscope.llm.common import connected_components, cut, text_or_empty
+from sellerscope.llm.common import WHITE, connected_components, cut
 
 DISTANCE, LEAST = 2, 40
+#: line hashes a task remembers, and bits of the filter of candidate lines
+MEMO, FILTER_BITS = 500_000, 1 << 23
 
 
 def segments(length: int, distance: int = DISTANCE) -> list[tuple[int, int]]:
@@ -109,27 +112,63 @@ def within(a: str, b: str, distance: int = DISTANCE) -> int | None:
     return next((e for e in range(distance + 1) if ahead[e] & end), None)
 
 
-def _keys(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Index keys (probe false) and probe keys (probe true) of every line."""
-    plans: dict[int, list[tuple[bool, int, int, int, int]]] = {}
+def trimmed(text: str | None) -> list[str]:
+    """The lines of a text without the white space at their ends; a null text has none."""
+    return [x.strip(WHITE) for x in text.split("\n")] if text is not None else []
+
+
+def line_hash(line: str) -> int:
+    """64-bit class of a line; n different lines share one with probability n^2 / 2^65."""
+    return xxhash.xxh64_intdigest(line.encode()) - (1 << 63)
+
+
+def _places(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        ids, keys, probing, maps = [], [], [], []
-        for line_id, line in zip(pdf["line_id"], pdf["line"]):
-            n = len(line)
-            plan = plans.get(n)
-            if plan is None:
-                if len(plans) > 4096:
-                    plans.clear()
-                plan = plans[n] = [(False, i, s, s + m, n) for i, (s, m) in enumerate(segments(n))] + [
-                    (True, i, s, s + m, other) for other in range(max(LEAST, n - DISTANCE), n + 1) for i, s, m in probes(n, other)]
-            p = parity(line)
-            for probe, i, start, end, length in plan:
-                keys.append(xxhash.xxh64_intdigest(line[start:end], length * 8 + i) - (1 << 63))
-                probing.append(probe)
-            ids += [line_id] * len(plan)
-            maps += [p] * len(plan)
-        yield pd.DataFrame({"key": keys, "probe": probing, "line_id": ids, "map": maps}).astype(
-            {"key": "int64", "probe": "bool", "line_id": "int64", "map": "int64"})
+        out = [(d, i, line_hash(x) if x else None) for d, t in zip(pdf["doc_id"], pdf["text"]) for i, x in enumerate(trimmed(t))]
+        doc, number, line = zip(*out) if out else ((), (), ())
+        yield pd.DataFrame({"doc_id": pd.Series(doc, dtype=pdf["doc_id"].dtype), "line_no": pd.Series(number, dtype="int32"),
+                            "line_id": pd.array(line, dtype="Int64")})
+
+
+def _distinct_lines(pdf: pd.DataFrame, seen: set[int]) -> Iterator[tuple[int, str]]:
+    """Lines that can be linked, once each as far as the task's bounded memory reaches."""
+    for text in pdf["text"]:
+        for x in trimmed(text):
+            if len(x) >= LEAST:
+                h = line_hash(x)
+                if h not in seen:
+                    if len(seen) >= MEMO:
+                        seen.clear()
+                    seen.add(h)
+                    yield h, x
+
+
+def _keyed(probing: bool):
+    """Keys of every line's segments, or of the substrings that it probes with."""
+    def keys(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        plans: dict[int, list[tuple[int, int, int]]] = {}
+        seen: set[int] = set()
+        for pdf in batches:
+            ids, found, maps, size = [], [], [], []
+            for h, line in _distinct_lines(pdf, seen):
+                n = len(line)
+                plan = plans.get(n)
+                if plan is None:
+                    if len(plans) > 4096:
+                        plans.clear()
+                    if probing:
+                        plan = [(s, s + m, other * 8 + i) for other in range(max(LEAST, n - DISTANCE), n + 1) for i, s, m in probes(n, other)]
+                    else:
+                        plan = [(s, s + m, n * 8 + i) for i, (s, m) in enumerate(segments(n))]
+                    plans[n] = plan
+                found += [xxhash.xxh64_intdigest(line[s:e], seed) - (1 << 63) for s, e, seed in plan]
+                ids.append(h)
+                maps.append(parity(line))
+                size.append(len(plan))
+            yield pd.DataFrame({"key": np.array(found, np.int64), "id": np.repeat(np.array(ids, np.int64), size),
+                                "map": np.repeat(np.array(maps, np.int64), size)})
+
+    return keys
 
 
 def _verified(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -139,30 +178,39 @@ def _verified(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield out[out["distance"].notna()].astype({"distance": "int64"})
 
 
-def lines_of(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no (from 0), line: a null text has no line."""
-    return docs.where("text is not null").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")).select(
-        "doc_id", "line_no", F.regexp_replace("line", r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "").alias("line"))
+def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, line) of the lines in ``ids``: a filter of FILTER_BITS bits, of fixed size, keeps nearly all others out of
+    the shuffle; the join after it is exact."""
+    bit = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
+    rows = ids.select(F.floor(bit / 32).cast("int").alias("w"), F.expr(f"shiftleft(1L, CAST(pmod(pmod(xxhash64(id), {FILTER_BITS}), 32) AS INT))").alias("m"))
+    words = np.zeros(FILTER_BITS // 32, np.int64)
+    for r in rows.groupBy("w").agg(F.bit_or("m").alias("m")).collect():  # FILTER_BITS / 32 rows at most
+        words[r["w"]] = r["m"]
+    shared = docs.sparkSession.sparkContext.broadcast(words)
 
+    def lines(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[int] = set()
+        for pdf in batches:
+            yield pd.DataFrame(list(_distinct_lines(pdf, seen)), columns=["id", "line"]).astype({"id": "int64"})
 
-def classes_of(lines: DataFrame) -> DataFrame:
-    """line_id, line, digest, n (lines), doc, no (the earliest): one row per distinct line that is not blank."""
-    one = lines.where("line <> ''").groupBy("line").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc"))
-    return cut(one.select(F.monotonically_increasing_id().alias("line_id"), "line", F.md5("line").alias("digest"), "n", "doc"), "lines")
+    kept = F.pandas_udf(lambda b: pd.Series((shared.value[b // 32] >> (b % 32)) & 1 == 1), "boolean")
+    found = docs.select("text").mapInPandas(lines, "id long, line string").where(kept(bit))
+    return found.join(ids.select(F.col("id").alias("i")), F.col("id") == F.col("i"), "left_semi").groupBy("id").agg(F.min("line").alias("line"))
 
 
-def links(classes: DataFrame) -> DataFrame:
+def links(docs: DataFrame) -> DataFrame:
     """(a, b, distance): all linked pairs of classes, a < b."""
-    keys = cut(classes.where(F.char_length("line") >= LEAST).select("line_id", "line").mapInPandas(
-        _keys, "key long, probe boolean, line_id long, map long").distinct(), "keys")
-    index = keys.where("not probe").select("key", F.col("line_id").alias("i"), F.col("map").alias("im"))
-    probe = keys.where("probe").select(F.col("key").alias("k"), F.col("line_id").alias("p"), F.col("map").alias("pm"))
-    pairs = index.join(probe, (F.col("key") == F.col("k")) & (F.col("i") != F.col("p"))
-                       & (F.bit_count(F.col("im").bitwiseXOR(F.col("pm"))) <= 2 * DISTANCE))
-    pairs = cut(pairs.select(F.least("i", "p").alias("a"), F.greatest("i", "p").alias("b")).distinct(), "pairs")
-    text = classes.select("line_id", "line")
-    full = (pairs.join(text.select(F.col("line_id").alias("a"), F.col("line").alias("line_a")), "a")
-            .join(text.select(F.col("line_id").alias("b"), F.col("line").alias("line_b")), "b"))
+    text = docs.select("text")
+    index = text.mapInPandas(_keyed(False), "key long, id long, map long")
+    probe = text.mapInPandas(_keyed(True), "key long, id long, map long").select(
+        F.col("key").alias("k"), F.col("id").alias("p"), F.col("map").alias("pm"))
+    pairs = index.join(probe, (F.col("key") == F.col("k")) & (F.col("id") != F.col("p"))
+                       & (F.bit_count(F.col("map").bitwiseXOR(F.col("pm"))) <= 2 * DISTANCE))
+    pairs = cut(pairs.select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct(), "pairs")
+    ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
+    line = cut(texts_of(docs, ids), "candidates")
+    full = (pairs.join(line.select(F.col("id").alias("a"), F.col("line").alias("line_a")), "a")
+            .join(line.select(F.col("id").alias("b"), F.col("line").alias("line_b")), "b"))
     return cut(full.select("a", "b", "line_a", "line_b").mapInPandas(_verified, "a long, b long, distance long"), "links")
 
 
@@ -173,21 +221,20 @@ def line_groups(docs: DataFrame) -> DataFrame:
     smallest line_id linked through any chain. Of a group the line with the smallest doc_id, then
     line_no, is kept; rows with null doc_id come last. Blank lines have null ids and are
     kept. Null texts give no line. Repeated rows of a doc_id are one place: their lines at one
-    number are kept alike.
+    number are kept alike. Other columns are not read; an empty table gives an empty result.
     """
-    lines = lines_of(docs)
-    classes = classes_of(lines)
-    found = links(classes)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    places = cut(docs.select("doc_id", "text").mapInPandas(_places, f"doc_id {kind}, line_no int, line_id long"), "places")
+    found = links(docs)
     group = connected_components(found.select(F.col("a").alias("u"), F.col("b").alias("v")), "line_groups")
     degree = found.select(F.explode(F.array("a", "b")).alias("l")).groupBy("l").agg(F.count("*").alias("links"))
-    of = (classes.join(group, F.col("line_id") == F.col("id"), "left").join(degree, F.col("line_id") == F.col("l"), "left")
-          .select("line_id", "digest", F.col("n").alias("copies"), F.coalesce("links", F.lit(0)).alias("links"),
-                  F.coalesce("component", "line_id").alias("group"), F.col("doc")))
-    first = of.groupBy("group").agg(F.min("doc").alias("first_doc")).withColumnRenamed("group", "g")
+    classes = places.where("line_id is not null").groupBy(F.col("line_id").alias("c")).agg(F.count("*").alias("copies"), F.min("doc_id").alias("doc"))
+    of = cut(classes.join(group, F.col("c") == F.col("id"), "left").join(degree, F.col("c") == F.col("l"), "left").select(
+        "c", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "c").alias("group"), "doc"), "classes")
+    first = of.groupBy(F.col("group").alias("g")).agg(F.min("doc").alias("first_doc"))
     of = of.join(first, F.col("group") == F.col("g")).drop("g", "doc")
-    small = cut(lines.select("doc_id", "line_no", F.when(F.col("line") != "", F.md5("line")).alias("d")), "places")
-    placed = small.join(of, F.col("d") == F.col("digest"), "left")
-    # the earliest line of a group: its first document's smallest line number, found among that document's lines
+    placed = places.join(of, F.col("line_id") == F.col("c"), "left")
+    # the earliest line of a group: the smallest line number among its first document's lines
     lead = placed.where(F.col("doc_id").eqNullSafe(F.col("first_doc")) & F.col("group").isNotNull()).groupBy(
         F.col("group").alias("g")).agg(F.min("line_no").alias("first_no"))
     kept = F.col("group").isNull() | (F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("line_no") == F.col("first_no")))

@@ -18,6 +18,8 @@ counts per length and salt, so a length that a third of all pieces have is not o
 from __future__ import annotations
 
 import os
+import re
+import struct
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -37,25 +39,57 @@ MEMO = 300_000
 END_ID = 0
 
 
+#: a word of Latin-1 letters, and marks after it, which the tokenizer parts from them
+WORD = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,!|%#&$*;:?]*)")
+
+
+def _byte_characters() -> dict[int, int]:
+    """The characters that byte-level vocabularies write for bytes: printable ones themselves, others from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in own)}
+
+
 class TokenIds:
-    """Ids of a text as little-endian 32-bit numbers, word by word (white space parts the tokenizer's words)."""
+    """Ids of a text as little-endian 32-bit numbers, word by word (white space parts the tokenizer's words).
+
+    A plain word's letters and marks are encoded apart by the vocabulary's merges, which is
+    what the whole tokenizer does with them; every other word goes through the whole tokenizer.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core, and workers are forks
         from tokenizers import Tokenizer
-        self.tokenizer, self.memo = Tokenizer.from_file(path), {}
+        self.tokenizer, self.memo, self.characters = Tokenizer.from_file(path), {}, _byte_characters()
+        self.model = self.tokenizer.model
+
+    def encoded(self, raw: bytes) -> bytes:
+        word = raw.decode()
+        plain = WORD.fullmatch(word)
+        if not plain:
+            return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        letters, marks = plain[1].lower(), plain[2]
+        ids = self.memo.get(letters)
+        if ids is None:
+            as_bytes = letters if letters.isascii() else letters.encode().decode("latin-1").translate(self.characters)
+            tokens = [t.id for t in self.model.tokenize(as_bytes)]
+            ids = self.memo[letters] = struct.pack(f"<{len(tokens)}I", *tokens)
+        if not marks:
+            return ids
+        if marks not in self.memo:
+            self.memo[marks] = np.array(self.tokenizer.encode(marks, add_special_tokens=False).ids, "<u4").tobytes()
+        return ids + self.memo[marks]
 
     def __call__(self, text: str) -> bytes:
-        words, memo = text.split(), self.memo
+        words, memo = text.encode().split(), self.memo  # at ASCII white space
         try:
             return b"".join(map(memo.__getitem__, words))
         except KeyError:
             pass
         if len(memo) >= MEMO:
             memo.clear()
-        new = list(dict.fromkeys(w for w in words if w not in memo))
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            memo[w] = np.array(e.ids, "<u4").tobytes()
+        for w in words:
+            if w not in memo:
+                memo[w] = self.encoded(w)
         return b"".join(map(memo.__getitem__, words))
 
 
