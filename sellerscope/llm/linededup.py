@@ -242,6 +242,13 @@ def line_groups(docs: DataFrame) -> DataFrame:
         "doc_id", "line_no", "line_id", "copies", "links", "group", kept.alias("kept"))
 
 
+def lines_of(docs: DataFrame) -> DataFrame:
+    """doc_id, line_no (from 0), line: a null text has no line."""
+    white = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
+    return docs.where("text is not null").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")).select(
+        "doc_id", "line_no", F.regexp_replace("line", white, "").alias("line"))
+
+
 def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     """doc_id, text of every document that has text, without the lines that are not kept."""
     lines = lines_of(docs).withColumnRenamed("doc_id", "d").withColumnRenamed("line_no", "no")
