@@ -4,9 +4,10 @@
    sample flips one bit of a 512-bit parity map, so the population count of the XOR of
    two sketches tells how many samples differ. Documents with equal shingle sets are
    one class, and only one member of a class goes on.
-2. In each band bucket the sketches are compared in blocks; members whose estimate is
-   not clearly below the threshold hang together. That gives candidate clusters, with
-   at most one edge per member and bucket.
+2. In each band bucket the sketches are compared; members whose estimate is not clearly
+   below the threshold hang together. That gives candidate clusters, with one edge per
+   member and block. A bucket of more than a block is sliced by the number of shingles
+   and each slice compared as in 3, so every pair that may be linked meets.
 3. Each cluster's full shingle sets are compared exactly. A cluster of more than a block
    is first compared with one block drawn at random, which joins nearly all of it; what
    is still outside its largest part is then compared with every block. All pairs of
@@ -23,7 +24,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sellerscope.llm.common import connected_components, cut
@@ -40,6 +41,8 @@ BLOCK = 512
 #: columns of the incidence matrix at once
 COLUMNS = 16_384
 PERCENT = 75
+#: step of sizes, a little over 100 / PERCENT: rounding of the logarithm parts no pair
+SIZE_STEP = 1.34
 
 _rng = np.random.default_rng(7)
 _A = _rng.integers(1, 1 << 31, SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -154,22 +157,77 @@ def _candidates(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"u": u[u != v], "v": v[u != v]})
 
 
+def _compare(parts: DataFrame) -> DataFrame:
+    """Edges between the rows (key, block, rep, n_shingles, sketch) of each (key, block).
+
+    Rows hang on the one of least hash, which tends to be the same in all bands: few different edges.
+    """
+    kind = parts.schema["rep"].dataType.simpleString()
+    return (parts.select("key", "block", "rep", "n_shingles", "sketch").repartition("key", "block")
+            .sortWithinPartitions("key", "block", F.xxhash64("rep")).mapInPandas(_candidates, f"u {kind}, v {kind}"))
+
+
+def _first_parts(block: str = "block", blocks: str = "blocks") -> Column:
+    """Parts of a row in the first round: block 0 is a random draw, it goes with each other block."""
+    return F.when(F.col(blocks) == 1, F.array(F.lit(0).cast("long"))).when(
+        F.col(block) == 0, F.sequence(F.lit(1).cast("long"), F.col(blocks) - 1)).otherwise(F.array(block))
+
+
+def _outsiders(large: DataFrame, joined: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``large`` (rep, cluster, block, blocks) not in the largest joined part of their cluster, and their groups.
+
+    Of two rows in different parts one is outside, so all pairs are covered when these meet every block.
+    """
+    of = large.join(joined, F.col("rep") == F.col("id"), "left").select(
+        "rep", "cluster", "block", "blocks", F.coalesce("component", "rep").alias("part_of"))
+    sized = of.groupBy("cluster", "part_of").agg(F.count("*").alias("size"))
+    top = sized.groupBy("cluster").agg(F.max(F.struct("size", "part_of")).alias("m")).select(
+        F.col("cluster").alias("c"), F.col("m.part_of").alias("largest"))
+    outside = cut(of.join(top, F.col("cluster") == F.col("c")).where("part_of <> largest").select("rep", "cluster", "blocks"), "outside")
+    groups = outside.groupBy(F.col("cluster").alias("c")).agg(
+        F.ceil(F.count("*") / BLOCK).alias("groups"), F.first("blocks").alias("blocks"))
+    return outside, groups
+
+
 def candidate_edges(classes: DataFrame) -> DataFrame:
     """(u, v): edges that hold all members of a band bucket together whose sketches allow a link."""
-    rows = cut(classes.select("rep", F.explode("bands").alias("key")), "bands")
-    sizes = rows.groupBy("key").agg(F.count("*").alias("size"), F.min("rep").alias("low")).where("size > 1")
-    sizes = cut(sizes, "buckets")
-    member = rows.join(sizes.withColumnRenamed("key", "k"), F.col("key") == F.col("k")).select(
-        "key", F.col("rep").alias("r"), "low",
-        F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / BLOCK)).alias("block"))
-    full = member.join(classes.select("rep", "n_shingles", "sketch"), F.col("rep") == F.col("r")).select(
-        "key", "block", "rep", "n_shingles", "sketch")
-    kind = classes.schema["rep"].dataType.simpleString()
-    within = (full.repartition("key", "block").sortWithinPartitions("key", "block")
-              .mapInPandas(_candidates, f"u {kind}, v {kind}"))
-    # blocks of one large bucket hang together by their smallest members: clusters may be too wide, never too narrow
-    across = member.groupBy("key", "block").agg(F.min("r").alias("u"), F.first("low").alias("v")).where("u <> v").select("u", "v")
-    return within.union(across).distinct()
+    rows = cut(classes.select("rep", "n_shingles", F.explode("bands").alias("key")), "bands")
+    sizes = cut(rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+                .select(F.col("key").alias("k"), "size"), "buckets")
+    facts = classes.select("rep", "n_shingles", "sketch")
+    member = rows.join(sizes.where(F.col("size") <= BLOCK), F.col("key") == F.col("k")).select("key", F.col("rep").alias("r"))
+    within = _compare(member.join(facts, F.col("rep") == F.col("r")).withColumn("block", F.lit(0).cast("long")))
+    hot = sizes.where(F.col("size") > BLOCK)
+    if hot.isEmpty():
+        return within.distinct()
+    # sizes that allow a link differ by one step at most: each slice of a large bucket holds two steps
+    step = F.floor(F.log("n_shingles") / F.log(F.lit(SIZE_STEP)))
+    slices = cut(rows.join(hot, F.col("key") == F.col("k")).select("key", "rep", F.posexplode(F.array(step, step + 1)).alias("home", "slice"))
+                 .select(F.xxhash64("key", "slice").alias("cluster"), "rep", "home"), "slices")
+    # members of one step meet in the slice that is home to them; a slice that is home to none adds no pair
+    blocks = slices.groupBy(F.col("cluster").alias("c")).agg(F.count("*").alias("size"), F.max("home").alias("home")).where(
+        "size > 1 and home = 1").select("c", F.ceil(F.col("size") / BLOCK).alias("blocks"))
+    draw = (F.xxhash64("rep").cast("double") + 2.0 ** 63) / 2.0 ** 64  # block 0 has the least hashes
+    placed = cut(slices.join(blocks, F.col("cluster") == F.col("c")).select(
+        F.col("rep").alias("r"), "cluster", "blocks", F.least(F.floor(draw * F.col("blocks")), F.col("blocks") - 1).alias("at")), "placed")
+
+    def compared(members: DataFrame, part: Column) -> DataFrame:
+        return members.join(facts, F.col("rep") == F.col("r")).select(
+            F.col("cluster").alias("key"), "rep", "n_shingles", "sketch", F.explode(part).alias("block"))
+
+    links = within.union(_compare(compared(placed, _first_parts("at")))).distinct()
+    large = placed.where("blocks > 1").select(F.col("r").alias("rep"), "cluster", F.col("at").alias("block"), "blocks")
+    if large.isEmpty():
+        return links
+    joined = connected_components(links, "near")
+    links = joined.where("id <> component").select(F.col("id").alias("u"), F.col("component").alias("v"))
+    outside, groups = _outsiders(large, joined)
+    here = outside.select(F.col("rep").alias("r"), "cluster").join(groups, F.col("cluster") == F.col("c")).withColumn(
+        "group", F.pmod(F.xxhash64("r", "cluster", F.lit(1)), "groups"))
+    here = compared(here, F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda b: F.col("group") * F.col("blocks") + b))
+    there = placed.drop("blocks").join(groups, F.col("cluster") == F.col("c"))
+    there = compared(there, F.transform(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1), lambda g: g * F.col("blocks") + F.col("at")))
+    return links.union(_compare(here.union(there))).distinct()
 
 
 def _sets(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -238,23 +296,12 @@ def confirmed_edges(docs: DataFrame, classes: DataFrame, candidates: DataFrame)
                .mapInPandas(_sets, f"rep {kind}, cluster {kind}, block long, shingles binary"), "sets")
     counts = sets.groupBy("cluster").agg((F.max("block") + 1).alias("blocks")).withColumnRenamed("cluster", "c")
     placed = sets.join(counts, F.col("cluster") == F.col("c"))
-    # block 0 is a random draw: it goes with each other block
-    first = F.when(F.col("blocks") == 1, F.array(F.lit(0).cast("long"))).when(
-        F.col("block") == 0, F.sequence(F.lit(1).cast("long"), F.col("blocks") - 1)).otherwise(F.array("block"))
-    links = _confirm(placed.withColumn("part", F.explode(first)))
+    links = _confirm(placed.withColumn("part", F.explode(_first_parts())))
     large = cut(placed.where("blocks > 1").select("rep", "cluster", "block", "blocks"), "large")
     if large.isEmpty():
         return links
     # what is not in the largest joined part of its cluster meets every block
-    joined = connected_components(links, "joined")
-    of = large.join(joined, F.col("rep") == F.col("id"), "left").select(
-        "rep", "cluster", "block", "blocks", F.coalesce("component", "rep").alias("part_of"))
-    sized = of.groupBy("cluster", "part_of").agg(F.count("*").alias("size"))
-    top = sized.groupBy("cluster").agg(F.max(F.struct("size", "part_of")).alias("m")).select(
-        F.col("cluster").alias("c"), F.col("m.part_of").alias("largest"))
-    outside = cut(of.join(top, F.col("cluster") == F.col("c")).where("part_of <> largest").select("rep", "cluster", "blocks"), "outside")
-    groups = outside.groupBy(F.col("cluster").alias("c")).agg(
-        F.ceil(F.count("*") / BLOCK).alias("groups"), F.first("blocks").alias("blocks"))
+    outside, groups = _outsiders(large, connected_components(links, "joined"))
     outer = (outside.select(F.col("rep").alias("r"), F.col("cluster").alias("c")).join(groups, "c")
              .withColumn("group", F.pmod(F.xxhash64("r", F.lit(1)), "groups"))
              .select("r", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("b"), "blocks", "group"))

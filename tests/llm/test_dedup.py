@@ -96,6 +96,29 @@ def test_large_group_of_near_copies(spark, monkeypatch):
     assert sorted(tuple(r) for r in got) == near_expected(rows)
 
 
+def test_large_bucket_of_unlike_members(spark, monkeypatch):
+    """Documents that share a band key and mostly nothing else: every pair that sizes and sketches allow must meet."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(150):
+        sketch = rng.integers(0, 256, 64, dtype=np.uint8).tobytes()
+        if i % 10 == 0:  # pairs of equal sketch, sizes at the bound and just beyond it
+            rows.append((1000 + i, 3 * (i + 10) + (i % 20 == 0), [5, 100 + i], sketch))
+            rows.append((1001 + i, 4 * (i + 10), [5, 200 + i], sketch))
+        else:
+            rows.append((1000 + i + 1000 * (i % 2), int(rng.integers(20, 700)), [5, 300 + i], sketch))
+    sketch = np.array([np.frombuffer(r[3], np.uint8) for r in rows])
+    n = np.array([r[1] for r in rows])
+    expected = set()
+    for i, j in np.argwhere(100 * np.minimum(n[:, None], n) >= 75 * np.maximum(n[:, None], n)):
+        if i < j and np.bitwise_count(sketch[i] ^ sketch[j]).sum() <= near_dedup.MOST_BITS:
+            expected.add((rows[i][0], rows[j][0]))
+    assert len(expected) == 15
+    ids = spark.createDataFrame(rows, "rep long, n_shingles long, bands array<long>, sketch binary")
+    assert {(min(r), max(r)) for r in near_dedup.candidate_edges(ids).collect()} == expected
+
+
 def test_odd_sketch_estimates_similarity():
     rng = np.random.default_rng(0)
     for j in (0.5, 0.75, 0.95):
