@@ -7,7 +7,9 @@ probability that a paragraph must reach is set on held-out ordinary paragraphs
 (``FALSE_ALARMS``), so unlike texts stay in the unknown class. A finding is confirmed if
 it holds most of the word triples of one of its family's templates.
 
-A paragraph is a line; longer ones are read whole, in overlapping windows.
+Every line is read whole, in overlapping windows. Lines up to the next blank one, comment
+marks aside, are a paragraph: windows also run across its line ends, as published notices
+are wrapped, and a finding is compared with the templates across line ends too.
 """
 
 from __future__ import annotations
@@ -69,6 +71,8 @@ SAMPLE, FALSE_ALARMS = 4_000, 0.001
 VARIANTS, ROUNDS, STEP = 90, 40, 0.5
 CONFIRMED = 0.6
 MEMO = 300_000
+#: what a comment mark is made of, and words that are one
+MARKS, MARK_WORDS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", frozenset([b"dnl", b"rem"])
 STRIP = b".,;:!?\"'()[]{}<>*#/|"
 
 
@@ -99,6 +103,30 @@ def triples(words: list[bytes]) -> set[tuple[bytes, ...]]:
     return {tuple(w[i:i + 3]) for i in range(max(1, len(w) - 2))}
 
 
+def bare(word: bytes) -> bool:
+    return not word.strip(MARKS) or word in MARK_WORDS
+
+
+def wrapped(lines: list[list[bytes]], begin: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the words without comment marks at line ends, the line of each, and where paragraphs begin."""
+    at, of, starts, n, open_ = [], [], [], 0, False
+    for k, (line, a) in enumerate(zip(lines, begin)):
+        i, j = 0, len(line)
+        while i < j and bare(line[i]):
+            i += 1
+        while j > i and bare(line[j - 1]):
+            j -= 1
+        if i < j:
+            if not open_:
+                starts.append(n)
+            at.append(np.arange(a + i, a + j))
+            of.append(np.full(j - i, k))
+            n += j - i
+        open_ = i < j
+    none = np.empty(0, np.int64)
+    return np.concatenate([none, *at]), np.concatenate([none, *of]), np.array([*starts, n], np.int64)
+
+
 class Model:
     def __init__(self, weights: np.ndarray, bias: np.ndarray, least: float):
         self.weights, self.bias, self.least = weights, bias, least
@@ -187,6 +215,7 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
 
     ``findings`` lists the windows whose family reaches the calibrated probability: number of
     the line, first word, family, probability, similarity to the nearest template, confirmed.
+    Windows across line ends follow those of lines, unless one of their lines has the family confirmed.
     ``families`` are the confirmed ones. Null and empty texts have none. Repeated rows are
     scanned each; an empty table gives an empty result.
     """
@@ -215,13 +244,57 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
             at, n = np.array([s[1] for s in starts]), np.array([s[2] for s in starts])
             p = m.probabilities(run[at + n] - run[at], n)
             best = p[:, :unknown].argmax(axis=1)
-            out = []
+            seq, of, bounds = wrapped(lines, begin.tolist())
+
+            def nearest(family: str, low: int, high: int, line: int | None) -> tuple[float, bool]:
+                """Similarity and confirmation of words low to high with those around them in their line and paragraph."""
+                have = set()
+                if line is not None:
+                    first = int(begin[line])
+                    have = triples(words[max(first, low - AROUND):min(first + int(size[line]), high + AROUND)])
+                i, j = np.searchsorted(seq, [low, high])
+                if i < j:
+                    a, b = bounds[np.searchsorted(bounds, i, "right") - 1:][:2]
+                    have |= triples([words[x] for x in seq[max(a, i - AROUND):min(b, j + AROUND)]])
+                best = max(known[family], key=lambda t: len(t & have) / len(t))
+                seen = best & have
+                near = len(seen) / len(best)
+                # notices of related families share wordings: the words go to the one they match better
+                taken = near >= CONFIRMED and any(len(t & have) / len(t) > near and 3 * len(t & seen) >= len(seen)
+                                                  for f, ts in known.items() if f != family for t in ts)
+                return near, near >= CONFIRMED and not taken
+
+            out, sure = [], set()
             for i in np.flatnonzero(p[np.arange(len(p)), best] >= m.least):
                 k, a, size_ = starts[i]
-                line = int(begin[k])
-                have = triples(words[max(line, a - AROUND):min(line + int(size[k]), a + size_ + AROUND)])
-                near = max(len(t & have) / len(t) for t in known[FAMILIES[best[i]]])
-                out.append((k, a - line, FAMILIES[best[i]], float(p[i, best[i]]), near, near >= CONFIRMED))
+                near, confirmed = nearest(FAMILIES[best[i]], a, a + size_, k)
+                out.append((k, a - int(begin[k]), FAMILIES[best[i]], float(p[i, best[i]]), near, confirmed))
+                if confirmed:
+                    sure.add((k, FAMILIES[best[i]]))
+            # windows across line ends
+            across = [(a + x, min(WINDOW, b - a - x)) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()) if of[a] != of[b - 1]
+                      for x in range(0, max(1, b - a - WINDOW + STRIDE), STRIDE)]
+            across = [(x, c) for x, c in across if of[x] != of[x + c - 1]]
+            if not across:
+                return out
+            total = total[seq]
+            first = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+            h = np.array([memo[words[i]] for i in seq[first]], np.int64)
+            before = np.array([memo[words[i]] for i in seq[first - 1]], np.int64)
+            before[np.isin(first, bounds)] = 7  # a paragraph's first word has none before it
+            pair = (((before * 1_000_003 + h * 31) >> 5) & ((1 << BITS) - 1)) | (1 << BITS)
+            total[first] = m.weights[one[seq[first]]] + m.weights[pair]
+            run = np.concatenate([np.zeros((1, total.shape[1])), np.cumsum(total, axis=0, dtype=np.float64)])
+            at, n = np.array(across).T
+            p = m.probabilities(run[at + n] - run[at], n)
+            best = p[:, :unknown].argmax(axis=1)
+            for i in np.flatnonzero(p[np.arange(len(p)), best] >= m.least):
+                x, last = int(at[i]), int(at[i] + n[i] - 1)
+                k, family = int(of[x]), FAMILIES[best[i]]
+                if any((line, family) in sure for line in range(k, int(of[last]) + 1)):
+                    continue  # found in a line of its own
+                near, confirmed = nearest(family, int(seq[x]), int(seq[last]) + 1, None)
+                out.append((k, int(seq[x] - begin[k]), family, float(p[i, best[i]]), near, confirmed))
             return out
 
         for pdf in batches:

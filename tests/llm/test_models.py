@@ -88,6 +88,31 @@ def test_scan(spark, docs, model):
     assert whole.count() == docs.count() and not [r for r in whole.collect() if r.families]
 
 
+# the notices as published, with their line ends
+PUBLISHED = {
+    "agpl": "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU Affero General Public License as\npublished by the Free Software Foundation, either version 3 of the\nLicense, or (at your option) any later version.",
+    "apache": "Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0",
+    "bsd": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:",
+    "cc-by": "This work is licensed under a Creative Commons\nAttribution 4.0 International License.",
+    "cc-by-nc": "This work is licensed under a Creative Commons\nAttribution-NonCommercial 4.0 International License.",
+    "cc0": "This is free and unencumbered software released\ninto the public domain.",
+    "gpl": "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.",
+    "lgpl": "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.",
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights",
+    "mpl": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    "proprietary": "Unauthorized copying or distribution of this file\nis strictly prohibited. Proprietary and confidential.",
+}
+
+
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// "])
+def test_scan_wrapped(spark, model, mark):
+    assert sorted(PUBLISHED) == licenses.FAMILIES
+    rows = [(f, "\n".join((mark + x).rstrip() for x in ["people made green water", "", *t.split("\n"), "", "under the house"])) for f, t in PUBLISHED.items()]
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id string, text string"), model).collect()
+    assert {r.doc_id: r.families for r in got} == {f: [f] for f in PUBLISHED}
+
+
 def test_scan_nothing(empty):
     assert licenses.scan(empty, licenses.fit(empty)).count() == 0
 
