@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from sellerscope.llm.common import cut
 
 #: turns that a container may hold
-CONTAINER = 50_000
+CONTAINER = 512
 #: conversations FAMILY apart share heads of fewer than HEADS turns
 FAMILY, HEADS = 20, 4
 ROOT = hashlib.sha256(b"").digest()[:16]
