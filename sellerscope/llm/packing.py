@@ -20,8 +20,10 @@ from __future__ import annotations
 import os
 import re
 import struct
+import sys
 import zlib
 from collections.abc import Iterable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -34,8 +36,10 @@ CAPACITY = 2048
 #: (number of groups, share of the capacity up to which lengths are small) to try; the plan with the fewest sequences is taken
 #: (from a half on, every configuration holds one piece, and the rest is best fit decreasing)
 TRIED = ((96, 1 / 4), (96, 0.36), (16, 1 / 2))
-#: words whose ids a task keeps
-MEMO = 300_000
+#: words, and parts of words, whose ids a worker keeps in each of two generations
+MEMO, PARTS = 400_000, 200_000
+#: runs that are broadcast; a longer plan is joined by shuffle
+BROADCAST_RUNS = 500_000
 END_ID = 0
 
 
@@ -49,6 +53,25 @@ def _byte_characters() -> dict[int, int]:
     return {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in own)}
 
 
+class Memory(dict):
+    """What ``make`` gave for each key, in two generations of at most ``most`` keys: when the younger is full
+    it replaces the older, so that frequent keys are kept."""
+
+    def __init__(self, make, most: int):
+        super().__init__()
+        self.make, self.most, self.older = make, most, {}
+
+    def __missing__(self, key):
+        found = self.older.get(key)
+        if found is None:
+            found = self.make(key)
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[key] = found
+        return found
+
+
 class TokenIds:
     """Ids of a text as little-endian 32-bit numbers, word by word (white space parts the tokenizer's words).
 
@@ -59,44 +82,43 @@ class TokenIds:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core, and workers are forks
         from tokenizers import Tokenizer
-        self.tokenizer, self.memo, self.characters = Tokenizer.from_file(path), {}, _byte_characters()
+        self.tokenizer, self.characters = Tokenizer.from_file(path), _byte_characters()
         self.model = self.tokenizer.model
+        self.letters, self.marks = Memory(self.merged, PARTS), Memory(self.whole, PARTS)
+        self.words = Memory(self.encoded, MEMO)
+
+    def whole(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def merged(self, letters: str) -> bytes:
+        as_bytes = letters if letters.isascii() else letters.encode().decode("latin-1").translate(self.characters)
+        tokens = [t.id for t in self.model.tokenize(as_bytes)]
+        return struct.pack(f"<{len(tokens)}I", *tokens)
 
     def encoded(self, raw: bytes) -> bytes:
         word = raw.decode()
         plain = WORD.fullmatch(word)
         if not plain:
-            return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        letters, marks = plain[1].lower(), plain[2]
-        ids = self.memo.get(letters)
-        if ids is None:
-            as_bytes = letters if letters.isascii() else letters.encode().decode("latin-1").translate(self.characters)
-            tokens = [t.id for t in self.model.tokenize(as_bytes)]
-            ids = self.memo[letters] = struct.pack(f"<{len(tokens)}I", *tokens)
-        if not marks:
-            return ids
-        if marks not in self.memo:
-            self.memo[marks] = np.array(self.tokenizer.encode(marks, add_special_tokens=False).ids, "<u4").tobytes()
-        return ids + self.memo[marks]
+            return self.whole(word)
+        letters, marks = plain.groups()
+        return self.letters[letters.lower()] + self.marks[marks] if marks else self.letters[letters.lower()]
 
     def __call__(self, text: str) -> bytes:
-        words, memo = text.encode().split(), self.memo  # at ASCII white space
-        try:
-            return b"".join(map(memo.__getitem__, words))
-        except KeyError:
-            pass
-        if len(memo) >= MEMO:
-            memo.clear()
-        for w in words:
-            if w not in memo:
-                memo[w] = self.encoded(w)
-        return b"".join(map(memo.__getitem__, words))
+        return b"".join(map(self.words.__getitem__, text.encode().split()))  # at ASCII white space
+
+
+def worker_encoder(path: str) -> TokenIds:
+    """The worker's encoder: made once, and kept with what it remembers for the worker's next tasks."""
+    kept = sys.modules.setdefault("_llm_token_ids", ModuleType("_llm_token_ids")).__dict__
+    if path not in kept:
+        kept[path] = TokenIds(path)
+    return kept[path]
 
 
 def tokenized_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every document's ids, followed by ``END_ID``."""
     def pieces(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, end, step = TokenIds(tokenizer), np.array([END_ID], "<u4").tobytes(), 4 * capacity
+        encode, end, step = worker_encoder(tokenizer), np.array([END_ID], "<u4").tobytes(), 4 * capacity
         for pdf in batches:
             rows = []
             for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
@@ -286,9 +308,10 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, salts: int |
               .withColumn("rank", F.col("base") + F.col("place")))
     # at most ``capacity`` lengths come to the driver; the runs are bounded by them too
     histogram = {r["l"]: r["n"] for r in part.groupBy("l").agg(F.sum("n").alias("n")).collect()}
-    runs = spark.createDataFrame(plan_runs(histogram, capacity),
-                                 "run_length long, first long, count long, each long, sequence long, at long")
-    return (ranked.join(F.broadcast(runs), (F.col("length") == F.col("run_length")) & (F.col("rank") >= F.col("first"))
+    plan = plan_runs(histogram, capacity)
+    runs = spark.createDataFrame(plan, "run_length long, first long, count long, each long, sequence long, at long")
+    runs = F.broadcast(runs) if len(plan) <= BROADCAST_RUNS else runs
+    return (ranked.join(runs, (F.col("length") == F.col("run_length")) & (F.col("rank") >= F.col("first"))
                         & (F.col("rank") < F.col("first") + F.col("count")))
             .withColumn("step", F.col("rank") - F.col("first"))
             .select("doc_id", "piece", "start", "length", "ids_crc32",
