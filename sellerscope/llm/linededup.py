@@ -16,6 +16,7 @@ The earliest line of each group of linked classes stays; blank lines always stay
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 from sellerscope.llm.common import WHITE, connected_components, cut
 
 DISTANCE, LEAST = 2, 40
-#: line hashes a task remembers, and bits of the filter of candidate lines
-MEMO, FILTER_BITS = 500_000, 1 << 23
+#: line hashes a task remembers, rows or characters of a frame that it hands on, and bits of the filter of candidate lines
+MEMO, FRAME, FRAME_CHARACTERS, FILTER_BITS = 200_000, 50_000, 4_000_000, 1 << 23
 
 
 def segments(length: int, distance: int = DISTANCE) -> list[tuple[int, int]]:
@@ -123,11 +124,30 @@ def line_hash(line: str) -> int:
 
 
 def _places(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Frames of about FRAME lines; a document's lines stay in one."""
     for pdf in batches:
-        out = [(d, i, line_hash(x) if x else None) for d, t in zip(pdf["doc_id"], pdf["text"]) for i, x in enumerate(trimmed(t))]
-        doc, number, line = zip(*out) if out else ((), (), ())
-        yield pd.DataFrame({"doc_id": pd.Series(doc, dtype=pdf["doc_id"].dtype), "line_no": pd.Series(number, dtype="int32"),
-                            "line_id": pd.array(line, dtype="Int64")})
+        kind = pdf["doc_id"].dtype
+        size, docs, number, line, blank = array("q"), [], array("i"), array("q"), array("b")
+
+        def out() -> pd.DataFrame:
+            frame = pd.DataFrame({"doc_id": pd.Series(docs, dtype=kind).repeat(np.array(size)).reset_index(drop=True),
+                                  "line_no": np.array(number, np.int32),
+                                  "line_id": pd.arrays.IntegerArray(np.array(line, np.int64), np.array(blank, bool))})
+            docs.clear()
+            for x in (size, number, line, blank):
+                del x[:]
+            return frame
+
+        for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
+            found = trimmed(text)
+            docs.append(doc_id)
+            size.append(len(found))
+            number.extend(range(len(found)))
+            line.extend(line_hash(x) if x else 0 for x in found)
+            blank.extend(not x for x in found)
+            if len(number) >= FRAME:
+                yield out()
+        yield out()
 
 
 def _distinct_lines(pdf: pd.DataFrame, seen: set[int]) -> Iterator[tuple[int, str]]:
@@ -143,32 +163,42 @@ def _distinct_lines(pdf: pd.DataFrame, seen: set[int]) -> Iterator[tuple[int, st
                     yield h, x
 
 
-def _keyed(probing: bool):
-    """Keys of every line's segments, or of the substrings that it probes with."""
-    def keys(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        plans: dict[int, list[tuple[int, int, int]]] = {}
-        seen: set[int] = set()
-        for pdf in batches:
-            ids, found, maps, size = [], [], [], []
-            for h, line in _distinct_lines(pdf, seen):
-                n = len(line)
-                plan = plans.get(n)
-                if plan is None:
-                    if len(plans) > 4096:
-                        plans.clear()
-                    if probing:
-                        plan = [(s, s + m, other * 8 + i) for other in range(max(LEAST, n - DISTANCE), n + 1) for i, s, m in probes(n, other)]
-                    else:
-                        plan = [(s, s + m, n * 8 + i) for i, (s, m) in enumerate(segments(n))]
-                    plans[n] = plan
-                found += [xxhash.xxh64_intdigest(line[s:e], seed) - (1 << 63) for s, e, seed in plan]
-                ids.append(h)
-                maps.append(parity(line))
-                size.append(len(plan))
-            yield pd.DataFrame({"key": np.array(found, np.int64), "id": np.repeat(np.array(ids, np.int64), size),
-                                "map": np.repeat(np.array(maps, np.int64), size)})
-
-    return keys
+def _plan(n: int) -> list[tuple[int, int, int, bool]]:
+    """(start, end, seed, probing) of the keys of a line of n characters: its segments, and the substrings that it probes with."""
+    return ([(s, s + m, n * 8 + i, False) for i, (s, m) in enumerate(segments(n))]
+            + [(s, s + m, other * 8 + i, True) for other in range(max(LEAST, n - DISTANCE), n + 1) for i, s, m in probes(n, other)])
+
+
+def _keys(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(key, id, map, probing) in frames of about FRAME rows."""
+    plans: dict[int, list[tuple[int, int, int, bool]]] = {}
+    seen: set[int] = set()
+    key, probing, ids, maps, size = array("q"), array("b"), array("q"), array("q"), array("q")
+
+    def out() -> pd.DataFrame:
+        each = np.array(size, np.int64)
+        frame = pd.DataFrame({"key": np.array(key, np.int64), "id": np.repeat(np.array(ids, np.int64), each),
+                              "map": np.repeat(np.array(maps, np.int64), each), "probing": np.array(probing, bool)})
+        for x in (key, probing, ids, maps, size):
+            del x[:]
+        return frame
+
+    for pdf in batches:
+        for h, line in _distinct_lines(pdf, seen):
+            plan = plans.get(len(line))
+            if plan is None:
+                if len(plans) > 4096:
+                    plans.clear()
+                plan = plans[len(line)] = _plan(len(line))
+            for s, e, seed, _ in plan:
+                key.append(xxhash.xxh64_intdigest(line[s:e], seed) - (1 << 63))
+            probing.extend(p for *_, p in plan)
+            ids.append(h)
+            maps.append(parity(line))
+            size.append(len(plan))
+            if len(key) >= FRAME:
+                yield out()
+    yield out()
 
 
 def _verified(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -191,7 +221,14 @@ def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     def lines(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
         for pdf in batches:
-            yield pd.DataFrame(list(_distinct_lines(pdf, seen)), columns=["id", "line"]).astype({"id": "int64"})
+            rows, held = [], 0
+            for row in _distinct_lines(pdf, seen):
+                rows.append(row)
+                held += len(row[1])
+                if len(rows) >= FRAME or held >= FRAME_CHARACTERS:
+                    yield pd.DataFrame(rows, columns=["id", "line"]).astype({"id": "int64"})
+                    rows, held = [], 0
+            yield pd.DataFrame(rows, columns=["id", "line"]).astype({"id": "int64"})
 
     kept = F.pandas_udf(lambda b: pd.Series((shared.value[b // 32] >> (b % 32)) & 1 == 1), "boolean")
     found = docs.select("text").mapInPandas(lines, "id long, line string").where(kept(bit))
@@ -200,10 +237,9 @@ def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame) -> DataFrame:
     """(a, b, distance): all linked pairs of classes, a < b."""
-    text = docs.select("text")
-    index = text.mapInPandas(_keyed(False), "key long, id long, map long")
-    probe = text.mapInPandas(_keyed(True), "key long, id long, map long").select(
-        F.col("key").alias("k"), F.col("id").alias("p"), F.col("map").alias("pm"))
+    keys = cut(docs.select("text").mapInPandas(_keys, "key long, id long, map long, probing boolean"), "keys")
+    index = keys.where("NOT probing").drop("probing")
+    probe = keys.where("probing").select(F.col("key").alias("k"), F.col("id").alias("p"), F.col("map").alias("pm"))
     pairs = index.join(probe, (F.col("key") == F.col("k")) & (F.col("id") != F.col("p"))
                        & (F.bit_count(F.col("map").bitwiseXOR(F.col("pm"))) <= 2 * DISTANCE))
     pairs = cut(pairs.select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct(), "pairs")
