@@ -1,9 +1,9 @@
 """Line dedup by a segment-partition edit join.
 
 Lines (between line feeds, white space at the ends dropped) that are equal form a class.
-Two classes are linked if their lines have at least ``LEAST`` characters and their edit
-distance is at most ``DISTANCE``. A line is cut into ``DISTANCE`` + 1 segments; within
-that distance at least one segment stays unchanged, so it stands in the other line near
+Two classes are linked if the edit distance of their lines is at most the threshold of the shorter
+one: 1 from ``LEAST`` characters on, ``DISTANCE`` from ``WIDE`` on; shorter lines are linked with their
+equals only. A line is cut into threshold + 1 segments; within that distance at least one segment stays unchanged, so it stands in the other line near
 its own place. Every line is indexed under its segments (with its length and the segment's
 number) and probes, for each length it could be linked with, the substrings at the places
 that the lengths allow. A parity map of character counts, of which an edit changes at
@@ -27,11 +27,16 @@ from pyspark.sql import functions as F
 
 from sellerscope.llm.common import WHITE, connected_components, cut
 
-DISTANCE, LEAST = 2, 40
+DISTANCE, LEAST, WIDE = 2, 12, 40
 #: line hashes a task remembers, rows or characters of a frame that it hands on, and bits of the filter of candidate lines
 MEMO, FRAME, FRAME_CHARACTERS, FILTER_BITS = 200_000, 50_000, 4_000_000, 1 << 23
 
 
+def threshold(length: int) -> int:
+    """Edits within which a line of ``length`` characters is linked with one that is no shorter."""
+    return 0 if length < LEAST else 1 if length < WIDE else DISTANCE
+
+
 def segments(length: int, distance: int = DISTANCE) -> list[tuple[int, int]]:
     """(start, length) of the distance + 1 segments: the last ones are one longer."""
     k = distance + 1
@@ -163,23 +168,26 @@ def _distinct_lines(pdf: pd.DataFrame, seen: set[int]) -> Iterator[tuple[int, st
                     yield h, x
 
 
-def _plan(n: int) -> list[tuple[int, int, int, bool]]:
-    """(start, end, seed, probing) of the keys of a line of n characters: its segments, and the substrings that it probes with."""
-    return ([(s, s + m, n * 8 + i, False) for i, (s, m) in enumerate(segments(n))]
-            + [(s, s + m, other * 8 + i, True) for other in range(max(LEAST, n - DISTANCE), n + 1) for i, s, m in probes(n, other)])
+def _plan(n: int) -> list[tuple[int, int, int, int]]:
+    """(start, end, seed, bits) of the keys of a line of n characters: its segments, with the bits in which the parity map of
+    a linked line may differ, and the substrings that it probes with, with -1."""
+    t = threshold(n)
+    own = [(s, s + m, n * 8 + i, 2 * t) for i, (s, m) in enumerate(segments(n, t))]
+    others = [other for other in range(max(LEAST, n - DISTANCE), n + 1) if n - other <= threshold(other)]
+    return own + [(s, s + m, other * 8 + i, -1) for other in others for i, s, m in probes(n, other, threshold(other))]
 
 
 def _keys(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(key, id, map, probing) in frames of about FRAME rows."""
-    plans: dict[int, list[tuple[int, int, int, bool]]] = {}
+    """(key, id, map, bits) in frames of about FRAME rows."""
+    plans: dict[int, list[tuple[int, int, int, int]]] = {}
     seen: set[int] = set()
-    key, probing, ids, maps, size = array("q"), array("b"), array("q"), array("q"), array("q")
+    key, bits, ids, maps, size = array("q"), array("b"), array("q"), array("q"), array("q")
 
     def out() -> pd.DataFrame:
         each = np.array(size, np.int64)
         frame = pd.DataFrame({"key": np.array(key, np.int64), "id": np.repeat(np.array(ids, np.int64), each),
-                              "map": np.repeat(np.array(maps, np.int64), each), "probing": np.array(probing, bool)})
-        for x in (key, probing, ids, maps, size):
+                              "map": np.repeat(np.array(maps, np.int64), each), "bits": np.array(bits, np.int8)})
+        for x in (key, bits, ids, maps, size):
             del x[:]
         return frame
 
@@ -192,7 +200,7 @@ def _keys(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 plan = plans[len(line)] = _plan(len(line))
             for s, e, seed, _ in plan:
                 key.append(xxhash.xxh64_intdigest(line[s:e], seed) - (1 << 63))
-            probing.extend(p for *_, p in plan)
+            bits.extend(b for *_, b in plan)
             ids.append(h)
             maps.append(parity(line))
             size.append(len(plan))
@@ -203,7 +211,7 @@ def _keys(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _verified(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        d = [within(a, b) for a, b in zip(pdf["line_a"], pdf["line_b"])]
+        d = [within(a, b, threshold(min(len(a), len(b)))) for a, b in zip(pdf["line_a"], pdf["line_b"])]
         out = pd.DataFrame({"a": pdf["a"], "b": pdf["b"], "distance": pd.Series(d, dtype="float64")})
         yield out[out["distance"].notna()].astype({"distance": "int64"})
 
@@ -237,11 +245,11 @@ def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame) -> DataFrame:
     """(a, b, distance): all linked pairs of classes, a < b."""
-    keys = cut(docs.select("text").mapInPandas(_keys, "key long, id long, map long, probing boolean"), "keys")
-    index = keys.where("NOT probing").drop("probing")
-    probe = keys.where("probing").select(F.col("key").alias("k"), F.col("id").alias("p"), F.col("map").alias("pm"))
+    keys = cut(docs.select("text").mapInPandas(_keys, "key long, id long, map long, bits tinyint"), "keys")
+    index = keys.where("bits >= 0")
+    probe = keys.where("bits < 0").select(F.col("key").alias("k"), F.col("id").alias("p"), F.col("map").alias("pm"))
     pairs = index.join(probe, (F.col("key") == F.col("k")) & (F.col("id") != F.col("p"))
-                       & (F.bit_count(F.col("map").bitwiseXOR(F.col("pm"))) <= 2 * DISTANCE))
+                       & (F.bit_count(F.col("map").bitwiseXOR(F.col("pm"))) <= F.col("bits")))
     pairs = cut(pairs.select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct(), "pairs")
     ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
     line = cut(texts_of(docs, ids), "candidates")

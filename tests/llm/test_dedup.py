@@ -193,6 +193,7 @@ def test_banded_distance_and_probes():
 def test_line_groups(spark, docs, rows):
     rng = random.Random(3)
     base = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(36, 60))).strip() + "." for _ in range(12)]
+    base += ["Menu | About | Contact", "Page 14 of 90", "Home > News", "Last change: 2024-05-01 ."]
     more = [(500 + i, "\n".join([changed(rng, rng.choice(base), 2) for _ in range(4)] + ["", "short", " padded line \t"]), "en", "a")
             for i in range(30)]
     plain = {i: t for i, t, *_ in [*rows, *more]}
@@ -209,7 +210,9 @@ def test_line_groups(spark, docs, rows):
 
     for k, x in enumerate(distinct):
         for y in distinct[:k]:
-            if min(len(x), len(y)) >= linededup.LEAST and abs(len(x) - len(y)) <= 2 and distance(x, y) <= 2:
+            shorter = min(len(x), len(y))
+            most = 0 if shorter < 12 else 1 if shorter < 40 else 2
+            if most and abs(len(x) - len(y)) <= most and distance(x, y) <= most:
                 parent[find(x)] = find(y)
                 degree[x] += 1
                 degree[y] += 1
