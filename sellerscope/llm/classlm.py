@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sellerscope.llm.common import cut, text_or_empty
+from sellerscope.llm.common import cut, ship, shipped, text_or_empty
 
 FREQUENT, CLUSTERED, CLASSES, SWEEPS = 200_000, 512, 32, 8
 #: words that a task counts before it hands them on
@@ -205,10 +205,10 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
     learned = docs.where(training).select(text_or_empty().alias("text"))
     counts = cut(word_counts(learned), "counts")
     model = Model(counts, learned)
-    shared = spark.sparkContext.broadcast(model)
+    shared = ship(spark, model)
 
     def look_up(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = shared.value
+        m = shipped(shared)
         base = np.log10(m.tokens + m.types + 1)
         row = TaskContext.get().partitionId() << 40
         end_known, memo = int(m.tokens > 0), {}

@@ -10,6 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +42,21 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession, value: object) -> Broadcast:
+    """Broadcast ``value`` as bytes that hold its classes too: a plain broadcast names them, and executors need no copy of
+    the library. ``shipped`` reads it in a task."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def shipped(sent: Broadcast) -> object:
+    return cloudpickle.loads(sent.value)
+
+
+def unused(name: str) -> str:
+    """A column name that no table has."""
+    return f"_{name}_{uuid.uuid4().hex}"
+
+
 def text_or_empty(c: str = "text") -> Column:
     return F.coalesce(F.col(c), F.lit(""))
 

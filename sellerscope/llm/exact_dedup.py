@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sellerscope.llm.common import WHITE, cut, text_or_empty
+from sellerscope.llm.common import WHITE, cut, text_or_empty, unused
 
 #: chunk lengths in characters, and the characters after which a chunk may end
 MIN_CHUNK, MAX_CHUNK, CUTS = 256, 2048, "[.,;:!?|%#&$*]"
@@ -53,10 +53,10 @@ def exact_groups(docs: DataFrame, least: int = MIN_CHUNK, most: int = MAX_CHUNK,
     else:
         recipes = _with_ordinals(recipes, chunked, contents, ambiguous, hashed)
     groups = (recipes.groupBy("recipe", "ordinals")
-              .agg(F.max(F.struct(F.col("points"), (-F.col("doc_id")).alias("less"))).alias("best"),
+              .agg(F.min(F.struct(-F.col("points"), F.col("doc_id").isNull(), "doc_id")).alias("best"),
                    F.count("*").alias("group_size"))
               .select(F.col("recipe").alias("r"), F.col("ordinals").alias("o"),
-                      (-F.col("best.less")).alias("keep_id"), "group_size"))
+                      F.col("best.doc_id").alias("keep_id"), "group_size"))
     return (recipes.join(groups, (F.col("recipe") == F.col("r")) & (F.col("ordinals") == F.col("o")))
             .select("doc_id", "keep_id", "group_size",
                     F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"))
@@ -81,11 +81,12 @@ def drop_exact_copies(docs: DataFrame, **options) -> DataFrame:
     smallest text, remains.
     """
     groups = cut(exact_groups(docs, **options), "groups")
-    kept = groups.where("kept").groupBy(F.col("doc_id").alias("_kept_id")).agg(F.count("*").alias("_rows"))
-    same = F.col("doc_id").eqNullSafe(F.col("_kept_id"))
-    once = docs.join(kept.where("_rows = 1"), same, "left_semi")
-    if kept.where("_rows > 1").isEmpty():
+    kept_id, rows, rank = unused("kept_id"), unused("rows"), unused("rank")
+    kept = groups.where("kept").groupBy(F.col("doc_id").alias(kept_id)).agg(F.count("*").alias(rows))
+    same = F.col("doc_id").eqNullSafe(F.col(kept_id))
+    once = docs.join(kept.where(F.col(rows) == 1), same, "left_semi")
+    if kept.where(F.col(rows) > 1).isEmpty():
         return once
     order = Window.partitionBy("doc_id").orderBy(F.char_length(text_or_empty()).desc(), "text")
-    more = docs.join(kept.where("_rows > 1"), same, "left_semi").withColumn("_rank", F.row_number().over(order))
-    return once.unionByName(more.where("_rank = 1").drop("_rank"))
+    more = docs.join(kept.where(F.col(rows) > 1), same, "left_semi").withColumn(rank, F.row_number().over(order))
+    return once.unionByName(more.where(F.col(rank) == 1).drop(rank))

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sellerscope.llm.common import cut, text_or_empty
+from sellerscope.llm.common import cut, ship, shipped, text_or_empty
 
 ORDER = 4
 #: training rows per language; a fifth of them calibrates scores instead
@@ -247,10 +247,10 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     ``und`` with score 0 if the text is null, empty or has no letter, or nothing was learned;
     of equal entropies the first language by name wins. Nothing but the text decides.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
+    shared = ship(docs.sparkSession, model)  # bounded by the sample
 
     def predict(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = shared.value
+        m = shipped(shared)
         scorer = Scorer(m.tables) if m else None
         for pdf in batches:
             rows, texts = [], pdf["text"].tolist()

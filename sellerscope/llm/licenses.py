@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sellerscope.llm.common import cut, text_or_empty
+from sellerscope.llm.common import cut, ship, shipped, text_or_empty
 
 # Public wordings of licence notices, by family.
 TEMPLATES = {
@@ -219,11 +219,11 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
     ``families`` are the confirmed ones. Null and empty texts have none. Repeated rows are
     scanned each; an empty table gives an empty result.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size
+    shared = ship(docs.sparkSession, model)  # of fixed size
     known = {f: [triples(words_of(t)) for t in ts] for f, ts in TEMPLATES.items()}
 
     def find(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m, memo, unknown = shared.value, Grams(), len(FAMILIES)
+        m, memo, unknown = shipped(shared), Grams(), len(FAMILIES)
 
         def findings(text: str) -> list[tuple]:
             lines = [words_of(x) for x in text.split("\n")]

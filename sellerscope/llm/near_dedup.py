@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sellerscope.llm.common import connected_components, cut
+from sellerscope.llm.common import connected_components, cut, unused
 from sellerscope.llm.shingles import WordHashes, mixed, shingle_set
 
 SAMPLES, ROWS = 128, 4
@@ -337,5 +337,6 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: those of each group's smallest doc_id."""
-    kept = cut(near_groups(docs).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct(), "kept")
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    kept_id = unused("kept_id")
+    kept = cut(near_groups(docs).where("kept").select(F.col("doc_id").alias(kept_id)).distinct(), "kept")
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col(kept_id)), "left_semi")

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sellerscope.llm.common import cut, text_or_empty
+from sellerscope.llm.common import cut, text_or_empty, unused
 
 NAMES = ("log_words", "upper", "symbols", "bars", "exclamations", "digits", "stops", "distinct", "top_word", "repeats",
          "repeated_lines", "word_length", "marks", "log_lines", "one")
@@ -173,5 +173,6 @@ def quality(docs: DataFrame, labels: DataFrame, keep: float = KEEP) -> DataFrame
 
 def drop_low_quality(docs: DataFrame, labels: DataFrame, keep: float = KEEP) -> DataFrame:
     """The rows of ``docs`` that the classifier keeps, with all their columns; a doc_id goes if all its rows do."""
-    out = quality(docs, labels, keep).groupBy(F.col("doc_id").alias("_out")).agg(F.max("kept").alias("_kept")).where("not _kept")
-    return docs.join(cut(out.select("_out"), "rejected"), F.col("doc_id").eqNullSafe(F.col("_out")), "left_anti")
+    gone = unused("rejected")
+    out = quality(docs, labels, keep).groupBy(F.col("doc_id").alias(gone)).agg(F.max("kept").alias("kept")).where("not kept")
+    return docs.join(cut(out.select(gone), "rejected"), F.col("doc_id").eqNullSafe(F.col(gone)), "left_anti")
