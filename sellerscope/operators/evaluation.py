@@ -73,6 +73,29 @@ def roc_auc(df: DataFrame, label_col: str, score_col: str) -> DataFrame:
     return one.select(F.try_divide(F.col("_s"), F.col("_p").cast("double") * F.col("_n")).alias("roc_auc"))
 
 
+def candidate_metrics(df: DataFrame, by: str, label_col: str, score_col: str,
+                      threshold: float = C.DECISION_THRESHOLD) -> DataFrame:
+    """One row per value of ``by`` (a candidate, a fold): roc_auc, accuracy, precision,
+    recall and f1_score at ``threshold``, from one table of prefix sums partitioned by it."""
+    y = F.col(label_col) == 1
+    t = prefix_sums(df.filter(F.col(label_col).isNotNull()), score_col,
+                    {"pos": y.cast("long"), "neg": (~y).cast("long")}, partition_cols=(by,))
+    hit = F.col(score_col) > threshold
+
+    def total(c: str, pred) -> F.Column:
+        return F.coalesce(F.sum(F.when(pred, F.col(c))), F.lit(0))
+
+    one = t.groupBy(by).agg(
+        F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2.0)).alias("_s"),
+        F.max("pos_total").alias("_p"), F.max("neg_total").alias("_n"),
+        total("pos", hit).alias("tp"), total("neg", hit).alias("fp"), total("pos", ~hit).alias("fn"), total("neg", ~hit).alias("tn"))
+    tp, fp, fn, tn = (F.col(x) for x in ("tp", "fp", "fn", "tn"))
+    return one.select(
+        by, F.try_divide(F.col("_s"), F.col("_p").cast("double") * F.col("_n")).alias("roc_auc"),
+        _div0(tp + tn, tp + fp + fn + tn).alias("accuracy"), _div0(tp, tp + fp).alias("precision"),
+        _div0(tp, tp + fn).alias("recall"), _div0(2 * tp, 2 * tp + fp + fn).alias("f1_score"))
+
+
 def roc_curve(df: DataFrame, label_col: str, score_col: str) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score (a seller is positive at
     score >= threshold), plus the origin at threshold +inf. Intermediate

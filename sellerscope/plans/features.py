@@ -1,23 +1,24 @@
 """Feature pipelines (``pyspark.ml``): preprocessing, encoders, assembler.
 
-All preprocessing is a ``SQLTransformer`` stage, so the fitted
-``PipelineModel`` carries the encoders and fills with it: scoring a new batch
-reuses the training encoding (``handleInvalid='keep'`` maps unseen labels to
-an extra index) instead of refitting per batch.
-
-Encoded columns are the label index in alphabetical order cast to plain
-double (metadata dropped), i.e. integer codes used as numbers, so trees do
-not treat them as nominal (which would also cap them at ``maxBins``).
+All preprocessing is a stage (``SQLTransformer`` or the dictionary encoder), so the
+fitted ``PipelineModel`` carries the encoders and fills with it: scoring a new batch
+reuses the training encoding (unseen labels get an extra code) instead of
+refitting per batch.
+
+Encoded columns are the label's rank in text order as a plain double, i.e.
+integer codes used as numbers, so trees do not treat them as nominal (which
+would also cap them at ``maxBins``).
 """
 
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sellerscope import config as C
+from sellerscope.operators.encoding import DictionaryEncoder
 
 CATEGORICALS = ("lead_behaviour_profile", "business_segment", "lead_type", "business_type",
                 "origin", "seller_state")
@@ -30,19 +31,16 @@ def _sql_fill_numeric(cols) -> str:
 
 
 def _encoder_stages(missing_label: str | None, seller_state_missing: str | None):
-    """Text preparation, StringIndexer (alphabetical), metadata-free cast."""
+    """Text preparation and the dictionary encoder."""
     prep = []
     for c in CATEGORICALS:
         miss = seller_state_missing if c == "seller_state" else missing_label
         expr = f"CAST({c} AS STRING)" if miss is None else f"coalesce(CAST({c} AS STRING), '{miss}')"
         prep.append(f"{expr} AS {c}_text")
     prep_sql = SQLTransformer(statement=f"SELECT *, {', '.join(prep)} FROM __THIS__")
-    indexer = StringIndexer(inputCols=[f"{c}_text" for c in CATEGORICALS],
-                            outputCols=[f"{c}_idx" for c in CATEGORICALS],
-                            stringOrderType="alphabetAsc", handleInvalid="keep")
-    cast = SQLTransformer(statement="SELECT *, " + ", ".join(
-        f"CAST({c}_idx AS DOUBLE) AS {c}_encoded" for c in CATEGORICALS) + " FROM __THIS__")
-    return [prep_sql, indexer, cast]
+    encoder = DictionaryEncoder(inputCols=[f"{c}_text" for c in CATEGORICALS],
+                                outputCols=[f"{c}_encoded" for c in CATEGORICALS])
+    return [prep_sql, encoder]
 
 
 def pre_activation_pipeline(wide: bool = False) -> Pipeline:

@@ -188,3 +188,21 @@ for _stage_name in ("pre_activation", "retention"):
         def _pr(inp):
             return EV.pr_curve(_held_out(inp, stage), "label", "p")
     _mk_fitted(_stage_name)
+
+
+@register("label_dictionary", sql=with_ctes(" UNION ALL ".join(
+    f"SELECT '{c}_text' AS \"column\", v AS value, dense_rank() OVER (ORDER BY v) - 1 AS code "
+    f"FROM (SELECT DISTINCT CAST({c} AS VARCHAR) AS v FROM f_labelled WHERE {c} IS NOT NULL)" for c in FE.CATEGORICALS)))
+def q_label_dictionary(inp):
+    """The codes of every category column, as the table that is saved with the models."""
+    encoder = FE.pre_activation_pipeline().fit(inp.labelled).stages[1]
+    return encoder.dictionary
+
+
+@register("cross_validate_facts", sql=with_ctes(f"""
+SELECT fold, count(*) AS rows, TRUE AS auc_in_range FROM (
+  SELECT CAST((row_number() OVER (PARTITION BY never_activated ORDER BY {HASH}, seller_id) - 1) % 5 AS INTEGER) AS fold FROM f_labelled)
+GROUP BY fold"""))
+def q_cross_validate_facts(inp):
+    folds = TR.fold_metrics(inp.labelled, "never_activated", FE.pre_activation_pipeline(), "LogisticRegression", inp.params)
+    return folds.select("fold", "rows", F.col("roc_auc").between(0, 1).alias("auc_in_range"))

@@ -86,6 +86,8 @@ class StageResult:
     outer_test: DataFrame | None = None
     skipped: str | None = None
     sizes: dict[str, int] = field(default_factory=dict)
+    train: DataFrame | None = None
+    fitted: dict[str, PipelineModel] = field(default_factory=dict)
 
 
 def _label_counts(df: DataFrame, label_col: str) -> dict:
@@ -122,7 +124,10 @@ def train_stage(data: DataFrame, stage: str, label_col: str, feature_pipeline: P
     inner_test = inner.filter(F.col("is_test") == 1).drop("is_test")
     res.sizes = {r["is_test"]: r["count"] for r in inner.groupBy("is_test").count().collect()}
     res.sizes = {"outer_test_rows": n - sum(res.sizes.values()), "train_rows": res.sizes.get(0, 0), "test_rows": res.sizes.get(1, 0)}
-    train_feats = feat_model.transform(inner_train).repartition(fit_partitions, "seller_id").persist()
+    # encoded once: the fits and their certificates read the rows back, every candidate scores the same test rows
+    inner_train = inner_train.repartition(fit_partitions, "seller_id")
+    train_feats = res.train = materialize(feat_model.transform(inner_train).select("seller_id", "label", "weight", FE.FEATURES_COL))
+    scored = feat_model.transform(inner_test).select("label", FE.FEATURES_COL)
     n_train = train_feats.count()
     fitted = {}
     for name in algorithms:
@@ -130,15 +135,17 @@ def train_stage(data: DataFrame, stage: str, label_col: str, feature_pipeline: P
         clf = est.fit(train_feats)
         model = PipelineModel(stages=[*feat_model.stages, clf])
         fitted[name] = model
-        scored = EV.with_prediction(positive_probability(model, inner_test, "p"), "p")
-        auc = EV.roc_auc(scored, "label", "p")
-        m = attach_scalars(EV.binary_metrics(scored, "label"), auc).first().asDict()
-        m.update(stage=stage, algorithm=name, params=_estimator_params(est))
-        res.metrics.append(m)
+        scored = positive_probability(clf, scored, f"_p_{name}")
+        res.metrics.append({"stage": stage, "algorithm": name, "params": _estimator_params(est)})
         if hasattr(clf, "featureImportances"):
             imp = clf.featureImportances.toArray().tolist()
             res.importance[name] = sorted(zip(feature_cols, imp), key=lambda t: -t[1])
-    train_feats.unpersist()
+    # one evaluation for all candidates: their scores side by side, unpivoted, ranked per candidate
+    long = scored.select("label", F.explode(F.array(*[F.struct(F.lit(a).alias("algorithm"), F.col(f"_p_{a}").alias("p")) for a in fitted])).alias("x"))
+    found = {r["algorithm"]: r.asDict() for r in EV.candidate_metrics(long.select("label", "x.*"), "algorithm", "label", "p").collect()}
+    for m in res.metrics:  # a row per candidate
+        m.update(found.get(m["algorithm"], {"roc_auc": None, "accuracy": 0.0, "precision": 0.0, "recall": 0.0, "f1_score": 0.0}))
+    res.fitted = fitted
     best = select_best_name(res.metrics)
     res.best = best
     res.model = fitted[best]
@@ -230,21 +237,29 @@ def load_model(path: str) -> PipelineModel:
 
 def cross_validate(data: DataFrame, label_col: str, feature_pipeline: Pipeline, algorithm: str,
                    params: ChurnParams = DEFAULT_PARAMS) -> DataFrame:
-    """Mean and (population) std of AUC over stratified hash folds, with
-    ``CrossValidator(foldCol=...)``: one row (cv_auc_mean, cv_auc_std)."""
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    """Mean and (population) std of the exact AUC over stratified hash folds: one row
+    (algorithm, cv_auc_mean, cv_auc_std), from ``fold_metrics``."""
+    return fold_metrics(data, label_col, feature_pipeline, algorithm, params).agg(
+        F.lit(algorithm).alias("algorithm"), F.avg("roc_auc").alias("cv_auc_mean"), F.stddev_pop("roc_auc").alias("cv_auc_std"))
 
+
+def fold_metrics(data: DataFrame, label_col: str, feature_pipeline: Pipeline, algorithm: str,
+                 params: ChurnParams = DEFAULT_PARAMS) -> DataFrame:
+    """One row per fold: its rows and the metrics of the model fitted on the other folds.
+    The folds' scores are one table, ranked by fold in one evaluation."""
     from sellerscope.operators.ranking import stratified_folds
 
     base = data.withColumn("label", F.col(label_col).cast("double"))
-    folded = class_weights(stratified_folds(base, "label", "seller_id", params.cv_folds, params.seed), "label")
-    n = folded.count()
-    est = Pipeline(stages=[*feature_pipeline.getStages(), make_estimator(algorithm, n, params)])
-    cv = CrossValidator(estimator=est, estimatorParamMaps=ParamGridBuilder().build(),
-                        evaluator=BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC"),
-                        foldCol="fold", numFolds=params.cv_folds, seed=params.seed)
-    model = cv.fit(folded)
-    return data.sparkSession.createDataFrame(
-        [(algorithm, float(model.avgMetrics[0]), float(model.stdMetrics[0]))],
-        "algorithm string, cv_auc_mean double, cv_auc_std double")
+    folded = materialize(stratified_folds(base, "label", "seller_id", params.cv_folds, params.seed))
+    scored = None
+    for k in range(params.cv_folds):
+        rest = class_weights(folded.filter(F.col("fold") != k), "label")
+        features = feature_pipeline.fit(rest)
+        train = materialize(features.transform(rest).select("label", "weight", FE.FEATURES_COL))
+        model = make_estimator(algorithm, train.count(), params).fit(train)
+        own = features.transform(folded.filter(F.col("fold") == k)).select("fold", "label", FE.FEATURES_COL)
+        own = positive_probability(model, own, "p").select("fold", "label", "p")
+        scored = own if scored is None else scored.unionByName(own)
+    scored = materialize(scored)
+    rows = scored.groupBy("fold").agg(F.count(F.lit(1)).alias("rows"))
+    return rows.join(EV.candidate_metrics(scored, "fold", "label", "p"), "fold")
