@@ -9,7 +9,7 @@ probabilistic classifier's ``predict`` does at 0.5).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sellerscope import config as C
@@ -124,6 +124,29 @@ def pr_curve(df: DataFrame, label_col: str, score_col: str) -> DataFrame:
             .orderBy(F.col("threshold").desc()))
 
 
+def curve_certificate(curve: DataFrame, x: str, y: str, buckets: int = 1000) -> DataFrame:
+    """One row for a curve of (threshold, x, y): points, whether x and y never fall as the
+    threshold does, and the trapezoid area under y over x. It trusts the curve's rows
+    only: neighbours are taken inside ranges of the threshold, and the ranges' ends meet in a
+    table of at most ``buckets`` + 2 rows."""
+    part = F.when(F.col("threshold") > 1, buckets + 1).otherwise(F.floor(F.col("threshold") * buckets)).cast("int")
+    rows = curve.select("threshold", F.col(x).alias("x"), F.col(y).alias("y"), part.alias("part"))
+    inside = Window.partitionBy("part").orderBy(F.col("threshold").desc())
+    rows = rows.withColumns({"x0": F.lag("x").over(inside), "y0": F.lag("y").over(inside)})
+    step = (F.col("x") - F.col("x0")) * (F.col("y") + F.col("y0")) / 2
+    ok = F.coalesce((F.col("x") >= F.col("x0")) & (F.col("y") >= F.col("y0")), F.lit(True))
+    at = F.struct("x", "y")
+    ends = rows.groupBy("part").agg(
+        F.count(F.lit(1)).alias("points"), F.bool_and(ok).alias("ok"), F.coalesce(F.sum(step), F.lit(0.0)).alias("area"),
+        F.max_by(at, "threshold").alias("first"), F.min_by(at, "threshold").alias("last"))
+    last = F.lag("last").over(Window.partitionBy().orderBy(F.col("part").desc()))
+    ends = ends.withColumn("before", last)
+    dx, h = F.col("first.x") - F.col("before.x"), F.col("first.y") + F.col("before.y")
+    joined = F.coalesce((dx >= 0) & (F.col("first.y") >= F.col("before.y")), F.lit(True))
+    return ends.agg(F.sum("points").alias("points"), F.bool_and(F.col("ok") & joined).alias("monotone"),
+                    (F.sum("area") + F.coalesce(F.sum(dx * h / 2), F.lit(0.0))).alias("area"))
+
+
 def pr_auc(df: DataFrame, label_col: str, score_col: str) -> DataFrame:
     """One row: trapezoid area under the PR curve (starting at precision 1,
     recall 0) and the base rate. Each threshold contributes the trapezoid

@@ -30,7 +30,8 @@ class Rule:
         return f"{self.column}:{self.kind}" + ("" if self.arg is None or self.kind == "dtype" else f"({self.arg})")
 
 
-def _violation(r: Rule, df: DataFrame):
+def _bad(r: Rule):
+    """Whether a row fails a value rule."""
     c = F.col(r.column)
     if r.kind == "not_null":
         bad = c.isNull()
@@ -42,7 +43,11 @@ def _violation(r: Rule, df: DataFrame):
         bad = c.isNotNull() & (c > F.lit(r.arg))
     else:
         raise ValueError(r.kind)
-    return F.sum(bad.cast("long"))
+    return bad
+
+
+def _violation(r: Rule, df: DataFrame):
+    return F.sum(_bad(r).cast("long"))
 
 
 _DTYPES = {
@@ -92,6 +97,26 @@ def run_contract(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return res.orderBy("rule_order").drop("rule_order")
 
 
+def failing_rows(df: DataFrame, rules: list[Rule], key: str) -> DataFrame:
+    """(rule, key, value) of every row and rule it fails, both as text: the rows behind
+    the counts of ``run_contract``. Value rules are one pass that explodes a row's failed
+    rules; a uniqueness rule joins the values that occur more than once, from one
+    count per value. Rules of a missing column, or of a type, name no row."""
+    value_rules = [r for r in rules if r.kind not in ("unique", "dtype") and r.column in df.columns]
+    failed = F.array_compact(F.array(*[
+        F.when(_bad(r), F.struct(F.lit(r.name).alias("rule"), F.col(r.column).cast("string").alias("value"))) for r in value_rules]))
+    own = F.col(key).cast("string").alias("key")
+    out = df.sparkSession.createDataFrame([], "rule string, key string, value string")
+    if value_rules:
+        out = out.union(df.select(own, F.explode(failed).alias("f")).select("f.rule", "key", "f.value"))
+    for r in (r for r in rules if r.kind == "unique" and r.column in df.columns):
+        often = (df.filter(F.col(r.column).isNotNull()).groupBy(F.col(r.column).alias("_value")).count()
+                 .filter(F.col("count") > 1).select("_value"))
+        rows = df.select(own, F.col(r.column).alias("_own")).join(often, F.col("_own") == F.col("_value"), "left_semi")
+        out = out.union(rows.select(F.lit(r.name).alias("rule"), "key", F.col("_own").cast("string").alias("value")))
+    return out
+
+
 FLAGS = ("never_activated", "dormant", "active", "churned")
 
 MASTER_CONTRACT = [
@@ -109,6 +134,10 @@ DEALS_CONTRACT = [
     Rule("not_null", "mql_id"), Rule("not_null", "seller_id"), Rule("unique", "seller_id"),
     Rule("not_null", "won_date"),
 ]
+ITEMS_CONTRACT = [
+    Rule("not_null", "order_id"), Rule("unique", "order_id"), Rule("not_null", "product_id"),
+    Rule("ge", "price", 0), Rule("le", "price", 90_000), Rule("le", "freight_value", 8),
+]
 SCORES_CONTRACT = [
     Rule("not_null", "seller_id"), Rule("unique", "seller_id"),
     *[r for c in ("never_activated_risk", "dormancy_risk", "overall_churn_risk")
@@ -130,6 +159,10 @@ def check_deals(df: DataFrame) -> DataFrame:
     return run_contract(df, DEALS_CONTRACT)
 
 
+def check_items(df: DataFrame) -> DataFrame:
+    return run_contract(df, ITEMS_CONTRACT)
+
+
 def check_scores(df: DataFrame) -> DataFrame:
     return run_contract(df, SCORES_CONTRACT)
 

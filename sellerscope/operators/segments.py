@@ -46,6 +46,32 @@ def segment_analysis(df: DataFrame, segment_col: str) -> DataFrame | None:
     return out.orderBy(F.col("Churn_Rate_%").desc(), "Segment")
 
 
+def segment_tables(df: DataFrame, segment_cols) -> DataFrame:
+    """The generic segment table of every column that ``df`` has, from one pass with
+    grouping sets: segment_column and the columns of ``segment_analysis``."""
+    cols = [c for c in segment_cols if c in df.columns]
+    if not cols:
+        raise ValueError("no segment column")
+    keyed = df.withColumns({f"_segment_{c}": _clean(df, c) for c in cols})
+    keys = [f"_segment_{c}" for c in cols]
+    agg = keyed.groupingSets([[k] for k in keys], *keys).agg(
+        F.count("seller_id").alias("Total_Sellers"),
+        F.sum("churned").cast("long").alias("Churned"),
+        F.sum("never_activated").cast("long").alias("Never_Activated"),
+        F.sum("active").cast("long").alias("Active"),
+        exact_avg("total_gmv").alias("Avg_GMV"),
+        exact_sum("total_gmv").alias("Total_GMV"),
+    )
+    # a segment is never NULL, so the one key that is set names its column
+    column = F.coalesce(*[F.when(F.col(k).isNotNull(), F.lit(c)) for c, k in zip(cols, keys)])
+    agg = agg.withColumn("segment_column", column).withColumn("Segment", F.coalesce(*keys)).drop(*keys)
+    out = agg.withColumns({
+        "Churn_Rate_%": pct("Churned", "Total_Sellers"),
+        "Market_Share_%": pct("Total_Sellers", F.sum("Total_Sellers").over(Window.partitionBy("segment_column"))),
+    })
+    return out.select("segment_column", "Segment", *[c for c in out.columns if c not in ("segment_column", "Segment")])
+
+
 def _profile_table(df: DataFrame, segment_col: str, label: str, extra_means=(),
                    sort_by_volume: bool = False, dormant: bool = True,
                    drop_missing: bool = False) -> DataFrame:

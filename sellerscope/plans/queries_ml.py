@@ -206,3 +206,113 @@ GROUP BY fold"""))
 def q_cross_validate_facts(inp):
     folds = TR.fold_metrics(inp.labelled, "never_activated", FE.pre_activation_pipeline(), "LogisticRegression", inp.params)
     return folds.select("fold", "rows", F.col("roc_auc").between(0, 1).alias("auc_in_range"))
+
+
+# the largest unit-free gradient of an optimum, which coefficients moved by a twentieth exceed
+GRADIENT = 1e-3
+
+
+@register("train_logreg_facts", sql=with_ctes("""
+SELECT 'pre_activation' AS stage, 10::BIGINT AS terms, TRUE AS is_optimal, FALSE AS moved_is_optimal
+UNION ALL SELECT 'retention', 10::BIGINT, TRUE, FALSE"""))
+def q_train_logreg_facts(inp):
+    """Whether the gradient vanishes at the fitted coefficients, and at ones moved by 5 %."""
+    out = None
+    for stage in ("pre_activation", "retention"):
+        res = _stage(inp, stage)
+        fit = res.fitted["LogisticRegression"].stages[-1]
+        beta, b0 = fit.coefficients.toArray().tolist(), fit.intercept
+        small = F.max(F.abs(F.try_divide(F.col("gradient"), F.col("scale")))) < GRADIENT
+        one = TR.logreg_gradient(res.train, beta, b0).agg(F.count("*").alias("terms"), small.alias("is_optimal"))
+        moved = TR.logreg_gradient(res.train, [1.05 * b for b in beta], b0).agg(small.alias("moved_is_optimal"))
+        one = attach_scalars(one, moved).select(F.lit(stage).alias("stage"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _outer_sql(stage: str) -> str:
+    return f"(SELECT count(*) FROM o_{stage} WHERE t)"
+
+
+@register("forest_facts", sql=with_ctes(" UNION ALL ".join(
+    f"SELECT '{stage}' AS stage, '{algo}' AS algorithm, 100::BIGINT AS trees, TRUE AS depth_in_bound, TRUE AS every_leaf_has_rows, "
+    f"{_outer_sql(stage)} AS scored, TRUE AS scores_equal" for stage in ("pre_activation", "retention")
+    for algo in ("RandomForest", "GradientBoosting")), o_pre_activation=_O_PRE, o_retention=_O_RET))
+def q_forest_facts(inp):
+    """The saved ensembles as tables, and their scores by joins against the models' own."""
+    from pyspark.ml.functions import vector_to_array
+
+    from sellerscope.operators import forest
+    out = None
+    for stage in ("pre_activation", "retention"):
+        res = _stage(inp, stage)
+        for algo, depth in (("RandomForest", 10), ("GradientBoosting", 5)):
+            model = res.fitted[algo]
+            path = scratch_path(inp.spark, "forest")
+            model.stages[-1].save(path)
+            nodes = forest.read_forest(inp.spark, path)
+            rows = model.transform(res.outer_test).select("seller_id", vector_to_array(FE.FEATURES_COL).alias("x"),
+                                                          vector_to_array("probability")[1].alias("p"))
+            scores = forest.tree_scores(rows, "seller_id", "x", nodes, 100, depth, boosted=algo == "GradientBoosting")
+            same = rows.join(scores, "seller_id").agg(F.count("*").alias("scored"), (F.max(F.abs(F.col("p") - F.col("score"))) < 1e-9).alias("scores_equal"))
+            shape = forest.node_depths(nodes, depth).agg(
+                F.countDistinct("tree").alias("trees"), F.count("*").alias("reached"), F.min(F.when(F.col("left").isNull(), F.col("support"))).alias("least"))
+            total = nodes.agg(F.count("*").alias("nodes"))
+            one = attach_scalars(attach_scalars(shape, total), same).select(
+                F.lit(stage).alias("stage"), F.lit(algo).alias("algorithm"), "trees", (F.col("reached") == F.col("nodes")).alias("depth_in_bound"),
+                (F.col("least") > 0).alias("every_leaf_has_rows"), "scored", "scores_equal")
+            out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("fitted_facts", sql=with_ctes(" UNION ALL ".join(
+    f"SELECT '{stage}' AS stage, count(*) AS test_rows, CAST(sum({label}) AS BIGINT) AS positives, TRUE AS report_agrees, "
+    f"TRUE AS roc_monotone, TRUE AS area_is_auc, TRUE AS recall_monotone, TRUE AS importance_is_share FROM o_{stage} WHERE t"
+    for stage, label in (("pre_activation", "never_activated"), ("retention", "dormant"))), o_pre_activation=_O_PRE, o_retention=_O_RET))
+def q_fitted_facts(inp):
+    """Certificates of the held-out report, confusion table, curves and importances of both winners."""
+    out = None
+    for stage in ("pre_activation", "retention"):
+        held = _held_out(inp, stage).select("label", "p", "prediction")
+        cells = EV.confusion_matrix(held, "label").agg(F.sum("count").alias("test_rows"),
+                                                       F.sum(F.when(F.col("label") == 1, F.col("count"))).alias("positives"))
+        report = EV.classification_report(held, "label")
+        support = report.agg(F.max(F.when(F.col("class_label") == "1", F.col("support"))).alias("r1"),
+                             F.max(F.when(F.col("class_label") == "macro avg", F.col("support"))).alias("rn"))
+        roc = EV.curve_certificate(EV.roc_curve(held, "label", "p"), "fpr", "tpr").select("monotone", "area")
+        recall = EV.curve_certificate(EV.pr_curve(held, "label", "p"), "recall", "recall").select(F.col("monotone").alias("recall_monotone"))
+        auc = EV.roc_auc(held, "label", "p")
+        one = cells
+        for more in (support, roc, recall, auc):
+            one = attach_scalars(one, more)
+        shares = [v for x in _stage(inp, stage).importance.values() for _, v in x]
+        fine = all(0 <= v <= 1 for v in shares) and abs(sum(shares) - len(_stage(inp, stage).importance)) < 1e-9
+        one = one.select(F.lit(stage).alias("stage"), "test_rows", "positives",
+                         ((F.col("r1") == F.col("positives")) & (F.col("rn") == F.col("test_rows"))).alias("report_agrees"),
+                         F.col("monotone").alias("roc_monotone"), (F.abs(F.col("area") - F.col("roc_auc")) < 1e-9).alias("area_is_auc"),
+                         "recall_monotone", F.lit(fine).alias("importance_is_share"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("model_versions", sql=with_ctes("""
+SELECT name, version, sellers, TRUE AS loads, latest FROM (VALUES ('pre_activation', 1, FALSE), ('pre_activation', 2, TRUE), ('retention', 1, TRUE))
+  AS v(name, version, latest), (SELECT count(*) AS sellers FROM f_labelled)"""))
+def q_model_versions(inp):
+    """Three published versions beside a half-written one, loaded by name and number; sellers scored by each."""
+    root = scratch_path(inp.spark, "registry")
+    pre, ret = _stage(inp, "pre_activation"), _stage(inp, "retention")
+    for model, name in ((pre.fitted["LogisticRegression"], "pre_activation"), (pre.model, "pre_activation"), (ret.model, "retention")):
+        TR.publish_model(model, root, name)
+    pre.model.stages[0].save(f"{root}/models/pre_activation-half")  # a folder, but no manifest row
+    versions = TR.model_versions(inp.spark, root)
+    out = None
+    for name, number in (("pre_activation", 1), ("pre_activation", 2), ("retention", 1)):
+        scored = TR.positive_probability(TR.load_version(inp.spark, root, name, number), inp.labelled, "_p")
+        latest = TR.positive_probability(TR.load_version(inp.spark, root, name), scored, "_q")
+        one = latest.agg(F.count("_p").alias("sellers"), F.bool_and(F.col("_p").between(0, 1)).alias("loads"),
+                         F.bool_and(F.col("_p") == F.col("_q")).alias("latest")).select(
+            F.lit(name).alias("n"), F.lit(number).alias("v"), "*")
+        out = one if out is None else out.unionByName(one)
+    return versions.join(out, (F.col("name") == F.col("n")) & (F.col("version") == F.col("v"))).select(
+        "name", "version", "sellers", "loads", "latest")

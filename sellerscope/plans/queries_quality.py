@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from sellerscope.operators import quality as Q
 from sellerscope.oracle.base import q, with_ctes
 from sellerscope.plans.catalog import register
@@ -53,3 +55,35 @@ def q_check_deals(inp):
 @register("check_scores", sql=_contract_sql(Q.SCORES_CONTRACT, "f_scored", TYPES))
 def q_check_scores(inp):
     return Q.check_scores(inp.scored)
+
+
+@register("check_items", sql=_contract_sql(Q.ITEMS_CONTRACT, "f_order_items", TYPES))
+def q_check_items(inp):
+    return Q.check_items(inp.tables["order_items"])
+
+
+def _failing_sql(rules, table: str, key: str) -> str:
+    bad = {"not_null": "{c} IS NULL", "ge": "{c} < {a}", "le": "{c} > {a}",
+           "unique": "{c} IN (SELECT {c} FROM {t} GROUP BY {c} HAVING count(*) > 1)"}
+    return with_ctes(" UNION ALL ".join(
+        f"SELECT {q(r.name)} AS rule, CAST({key} AS VARCHAR) AS key, CAST({r.column} AS VARCHAR) AS value FROM {table} "
+        f"WHERE {bad[r.kind].format(c=r.column, a=r.arg, t=table)}" for r in rules))
+
+
+@register("failing_rows", sql=_failing_sql(Q.ITEMS_CONTRACT, "f_order_items", "order_id"))
+def q_failing_rows(inp):
+    """The order items behind every violation of ``check_items``."""
+    return Q.failing_rows(inp.tables["order_items"], Q.ITEMS_CONTRACT, "order_id")
+
+
+_COUNTS = " UNION ALL ".join(f"SELECT rule, violations FROM ({_rule_sql(r, 'f_order_items', 0, TYPES)})" for r in Q.ITEMS_CONTRACT)
+
+
+@register("failing_rows_facts", sql=with_ctes(
+    f"SELECT rule, CAST(violations AS BIGINT) AS rows, TRUE AS equals_count FROM ({_COUNTS})"))
+def q_failing_rows_facts(inp):
+    """Rows per rule against the counts of the contract."""
+    items = inp.tables["order_items"]
+    rows = Q.failing_rows(items, Q.ITEMS_CONTRACT, "order_id").groupBy(F.col("rule").alias("r")).agg(F.count("*").alias("rows"))
+    both = Q.check_items(items).join(rows, F.col("rule") == F.col("r"), "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+    return both.select("rule", "rows", (F.col("rows") == F.col("violations")).alias("equals_count"))

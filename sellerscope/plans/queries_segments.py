@@ -75,6 +75,15 @@ for _col in ("business_segment", "lead_behaviour_profile", "lead_type", "seller_
         return _q
     _mk(_col)
 
+SEGMENTED = ("business_segment", "lead_behaviour_profile", "lead_type", "seller_state")
+
+
+@register("segment_tables", sql=with_ctes(" UNION ALL ".join(
+    f"SELECT '{c}' AS segment_column, * FROM ({_segment_sql(c)})" for c in SEGMENTED)))
+def q_segment_tables(inp):
+    return segments.segment_tables(inp.labelled, SEGMENTED)
+
+
 PROFILE_SQL = _profile_sql("lead_behaviour_profile", "DISC_Profile", [("total_orders", "Avg_Orders")])
 BUSINESS_SQL = _profile_sql("business_segment", "Business_Segment", [("total_orders", "Avg_Orders")])
 

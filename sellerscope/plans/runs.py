@@ -41,10 +41,14 @@ def run_training(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str
     labelled_master(tables, params).write.mode("overwrite").parquet(path)
     lab = spark.read.parquet(path)
     _write(cohorts.cohort_analysis(lab), out_dir, "cohort_analysis", fmt)
-    for col in SEGMENT_COLUMNS:
-        seg = segments.segment_analysis(lab, col)
-        if seg is not None:
-            _write(seg, out_dir, f"segment_analysis_{col}", fmt)
+    found = [c for c in SEGMENT_COLUMNS if c in lab.columns]
+    if found:  # one scan of the master for all of them
+        tables_path = os.path.join(out_dir, "segment_tables")
+        segments.segment_tables(lab, found).write.mode("overwrite").parquet(tables_path)
+        every = spark.read.parquet(tables_path)
+        for col in found:
+            seg = every.filter(F.col("segment_column") == col).drop("segment_column")
+            _write(seg.orderBy(F.col("Churn_Rate_%").desc(), "Segment"), out_dir, f"segment_analysis_{col}", fmt)
     _write(quality.check_master(lab), out_dir, "contract_seller_master", fmt)
     result = {"pre_activation": None, "retention": None}
     if lab.limit(TR.MIN_ROWS + 1).count() > TR.MIN_ROWS:

@@ -18,10 +18,11 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sellerscope import config as C
@@ -235,6 +236,66 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def publish_model(model: PipelineModel, root: str, name: str) -> int:
+    """Save ``model`` as the next version of ``name`` below ``root``; returns the version.
+
+    The model folder is written first, under a name of its own; one manifest row that points
+    to it is published last. A version whose manifest row is missing does not exist, and a
+    number that another run has taken meanwhile is not overwritten: the next one is tried."""
+    spark = SparkSession.getActiveSession()
+    folder = f"{name}-{uuid.uuid4().hex}"
+    model.write().save(f"{root}/models/{folder}")
+    version = max([r["version"] for r in model_versions(spark, root, name).collect()], default=0) + 1  # a row per version
+    while True:
+        row = spark.createDataFrame([(folder,)], "folder string").coalesce(1)
+        try:
+            row.write.mode("error").parquet(f"{root}/manifest/name={name}/version={version}")
+            return version
+        except AnalysisException as e:
+            if "EXISTS" not in str(e.getCondition()):
+                raise
+            version += 1
+
+
+def model_versions(spark: SparkSession, root: str, name: str | None = None) -> DataFrame:
+    """(name, version, folder) of the published versions."""
+    from sellerscope.sources.registry import _path_exists
+    schema = "folder string, name string, version int"
+    if not _path_exists(spark, f"{root}/manifest"):
+        return spark.createDataFrame([], schema).select("name", "version", "folder")
+    out = spark.read.schema(schema).parquet(f"{root}/manifest").filter(F.col("folder").isNotNull())
+    return (out if name is None else out.filter(F.col("name") == name)).select("name", "version", "folder")
+
+
+def load_version(spark: SparkSession, root: str, name: str, version: int | None = None) -> PipelineModel:
+    """The published model ``name``: the given version, or the latest."""
+    found = model_versions(spark, root, name)
+    found = found if version is None else found.filter(F.col("version") == version)
+    row = found.orderBy(F.col("version").desc()).first()
+    if row is None:
+        raise ValueError(f"no published model {name}" + ("" if version is None else f" version {version}"))
+    return load_model(f"{root}/models/{row['folder']}")
+
+
+def logreg_gradient(train: DataFrame, coefficients: list[float], intercept: float) -> DataFrame:
+    """(term, gradient, scale): the gradient of sum(weight * log loss) + |b|^2 / 2 at the given
+    coefficients, by one aggregate over ``train`` (label, weight, features); term 0 is the
+    intercept. ``scale`` sums the absolute terms, so gradient / scale is free of units."""
+    x = vector_to_array(FE.FEATURES_COL)
+    z = F.lit(float(intercept))
+    for j, b in enumerate(coefficients):
+        z = z + x[j] * float(b)
+    rows = train.select(x.alias("x"), (F.col("weight") * (1 / (1 + F.exp(-z)) - F.col("label"))).alias("r"))
+    aggs = [F.sum("r").alias("g0"), F.sum(F.abs("r")).alias("s0")]
+    for j in range(len(coefficients)):
+        part = F.col("r") * F.col("x")[j]
+        aggs += [F.sum(part).alias(f"g{j + 1}"), F.sum(F.abs(part)).alias(f"s{j + 1}")]
+    penalty = [0.0, *map(float, coefficients)]
+    terms = [F.struct(F.lit(j).alias("term"), (F.col(f"g{j}") + b).alias("gradient"), (F.col(f"s{j}") + abs(b)).alias("scale"))
+             for j, b in enumerate(penalty)]
+    return rows.agg(*aggs).select(F.explode(F.array(*terms)).alias("t")).select("t.*")
+
+
 def cross_validate(data: DataFrame, label_col: str, feature_pipeline: Pipeline, algorithm: str,
                    params: ChurnParams = DEFAULT_PARAMS) -> DataFrame:
     """Mean and (population) std of the exact AUC over stratified hash folds: one row
