@@ -135,8 +135,8 @@ DEALS_CONTRACT = [
     Rule("not_null", "won_date"),
 ]
 ITEMS_CONTRACT = [
-    Rule("not_null", "order_id"), Rule("unique", "order_id"), Rule("not_null", "product_id"),
-    Rule("ge", "price", 0), Rule("le", "price", 90_000), Rule("le", "freight_value", 8),
+    Rule("not_null", "order_id"), Rule("unique", "order_id"), Rule("not_null", "seller_id"),
+    Rule("ge", "price", 0), Rule("le", "price", 90_000), Rule("le", "freight_value", 7_000),
 ]
 SCORES_CONTRACT = [
     Rule("not_null", "seller_id"), Rule("unique", "seller_id"),

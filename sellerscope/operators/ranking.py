@@ -5,15 +5,16 @@ operators here instead:
 
 1. pre-aggregate to one row per distinct value (a hot value becomes one row);
 2. split the value range into ``B`` buckets at quantile edges that are
-   fetched once as literals (B - 1 doubles; a bounded fetch, and a recomputed
-   task sees the same edges, so rows never move between buckets);
+   fetched once as literals (8 bytes per TARGET_ROWS_PER_BUCKET values, and a
+   recomputed task sees the same edges, so rows never move between buckets);
 3. run the ordered window inside each (partition, bucket);
 4. add per-bucket offsets from a table of at most ``P x B`` rows; whether it
    is broadcast is left to the measured size (AQE).
 
-The same table yields average ranks (pandas ``rank(pct=True)``), exact
-interpolated quantiles (numpy's linear method), ROC/PR cumulative counts and
-the hash-ranked stratified split.
+The same table yields average ranks (pandas ``rank(pct=True)``), ROC/PR
+cumulative counts and the hash-ranked stratified split. Exact interpolated
+quantiles (numpy's linear method) need less: a sketch brackets the position,
+and only the values inside the bracket are ranked.
 """
 
 from __future__ import annotations
@@ -25,10 +26,11 @@ from pyspark.sql import functions as F
 
 from sellerscope.operators.scalars import attach_scalars
 
-DEFAULT_BUCKETS = 64
 # buckets grow with the data so one bucket's window stays about this size
 TARGET_ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 16_384
+DEFAULT_BUCKETS = 1
+# percentile sketches are off by at most 1 / SKETCH of the rows
+SKETCH = 10_000
 HASH_BITS = 60
 _BUCKET = "_bucket"
 
@@ -45,8 +47,8 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def scaled_buckets(rows: int, minimum: int = DEFAULT_BUCKETS) -> int:
     """Bucket count for ``rows`` rows: at least ``minimum``, about
-    TARGET_ROWS_PER_BUCKET rows each, at most MAX_BUCKETS."""
-    return int(min(MAX_BUCKETS, max(minimum, math.ceil(rows / TARGET_ROWS_PER_BUCKET))))
+    TARGET_ROWS_PER_BUCKET rows each."""
+    return max(minimum, math.ceil(rows / TARGET_ROWS_PER_BUCKET))
 
 
 def value_edges(df: DataFrame, col: str, buckets: int = DEFAULT_BUCKETS,
@@ -101,8 +103,8 @@ def _offsets(bucketed: DataFrame, partition_cols: list[str], sums: list[str]) ->
     """Per (partition, bucket): totals of earlier buckets and partition totals.
 
     Runs on the per-bucket totals only (at most partition keys x buckets
-    rows, 16384 buckets at most), so even without partition keys the
-    ordered window sees a small, bounded table."""
+    rows, one per TARGET_ROWS_PER_BUCKET values), so even without partition
+    keys the ordered window sees a small table."""
     totals = bucketed.groupBy(*partition_cols, _BUCKET).agg(*[F.sum(s).alias(s) for s in sums])
     before = Window.partitionBy(*partition_cols).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*partition_cols)
@@ -124,8 +126,9 @@ def prefix_sums(df: DataFrame, value_col: str, sums: dict[str, Column],
     partition_cols = list(partition_cols)
     v = F.col(value_col)
     base = df.filter(v.isNotNull())
-    order_value = (-v) if descending else v
-    agg = (base.withColumn("_ord", order_value.cast("double"))
+    # the double only picks the bucket; inside it the values themselves are ordered
+    as_double = v.cast("double")
+    agg = (base.withColumn("_ord", -as_double if descending else as_double)
            .groupBy(*partition_cols, value_col, "_ord")
            .agg(*[F.sum(c).alias(n) for n, c in sums.items()]))
     if edges is None:
@@ -137,7 +140,7 @@ def prefix_sums(df: DataFrame, value_col: str, sums: dict[str, Column],
             agg = materialize(agg)
         edges = value_edges(agg, "_ord", scaled_buckets(agg.count(), buckets))
     bucketed = with_bucket(agg, "_ord", edges)
-    w = (Window.partitionBy(*partition_cols, _BUCKET).orderBy("_ord")
+    w = (Window.partitionBy(*partition_cols, _BUCKET).orderBy(v.desc() if descending else v.asc())
          .rowsBetween(Window.unboundedPreceding, -1))
     within = bucketed.withColumns({f"{n}_in": F.coalesce(F.sum(n).over(w), F.lit(0)) for n in sums})
     offsets = _offsets(bucketed, partition_cols, list(sums))
@@ -167,22 +170,48 @@ def _lerp(a: Column, b: Column, t: Column) -> Column:
     return F.when(t >= 0.5, b - d * (F.lit(1.0) - t)).otherwise(a + d * t)
 
 
-def exact_quantile(df: DataFrame, value_col: str, p: float, out_col: str = "q",
-                   buckets: int = DEFAULT_BUCKETS, input_materialized: bool = False) -> DataFrame:
-    """One row: the exact linear-interpolation quantile (numpy default) of
-    the non-null values, distributed (no value map held in one task)."""
-    ps = prefix_sums(df, value_col, {"_n": F.lit(1).cast("long")}, (), buckets,
-                     input_materialized=input_materialized)
-    h = (F.col("_n_total") - 1).cast("double") * F.lit(float(p))
-    lo = F.floor(h)
-    hi = F.least(lo + 1, F.col("_n_total") - 1)
-    v = F.col(value_col).cast("double")
+def _bracket(values: DataFrame, p: float, most: int) -> tuple[float | None, float | None, int]:
+    """(low, high, rows): values between which the two positions around the p-quantile of
+    ``_v`` lie (None for no bound), and the number of rows. Beyond ``most`` rows a sketch gives
+    the bracket; while more rows are inside, a sketch of those narrows it."""
+    total = values.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    low = high = None
+    inside, n, target = values, total, (total - 1) * p
+    while n > most:
+        margin = 2 / SKETCH + 2 / n
+        near = [max(0.0, target / n - margin), min(1.0, target / n + margin)]
+        found = tuple(inside.agg(F.percentile_approx("_v", near, SKETCH).alias("q")).first()["q"])
+        if found == (low, high):
+            break  # its ends are repeated values: few distinct ones are left
+        low, high = found
+        inside = values.filter(F.col("_v").between(low, high))
+        one = values.agg(F.count_if(F.col("_v") < low).alias("below"), F.count_if(F.col("_v").between(low, high)).alias("n")).first()
+        n, target = one["n"], (total - 1) * p - one["below"]
+    return low, high, total
 
-    def at(pos):
-        return F.max(F.when((F.col("_n_before") <= pos) & (pos < F.col("_n_before") + F.col("_n")), v))
 
-    one = ps.agg(at(lo).alias("_lo"), at(hi).alias("_hi"), F.max(h - lo).alias("_t"))
-    return one.select(_lerp(F.col("_lo"), F.col("_hi"), F.col("_t")).alias(out_col))
+def exact_quantile(df: DataFrame, value_col: str, p: float, out_col: str = "q",
+                   most: int = TARGET_ROWS_PER_BUCKET) -> DataFrame:
+    """One row: the exact linear-interpolation quantile (numpy default) of the
+    non-null values. Up to ``most`` rows their distinct values are ranked as they are;
+    beyond, a sketch brackets the two positions, exact counts say how many rows lie
+    below the bracket, and only its distinct values are ranked."""
+    values = df.select(F.col(value_col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    low, high, total = _bracket(values, float(p), most)
+    inside = values if low is None else values.filter(F.col("_v").between(low, high))
+    below = F.lit(0) if low is None else values.filter(F.col("_v") < low).agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
+    counts = inside.groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(F.lit(0)).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    at = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)) + below)
+    h = max(total - 1, 0) * float(p)
+    lo = math.floor(h)
+    hi = min(lo + 1, max(total - 1, 0))
+
+    def value(pos: int) -> Column:
+        return F.max(F.when((F.col("_before") <= pos) & (F.lit(pos) < F.col("_before") + F.col("_n")), F.col("_v")))
+
+    one = at.agg(value(lo).alias("_lo"), value(hi).alias("_hi"))
+    return one.select(_lerp(F.col("_lo"), F.col("_hi"), F.lit(h - lo)).alias(out_col))
 
 
 def row_positions(df: DataFrame, order_cols: list[str], partition_cols=(),
@@ -312,6 +341,6 @@ def above_quantile_flags(df: DataFrame, key_cols, specs) -> DataFrame:
     base = materialize(df.select(*cols))
     out = base
     for i, (col, p, name) in enumerate(specs):
-        q = exact_quantile(base, col, p, f"_q{i}", input_materialized=True)
+        q = exact_quantile(base, col, p, f"_q{i}")
         out = attach_scalars(out, q).withColumn(name, (F.col(col) > F.col(f"_q{i}")).cast("int"))
     return out.select(*key_cols, *[name for _, _, name in specs])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sellerscope import config as C
 from sellerscope import functions as X
 from sellerscope.operators import cohorts, interventions, master, segments
+from sellerscope.operators.scalars import attach_scalars
 from sellerscope.oracle.base import days, pct, q, revenue_case, risk_case, with_ctes, xstd
 from sellerscope.plans.catalog import register
 from sellerscope.sources import registry, sinks
@@ -446,3 +447,44 @@ def q_fn_pretty_name(inp):
     d = inp.tables["deals"]
     return d.select("seller_id", X.pretty_feature_name("lead_type").alias("lead_type_name"),
                     X.pretty_feature_name("lead_behaviour_profile").alias("profile_name"))
+
+
+# ------------------------------------------------------- loader on CSV extracts
+
+_PLAIN = ("part", "customer", "supplier", "nation", "region")
+_CLEAN = {"mqls": ("f_mqls", "FALSE"), "deals": ("f_deals", "FALSE"), "sellers": ("f_sellers", "seller_id % 40 = 3"),
+          "orders": ("f_orders", "order_id % 50 = 7"), "order_items": ("f_items", "FALSE")}
+
+
+@register("load_quarantine", sql=with_ctes(" UNION ALL ".join(
+    [f"SELECT '{n}' AS table_name, count(*) FILTER (WHERE NOT ({bad})) AS clean_rows, count(*) FILTER (WHERE {bad}) AS quarantined_rows, "
+     f"{'NULL' if bad == 'FALSE' else q('record' if n == 'sellers' else 'order_purchase_timestamp')} AS reason FROM {t}"
+     for n, (t, bad) in _CLEAN.items()]
+    + [f"SELECT '{n}', count(*), 0, NULL FROM {t}" for n, t in zip(("products", "customers", "reviews", "payments", "translation"), _PLAIN)])))
+def q_load_quarantine(inp):
+    """Ten CSV extracts through the loader: clean and quarantined rows by table. Some orders have a purchase
+    time that is none, and some sellers' records one value too many."""
+    from sellerscope.session import scratch_path
+    from sellerscope.sources import registry, schemas
+    root = scratch_path(inp.spark, "extracts")
+    tables = dict(inp.tables)
+    late = F.col("order_id") % 50 == 7
+    tables["orders"] = tables["orders"].withColumn(
+        "order_purchase_timestamp", F.when(late, F.lit("soon")).otherwise(F.col("order_purchase_timestamp").cast("string")))
+    tables["sellers"] = tables["sellers"].withColumn(
+        "seller_state", F.when(F.col("seller_id") % 40 == 3, F.concat_ws(",", F.col("seller_state"), F.lit("x"))).otherwise(F.col("seller_state")))
+    for name, table in zip(("products", "customers", "reviews", "payments", "translation"), _PLAIN):
+        df = inp.spark.read.parquet(f"{inp.sf_dir}/{table}.parquet")
+        tables[name] = df.select(F.col(df.columns[0]).alias("key"))
+    for name, (stem, _) in schemas.TABLES.items():
+        # without quotes a comma in a value is one more value
+        tables[name].write.option("header", True).option("quote", "\u0000" if name == "sellers" else '"').csv(f"{root}/{stem}.csv")
+    loader = registry.TableRegistry(inp.spark, root)
+    data = loader.load_all(set_aside=True)
+    out = None
+    for name in data:
+        clean = data[name].agg(F.count(F.lit(1)).alias("clean_rows"))
+        gone = loader.quarantined[name].agg(F.count("record").alias("quarantined_rows"), F.max(F.element_at("reasons", 1)).alias("reason"))
+        one = attach_scalars(clean, gone).select(F.lit(name).alias("table_name"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -57,7 +57,7 @@ def q_check_scores(inp):
     return Q.check_scores(inp.scored)
 
 
-@register("check_items", sql=_contract_sql(Q.ITEMS_CONTRACT, "f_order_items", TYPES))
+@register("check_items", sql=_contract_sql(Q.ITEMS_CONTRACT, "f_items", TYPES))
 def q_check_items(inp):
     return Q.check_items(inp.tables["order_items"])
 
@@ -70,13 +70,13 @@ def _failing_sql(rules, table: str, key: str) -> str:
         f"WHERE {bad[r.kind].format(c=r.column, a=r.arg, t=table)}" for r in rules))
 
 
-@register("failing_rows", sql=_failing_sql(Q.ITEMS_CONTRACT, "f_order_items", "order_id"))
+@register("failing_rows", sql=_failing_sql(Q.ITEMS_CONTRACT, "f_items", "order_id"))
 def q_failing_rows(inp):
     """The order items behind every violation of ``check_items``."""
     return Q.failing_rows(inp.tables["order_items"], Q.ITEMS_CONTRACT, "order_id")
 
 
-_COUNTS = " UNION ALL ".join(f"SELECT rule, violations FROM ({_rule_sql(r, 'f_order_items', 0, TYPES)})" for r in Q.ITEMS_CONTRACT)
+_COUNTS = " UNION ALL ".join(f"SELECT rule, violations FROM ({_rule_sql(r, 'f_items', 0, TYPES)})" for r in Q.ITEMS_CONTRACT)
 
 
 @register("failing_rows_facts", sql=with_ctes(

@@ -16,6 +16,9 @@ from pyspark.sql import types as T
 from sellerscope.sources import schemas
 
 
+CORRUPT = "_corrupt_record"
+
+
 def _path_exists(spark: SparkSession, path: str) -> bool:
     """Existence probe through the Hadoop FileSystem (works for any scheme)."""
     jvm = spark.sparkContext._jvm
@@ -60,6 +63,29 @@ def malformed_counts(spark: SparkSession, path: str, schema: T.StructType) -> Da
     return raw.agg(F.array(*counts).alias("c")).select(F.explode("c").alias("c")).select("c.*")
 
 
+def quarantine(spark: SparkSession, path: str, schema: T.StructType | None = None) -> tuple[DataFrame, DataFrame]:
+    """(clean, quarantined) rows of a CSV extract. A record whose number of values differs from
+    the header's is malformed (the reader's corrupt-record column holds its text), and so
+    is one with a value that does not parse as its declared type; quarantined rows are
+    (record, reasons). Clean rows have the declared columns that exist."""
+    names = spark.read.option("header", True).csv(path).columns
+    text = T.StructType([T.StructField(c, T.StringType()) for c in [*names, CORRUPT]])
+    # every value is parsed, whatever the query selects: a record is malformed or not
+    raw = (spark.read.schema(text).option("header", True).option("mode", "PERMISSIVE").option("columnPruning", False)
+           .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+    declared = [f for f in (schema.fields if schema else []) if f.name in names]
+    bad = [F.when(F.col(f.name).isNotNull() & _cast_text(F.col(f.name), f.dataType).isNull(), F.lit(f.name)) for f in declared]
+    # the reader refuses a query that reads the corrupt-record column alone; this one names a value too
+    malformed = F.col(CORRUPT).isNotNull() & (F.coalesce(F.length(names[0]), F.lit(0)) >= 0)
+    reasons = F.when(malformed, F.array(F.lit("record"))).otherwise(
+        F.array_compact(F.array(*bad, F.lit(None).cast("string"))))
+    raw = raw.withColumn("_reasons", reasons)
+    clean = raw.filter(F.size("_reasons") == 0)
+    clean = clean.select(*[_cast_text(F.col(f.name), f.dataType).alias(f.name) for f in declared]) if schema else clean.select(*names)
+    record = F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*names)))
+    return clean, raw.filter(F.size("_reasons") > 0).select(record.alias("record"), F.col("_reasons").alias("reasons"))
+
+
 def safe_read(spark: SparkSession, path: str, schema: T.StructType | None = None,
               fmt: str | None = None) -> DataFrame:
     """Read when present, else an empty table of the declared schema."""
@@ -78,17 +104,23 @@ class TableRegistry:
         self.fmt = fmt
         self.tables = tables or schemas.TABLES
         self.data: dict[str, DataFrame] = {}
+        self.quarantined: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         stem = self.tables[name][0]
         return os.path.join(self.data_path, f"{stem}.{self.fmt}")
 
-    def load_all(self) -> dict[str, DataFrame]:
+    def load_all(self, set_aside: bool = False) -> dict[str, DataFrame]:
+        """Every table; with ``set_aside`` malformed CSV records go to ``quarantined``
+        instead of being read with NULLs."""
         for name, (_, schema) in self.tables.items():
             p = self.path(name)
             if not _path_exists(self.spark, p):
                 raise FileNotFoundError(p)
-            self.data[name] = read_table(self.spark, p, schema, self.fmt)
+            if set_aside and self.fmt == "csv":
+                self.data[name], self.quarantined[name] = quarantine(self.spark, p, schema)
+            else:
+                self.data[name] = read_table(self.spark, p, schema, self.fmt)
         return self.data
 
 

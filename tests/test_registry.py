@@ -47,3 +47,17 @@ def test_malformed_counts(spark, tmp_path):
         spark, str(tmp_path / f"{TABLES[t][0]}.csv"), TABLES[t][1]).collect()}
     assert got("deals") == {"seller_id": (0, False), "won_date": (1, False), "declared_monthly_revenue": (1, False)}
     assert got("orders") == {"order_id": (0, False), "price": (0, True)}
+
+
+def test_quarantine(spark, tmp_path):
+    write(tmp_path, "deals_file", "note,won_date,seller_id,declared_monthly_revenue\nx,2020-03-29 02:30:00,a,1.5\ny,never,b,much\n"
+                                  "z,,c,\nshort,,d\nlong,,e,1,2\n")
+    write(tmp_path, "orders_file", "order_id\n1\n2\n3,4\n")
+    loader = registry.TableRegistry(spark, str(tmp_path), tables=TABLES)
+    data = loader.load_all(set_aside=True)
+    assert data["deals"].columns == ["seller_id", "won_date", "declared_monthly_revenue"]
+    assert sorted(r.seller_id for r in data["deals"].collect()) == ["a", "c"]
+    gone = {r.record: r.reasons for r in loader.quarantined["deals"].collect()}
+    assert gone["short,,d"] == gone["long,,e,1,2"] == ["record"] and len(gone) == 3
+    assert [v for k, v in gone.items() if "never" in k] == [["won_date", "declared_monthly_revenue"]]
+    assert data["orders"].count() == 2 and loader.quarantined["orders"].count() == 1
