@@ -139,6 +139,13 @@ def prefix_sums(df: DataFrame, value_col: str, sums: dict[str, Column],
         if not input_materialized:
             agg = materialize(agg)
         edges = value_edges(agg, "_ord", scaled_buckets(agg.count(), buckets))
+    if not edges:
+        # one bucket of at most TARGET_ROWS_PER_BUCKET values: nothing comes before it
+        whole = Window.partitionBy(*partition_cols)
+        before = whole.orderBy(v.desc() if descending else v.asc()).rowsBetween(Window.unboundedPreceding, -1)
+        out = agg.withColumns({f"{n}_before": F.coalesce(F.sum(n).over(before), F.lit(0)) for n in sums}
+                              | {f"{n}_total": F.sum(n).over(whole) for n in sums})
+        return out.drop("_ord")
     bucketed = with_bucket(agg, "_ord", edges)
     w = (Window.partitionBy(*partition_cols, _BUCKET).orderBy(v.desc() if descending else v.asc())
          .rowsBetween(Window.unboundedPreceding, -1))
