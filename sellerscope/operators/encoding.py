@@ -1,9 +1,10 @@
 """Category codes from a dictionary table.
 
 A dictionary has one row (column, value, code) per distinct value: the code is the
-value's rank in text order within its column. Values are combined before the shuffle,
-parted into ranges of (column, value), ranked inside each range, and shifted by the
-rows of the ranges before it, so no task and no driver ever holds a column's values.
+value's rank in text order within its column. Values are combined before the shuffle;
+beyond TARGET_ROWS_PER_BUCKET of them they are parted into ranges of (column, value),
+ranked inside each range, and shifted by the rows of the ranges before it, so no task
+and no driver ever holds all of a large column's values.
 Encoding is a join. ``DictionaryEncoder`` makes it a pipeline stage whose model is
 saved with the table.
 """
@@ -18,6 +19,7 @@ from pyspark.ml.util import (DefaultParamsReadable, DefaultParamsReader, Default
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sellerscope.operators.ranking import TARGET_ROWS_PER_BUCKET, materialize
 from sellerscope.operators.scalars import attach_scalars
 
 SCHEMA = "column string, value string, code long"
@@ -33,16 +35,22 @@ def build_dictionary(df: DataFrame, columns: list[str]) -> DataFrame:
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
     distinct = (df.select(F.explode(cells).alias("x")).select("x.*").filter(F.col("value").isNotNull())
                 .groupBy("column", "value").agg(F.lit(1).alias("_one")).drop("_one"))
-    path = scratch_path(spark, "dictionary_ranges")
-    distinct.repartitionByRange("column", "value").withColumn("part", F.spark_partition_id()).write.parquet(path)
-    ranged = spark.read.parquet(path)
+    distinct = materialize(distinct)
+    most = distinct.groupBy("column").count().agg(F.max("count")).first()[0] or 0
+    ranged = distinct.withColumn("part", F.lit(0))
+    if most > TARGET_ROWS_PER_BUCKET:
+        # more values than one window should order: ranges of them, drawn once and written
+        path = scratch_path(spark, "dictionary_ranges")
+        distinct.repartitionByRange("column", "value").withColumn("part", F.spark_partition_id()).write.parquet(path)
+        ranged = spark.read.parquet(path)
     # rows of earlier ranges of the same column: one row per column and range
     before = Window.partitionBy("column").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (ranged.groupBy("column", "part").agg(F.count(F.lit(1)).alias("n"))
                .select("column", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")))
     inside = F.row_number().over(Window.partitionBy("column", "part").orderBy("value"))
     coded = (ranged.withColumn("i", inside).join(offsets, ["column", "part"])
-             .select("column", "value", (F.col("offset") + F.col("i") - 1).alias("code")))
+             if most > TARGET_ROWS_PER_BUCKET else ranged.withColumn("i", inside).withColumn("offset", F.lit(0)))
+    coded = (coded.select("column", "value", (F.col("offset") + F.col("i") - 1).alias("code")))
     path = scratch_path(spark, "dictionary")
     coded.write.parquet(path)
     return spark.read.schema(SCHEMA).parquet(path)

@@ -1,5 +1,6 @@
 """The dictionary table: codes in text order, by a join, saved with the pipeline."""
 
+import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
@@ -8,8 +9,10 @@ from sellerscope.operators import evaluation as EV
 from sellerscope.plans import features as FE
 
 
-def test_codes_of_many_values(spark):
-    """Several ranges, no list of values anywhere: codes are the ranks in text order."""
+@pytest.mark.parametrize("most", [1_000_000, 100])
+def test_codes_of_many_values(spark, monkeypatch, most):
+    """One range or several, no list of values anywhere: codes are the ranks in text order."""
+    monkeypatch.setattr(encoding, "TARGET_ROWS_PER_BUCKET", most)
     df = spark.range(20_000).select(F.sha2(F.col("id").cast("string"), 256).alias("many"), (F.col("id") % 3).alias("few"),
                                     F.lit(None).cast("string").alias("none"))
     d = encoding.build_dictionary(df.union(df), ["many", "few", "none"])
