@@ -85,7 +85,7 @@ def q_model_performance(inp):
         scored = TR.positive_probability(res.model, res.outer_test, "p")
         top = EV.precision_at_top(scored, "label", "p", 0.2).select("precision_at_top")
         ev = attach_scalars(TR.evaluate_model(res), top)
-        rows.append(ev)
+        rows.append(ev.withColumn("train_rows", F.lit(res.sizes["train_rows"]).cast("long")))
     return rows[0].unionByName(rows[1])
 
 

@@ -423,8 +423,9 @@ def q_select_best(inp):
     s = inp.scored.withColumn("dormancy_override", F.coalesce("dormancy_risk", "never_activated_risk"))
     cols = {"max_combination": "overall_churn_risk", "pre_activation_only": "never_activated_risk",
             "dormancy_override": "dormancy_override"}
-    parts = [EV.roc_auc(s, "churned", c).select(F.lit(n).alias("algorithm"), F.lit(i).alias("candidate_order"),
-                                                 "roc_auc")
-             for i, (n, c) in enumerate(cols.items())]
-    m = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    cells = F.array(*[F.struct(F.lit(n).alias("algorithm"), F.lit(i).alias("candidate_order"), F.col(c).cast("double").alias("p"))
+                      for i, (n, c) in enumerate(cols.items())])
+    long = s.select("churned", F.explode(cells).alias("x")).select("churned", "x.*")
+    order = F.element_at(F.create_map(*[F.lit(x) for i, n in enumerate(cols) for x in (n, i)]), F.col("algorithm"))
+    m = EV.candidate_metrics(long, "algorithm", "churned", "p").select("algorithm", order.alias("candidate_order"), "roc_auc")
     return TR.select_best(m)
