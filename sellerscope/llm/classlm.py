@@ -1,10 +1,15 @@
 """Scores of texts under a Brown class-based bigram model.
 
-Words are counted over all training texts. The ``CLUSTERED`` most frequent ones are put into
-``CLASSES`` classes by exchange clustering: each moves to the class that raises the class
-bigram likelihood most, until nothing moves. Every other word belongs to the tail class of
-its last character's kind, and the end of a text is a class of its own. A word's probability is
-that of its class after the class before it, times that of the word within its class.
+Words are counted over all training texts. Those seen ``LEAST`` times or more, among the
+``FREQUENT`` most frequent that fit a task's memory, are put into ``CLASSES`` classes by exchange
+clustering. The ``SEEDS`` most frequent words are exchanged one after the other in the driver;
+then, in sweeps, each word moves to the class that raises the class bigram likelihood most, with
+the others where they are. Spark counts every word's neighbour classes and the moves are
+found in tasks. Where a sweep's moves together do not raise the likelihood, those of every second
+word are tried; if these do not either, the clustering ends.
+Every other word belongs to the tail class of its last character's kind, and the end of a text
+is a class of its own. A word's probability is that of its class after the class before it, times
+that of the word within its class.
 
 Transitions are smoothed with the classes' own frequencies (Witten and Bell); within a tail
 class, absolute discounting leaves a share for unknown words, which are one outcome. So the
@@ -27,9 +32,13 @@ from pyspark.sql import functions as F
 
 from sellerscope.llm.common import cut, ship, shipped, text_or_empty
 
-FREQUENT, CLUSTERED, CLASSES, SWEEPS = 200_000, 512, 32, 8
-#: words that a task counts before it hands them on
-FLUSH = 250_000
+FREQUENT, SEEDS, CLASSES, SEED_SWEEPS = 200_000, 512, 32, 8
+#: occurrences from which on a word is clustered, and sweeps over all clustered words
+LEAST, SWEEPS = 3, 4
+#: words that a task counts, and neighbours that it gathers, before it hands them on
+FLUSH, GATHERED = 250_000, 2_000_000
+#: neighbour counts whose moves a task judges at once
+JUDGED = 50_000
 #: kinds of a tail word's last byte: letter, digit, stop, comma, other mark
 TAILS = 5
 
@@ -71,35 +80,152 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
-def pair_counts(texts: DataFrame, ids: dict[bytes, int]) -> np.ndarray:
-    """Counts of neighbouring states: clustered words, tails, and the end (which also begins a text)."""
-    shared, states = texts.sparkSession.sparkContext.broadcast(ids), len(ids) + TAILS + 1
+def encode(texts: DataFrame, ids: dict[bytes, int]) -> DataFrame:
+    """(states): per text its 32-bit states: clustered words, tails, and the end (which also begins a text)."""
+    shared, tails = texts.sparkSession.sparkContext.broadcast(ids), len(ids)
+
+    def states(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, end = shared.value, tails + TAILS
+        for pdf in batches:
+            yield pd.DataFrame({"states": [
+                np.array([end, *[known[w] if w in known else tails + tail_of(w) for w in words_of(text)], end], np.int32).tobytes()
+                for text in pdf["text"]]})
+
+    return texts.select("text").mapInPandas(states, "states binary")
+
+
+def pair_counts(encoded: DataFrame, of: np.ndarray) -> np.ndarray:
+    """Counts of neighbouring classes; ``of`` has the class of every state."""
+    shared, classes = encoded.sparkSession.sparkContext.broadcast(of), int(of.max()) + 1
 
     def count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, end = shared.value, states - 1
-        tails = states - 1 - TAILS
-        total = np.zeros(states * states, np.int64)
+        total = np.zeros(classes * classes, np.int64)
         for pdf in batches:
-            for text in pdf["text"]:
-                s = [end]
-                s += [known[w] if w in known else tails + tail_of(w) for w in words_of(text)]
-                s = np.array([*s, end])
-                np.add.at(total, s[:-1] * states + s[1:], 1)
+            for states in pdf["states"]:
+                c = shared.value[np.frombuffer(states, np.int32)]
+                at, n = np.unique(c[:-1] * classes + c[1:], return_counts=True)
+                total[at] += n
         at = np.flatnonzero(total)
         yield pd.DataFrame({"at": at, "n": total[at]})
 
-    rows = texts.select("text").mapInPandas(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
-    pairs = np.zeros(states * states)
-    for r in rows.collect():  # states squared at most
+    rows = encoded.mapInPandas(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
+    pairs = np.zeros(classes * classes)
+    for r in rows.collect():  # classes squared at most
         pairs[r["at"]] = r["n"]
-    return pairs.reshape(states, states)
+    return pairs.reshape(classes, classes)
+
+
+def neighbours(encoded: DataFrame, of: np.ndarray, words: int) -> DataFrame:
+    """(state, at, n) of the clustered words: how often class ``at`` follows, and class ``at - classes`` precedes."""
+    shared, classes = encoded.sparkSession.sparkContext.broadcast(of), int(of.max()) + 1
+
+    def count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
+
+        def out() -> pd.DataFrame:
+            at, n = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            return pd.DataFrame({"state": (at // (2 * classes)).astype(np.int32), "at": (at % (2 * classes)).astype(np.int32), "n": n})
+
+        for pdf in batches:
+            for states in pdf["states"]:
+                s = np.frombuffer(states, np.int32).astype(np.int64)
+                c = shared.value[s]
+                keys = np.concatenate([s[:-1] * 2 * classes + c[1:], s[1:] * 2 * classes + classes + c[:-1]])
+                held.append(keys[keys < words * 2 * classes])
+                size += len(keys)
+                if size >= GATHERED:
+                    yield out()
+                    size = 0
+        if held:
+            yield out()
+
+    return encoded.mapInPandas(count, "state int, at int, n long").groupBy("state", "at").agg(F.sum("n").alias("n"))
+
+
+def moves(counted: DataFrame, of: np.ndarray, table: np.ndarray, classes: int) -> np.ndarray:
+    """The classes after one sweep: every word's best of the first ``classes`` classes, the neighbours where they are
+    (where a word follows itself, its own old class)."""
+    shared, m = counted.sparkSession.sparkContext.broadcast((of, table)), len(table)
+
+    def gain(have: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """What n more add to x log x."""
+        have = np.maximum(have, 0)
+        return _xlogx(have + n[:, None]) - _xlogx(have)
+
+    def judge(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        of, table = shared.value
+        frames = [pdf for pdf in batches if len(pdf)]
+        if not frames:
+            return
+        rows = pd.concat(frames).sort_values("state", kind="stable")
+        state, at, n = rows["state"].to_numpy(), rows["at"].to_numpy(), rows["n"].to_numpy().astype(float)
+        first = np.flatnonzero(np.r_[True, state[1:] != state[:-1]])
+        edges = np.append(first, len(state))
+        i = 0
+        while i < len(first):  # whole words, about JUDGED counts at once
+            j = max(i + 1, int(np.searchsorted(edges, edges[i] + JUDGED, "right")) - 1)
+            part, word = slice(edges[i], edges[j]), state[first[i:j]]
+            row = np.repeat(np.arange(j - i), np.diff(edges[i:j + 1]))
+            near = np.zeros((j - i, 2 * m))
+            near[row, at[part]] = n[part]
+            after, before = near[:, :m], near[:, m:]
+            total = np.zeros((j - i, classes))
+            for x, y, cells in ((after, before, table[:classes].T), (before, after, table[:, :classes])):
+                r, c = np.nonzero(x)
+                own, have, all_ = of[word[r]], cells[c], np.arange(len(r))
+                old = own < classes  # the word leaves its own class first, on both sides
+                have[all_[old], own[old]] -= x[r, c][old]
+                have[c == own] -= y[r[c == own], :classes]
+                if x is before:  # a class before itself has got the other side already
+                    same = c < classes
+                    have[all_[same], c[same]] += y[r, c][same]
+                np.add.at(total, r, gain(have, x[r, c]))
+                size, times = np.repeat(cells.sum(0)[None], j - i, axis=0), x.sum(1)
+                old = of[word] < classes
+                size[np.flatnonzero(old), of[word][old]] -= times[old]
+                total -= gain(size, times)
+            yield pd.DataFrame({"state": word, "class": total.argmax(1).astype(np.int32)})
+            i = j
+
+    moved = of.copy()
+    for r in counted.repartition("state").mapInPandas(judge, "state int, class int").collect():  # FREQUENT rows at most
+        moved[r["state"]] = r["class"]
+    return moved
+
+
+def cluster(encoded: DataFrame, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The class of every state (words, tails, end) and the counts of neighbouring classes."""
+    seeds = min(SEEDS, len(words))
+    fixed = np.array([seeds + tail_of(w) for w in words[seeds:]] + [seeds + t for t in range(TAILS + 1)])
+    alone = np.concatenate([np.arange(seeds), fixed]).astype(np.int64)
+    of = exchange(pair_counts(encoded, alone), seeds)
+    classes = int(of[seeds])  # tails and the end follow
+    of = of[alone]
+    table = pair_counts(encoded, of)
+    for _ in range(SWEEPS if len(words) > seeds else 0):
+        moved = moves(neighbours(encoded, of, len(words)), of, table, classes)
+        for taken in (np.ones(len(of), bool), np.arange(len(of)) % 2 == 0):  # words that follow each other may move past each other
+            now = np.where(taken, moved, of)
+            after = pair_counts(encoded, now)
+            if rises := likelihood(after) > likelihood(table):
+                of, table = now, after
+                break
+        if not rises:
+            break
+    return of, table
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1))
 
 
-def exchange(pairs: np.ndarray, words: int, classes: int = CLASSES, sweeps: int = SWEEPS) -> np.ndarray:
+def likelihood(table: np.ndarray) -> float:
+    """The class bigram log likelihood, up to a constant of the texts."""
+    return float(_xlogx(table).sum() - _xlogx(table.sum(0)).sum() - _xlogx(table.sum(1)).sum())
+
+
+def exchange(pairs: np.ndarray, words: int, classes: int = CLASSES, sweeps: int = SEED_SWEEPS) -> np.ndarray:
     """The class of every state: words by exchange, the other states each their own."""
     others = len(pairs) - words
     classes = max(1, min(classes, words)) if words else 0
@@ -136,36 +262,34 @@ def exchange(pairs: np.ndarray, words: int, classes: int = CLASSES, sweeps: int
     return of
 
 
-def frequent(counts: DataFrame) -> dict[bytes, int]:
-    """At most FREQUENT of the most frequent words, most frequent first: all whose count reaches a step of a
-    logarithmic scale. The scale's sizes, and then only those words, come to the driver."""
+def frequent(counts: DataFrame) -> tuple[dict[bytes, int], Column]:
+    """About FREQUENT of the most frequent words, most frequent first, and which rows of ``counts`` they are: all whose count
+    reaches a step of a logarithmic scale, and of the next step a hashed share. The scale's sizes, and then only those
+    words, come to the driver."""
     step = F.floor(F.log2("c") * 16).cast("int")
     sizes = {r["s"]: r["n"] for r in counts.groupBy(step.alias("s")).agg(F.count("*").alias("n")).collect()}  # 16 a doubling
-    least, taken = None, 0
+    taken, chosen = 0, F.lit(False)
     for s in sorted(sizes, reverse=True):
+        room = FREQUENT - taken
         taken += sizes[s]
         if taken > FREQUENT:
+            chosen |= (step == s) & (F.pmod(F.xxhash64("word"), F.lit(1 << 20)) < room * (1 << 20) // sizes[s])
             break
-        least = s
-    if least is None:
-        return {}
-    rows = counts.where(step >= least).collect()
-    return {r["word"].encode(): r["c"] for r in sorted(rows, key=lambda r: (-r["c"], r["word"]))}
+        chosen |= step == s
+    rows = counts.where(chosen).collect()
+    return {r["word"].encode(): r["c"] for r in sorted(rows, key=lambda r: (-r["c"], r["word"]))}, chosen
 
 
 class Model:
-    """What the scoring tasks need; its size is bounded by FREQUENT and CLUSTERED."""
+    """What the scoring tasks need; its size is bounded by FREQUENT."""
 
     def __init__(self, counts: DataFrame, training: DataFrame):
         one = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
         self.texts = training.count()
         self.tokens, self.types = (one["n"] or 0) + self.texts, one["v"] + (self.texts > 0)
-        self.count = frequent(counts)
-        ids = {w: i for i, w in enumerate(list(self.count)[:CLUSTERED])}
-        pairs = pair_counts(training, ids)
-        of = exchange(pairs, len(ids))
-        one = np.eye(of.max() + 1)[of]
-        n = one.T @ pairs @ one
+        self.count, chosen = frequent(counts)
+        ids = {w: i for i, w in enumerate(w for w, c in self.count.items() if c >= LEAST)}
+        of, n = cluster(cut(encode(training, ids), "states"), list(ids))
         follow, own = n.sum(1, keepdims=True), (n.sum(0) + 1) / (n.sum() + len(n))
         kinds = np.maximum((n > 0).sum(1, keepdims=True), 1)
         self.move = np.log10((n + kinds * own) / (follow + kinds))
@@ -174,7 +298,7 @@ class Model:
         size = n.sum(0)
         self.inside = {w: float(np.log10(self.count[w] / size[c])) for w, c in self.of.items()}
         # tails: how many words and types, and how many of them once and twice
-        tails = counts.where(~F.col("word").isin([w.decode() for w in ids]) if ids else F.lit(True)).select(
+        tails = counts.where(~(chosen & (F.col("c") >= LEAST))).select(
             tail_column("word").alias("t"), "c").groupBy("t").agg(
             F.sum("c").alias("n"), F.count("*").alias("v"), F.sum((F.col("c") == 1).cast("long")).alias("once"),
             F.sum((F.col("c") == 2).cast("long")).alias("twice")).collect()

@@ -126,7 +126,7 @@ def words_of(text):
 @pytest.mark.parametrize("frequent", [200_000, 7])
 def test_scores(docs, rows, monkeypatch, frequent):
     monkeypatch.setattr(classlm, "FREQUENT", frequent)  # few: most words are joined
-    monkeypatch.setattr(classlm, "CLUSTERED", 6)
+    monkeypatch.setattr(classlm, "SEEDS", 6)
     got = classlm.score(docs, fold(7) != 2).collect()
     count = Counter(w for i, t, *_ in rows if zlib.crc32(str(i).encode()) % 7 != 2 for w in words_of(t))
     n, v = sum(count.values()), len(count)
@@ -141,7 +141,7 @@ def test_scores(docs, rows, monkeypatch, frequent):
 
 def test_model_sums_to_one(docs, rows, monkeypatch):
     """After any class, the known words, each tail's unknown word and the end have probability one together."""
-    monkeypatch.setattr(classlm, "CLUSTERED", 6)
+    monkeypatch.setattr(classlm, "SEEDS", 6)
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
     counts = classlm.word_counts(texts)
     model = classlm.Model(counts, texts)
@@ -172,6 +172,109 @@ def test_exchange_finds_classes():
     assert len(set(of[:6])) == 1 and len(set(of[6:12])) == 1 and of[0] != of[6]
 
 
+def sequences(spark, texts):
+    return spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+
+
+def test_moves_are_the_best_ones(spark):
+    """Every word's move against the likelihood of each class it could go to, counted anew."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(30)]
+    texts = []
+    for _ in range(80):  # a word never follows itself
+        text = [rng.choice(words)]
+        for _ in range(rng.randrange(1, 30)):
+            text.append(rng.choice([w for w in words[:rng.choice([5, 30])] if w != text[-1]]))
+        texts.append(text)
+    ids = {w.encode(): i for i, w in enumerate(words)}
+    encoded = classlm.encode(sequences(spark, [" ".join(t + ["zz"]) for t in texts]), ids)
+    of = np.concatenate([[rng.randrange(5) for _ in range(24)], [4 + classlm.tail_of(b"w9")] * 6, 4 + np.arange(classlm.TAILS + 1)])
+    of[:24] %= 4
+    table = classlm.pair_counts(encoded, of)
+
+    def counted(change, w):
+        """The table with the neighbours of w's occurrences where they are, w's own moved."""
+        m, end = len(table), int(of[-1])
+        out = np.zeros((m, m))
+        for t in texts:
+            c = [end, *[change if x == w else of[x] for x in (ids[v.encode()] for v in t)], 4 + classlm.tail_of(b"zz"), end]
+            np.add.at(out, (c[:-1], c[1:]), 1)
+        return out
+
+    assert np.array_equal(table, counted(of[0], 0))
+    got = classlm.moves(classlm.neighbours(encoded, of, len(words)), of, table, 4)
+    assert np.array_equal(got[30:], of[30:])
+    for w in range(30):
+        tried = [classlm.likelihood(counted(k, w)) for k in range(4)]
+        assert math.isclose(tried[got[w]], max(tried), rel_tol=1e-12)
+    one = [classlm.JUDGED, classlm.GATHERED]
+    classlm.JUDGED, classlm.GATHERED = 7, 11  # chunks change nothing
+    try:
+        assert np.array_equal(classlm.moves(classlm.neighbours(encoded, of, len(words)), of, table, 4), got)
+    finally:
+        classlm.JUDGED, classlm.GATHERED = one
+
+
+def test_whole_vocabulary_is_clustered(spark):
+    """20,000 words of two kinds that alternate, few of them frequent: far more than the seeds, and nearly all in classes of their kind."""
+    rng = random.Random(2)
+    uses = [[f"{k}{i}" for i in range(10_000) for _ in range(max(3, 5_000 // (i + 1)))] for k in "ab"]
+    for kind in uses:
+        rng.shuffle(kind)
+    line = [w for pair in zip(*uses) for w in pair]
+    texts = sequences(spark, [" ".join(line[i:i + 100]) for i in range(0, len(line), 100)])
+    model = classlm.Model(classlm.word_counts(texts), texts)
+    assert len(model.of) == 20_000
+    kinds = Counter((c, w[:1]) for w, c in model.of.items())
+    pure = sum(max(kinds[c, b"a"], kinds[c, b"b"]) for c in set(model.of.values()))
+    assert pure > 0.98 * 20_000
+
+
+def test_score_by_hand(docs, rows, monkeypatch):
+    """The model's score against the same formulas over plain counts, with the classes it found."""
+    monkeypatch.setattr(classlm, "SEEDS", 6)
+    found = {}
+    monkeypatch.setattr(classlm, "cluster", lambda encoded, words, real=classlm.cluster: found.setdefault("is", (words, real(encoded, words)))[1])
+    got = classlm.score(docs, fold(7) != 2).collect()
+    words, (of, _) = found["is"]
+    learned = [words_of(t)[:-1] for i, t, *_ in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    count, end = Counter(w for t in learned for w in t), int(of[-1])
+    cls = {w: int(of[i]) for i, w in enumerate(words)}
+    assert set(cls) == {w for w, c in count.items() if c >= classlm.LEAST} and len(cls) > 50
+    kind = lambda w: cls.get(w, end - classlm.TAILS + classlm.tail_of(w))
+    pairs, size, types = Counter(), Counter(), end + 1
+    for t in learned:
+        c = [end, *map(kind, t), end]
+        pairs.update(zip(c, c[1:]))
+        size.update(c[1:])
+    from_, kinds = Counter(), Counter()
+    for (a, _), n in pairs.items():
+        from_[a] += n
+        kinds[a] += 1
+
+    def moved(a, b):
+        k = max(kinds[a], 1)
+        return (pairs[a, b] + k * (size[b] + 1) / (sum(size.values()) + types)) / (from_[a] + k)
+
+    def inside(w):
+        k = kind(w)
+        if w in cls:
+            return count[w] / size[k]
+        tail = [c for v, c in count.items() if v not in cls and kind(v) == k]
+        if not tail:
+            return 1.0
+        once, twice = tail.count(1), tail.count(2)
+        discount = once / (once + 2 * twice) if once else 0.5
+        return (count[w] - discount) / sum(tail) if w in count else discount * len(tail) / sum(tail)
+
+    expected = []
+    for i, t, *_ in rows:
+        text = words_of(t)[:-1]
+        c = [end, *map(kind, text), end]
+        expected.append((i, sum(math.log10(moved(a, b)) for a, b in zip(c, c[1:])) + sum(math.log10(inside(w)) for w in text)))
+    assert np.allclose([s for _, s in sorted(expected)], [s for _, s in sorted((r.doc_id, r.score) for r in got)], rtol=1e-9)
+
+
 def test_tails_agree(spark):
     words = ["a", "é", "x.", "x,", "1", "x!", "日", "z-", "9."]
     df = spark.createDataFrame([(w,) for w in words], "word string").select("word", classlm.tail_column("word").alias("t"))
