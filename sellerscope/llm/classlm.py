@@ -34,7 +34,7 @@ from sellerscope.llm.common import cut, ship, shipped, text_or_empty
 
 FREQUENT, SEEDS, CLASSES, SEED_SWEEPS = 200_000, 512, 32, 8
 #: occurrences from which on a word is clustered, and sweeps over all clustered words
-LEAST, SWEEPS = 3, 4
+LEAST, SWEEPS = 3, 2
 #: words that a task counts, and neighbours that it gathers, before it hands them on
 FLUSH, GATHERED = 250_000, 2_000_000
 #: neighbour counts whose moves a task judges at once
@@ -109,9 +109,8 @@ def pair_counts(encoded: DataFrame, of: np.ndarray) -> np.ndarray:
         yield pd.DataFrame({"at": at, "n": total[at]})
 
     rows = encoded.mapInPandas(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
-    pairs = np.zeros(classes * classes)
-    for r in rows.collect():  # classes squared at most
-        pairs[r["at"]] = r["n"]
+    pairs, found = np.zeros(classes * classes), rows.toArrow()  # classes squared at most
+    pairs[found["at"].to_numpy()] = found["n"].to_numpy()
     return pairs.reshape(classes, classes)
 
 
@@ -188,9 +187,8 @@ def moves(counted: DataFrame, of: np.ndarray, table: np.ndarray, classes: int) -
             yield pd.DataFrame({"state": word, "class": total.argmax(1).astype(np.int32)})
             i = j
 
-    moved = of.copy()
-    for r in counted.repartition("state").mapInPandas(judge, "state int, class int").collect():  # FREQUENT rows at most
-        moved[r["state"]] = r["class"]
+    moved, found = of.copy(), counted.repartition("state").mapInPandas(judge, "state int, class int").toArrow()  # FREQUENT rows
+    moved[found["state"].to_numpy()] = found["class"].to_numpy()
     return moved
 
 
@@ -276,8 +274,8 @@ def frequent(counts: DataFrame) -> tuple[dict[bytes, int], Column]:
             chosen |= (step == s) & (F.pmod(F.xxhash64("word"), F.lit(1 << 20)) < room * (1 << 20) // sizes[s])
             break
         chosen |= step == s
-    rows = counts.where(chosen).collect()
-    return {r["word"].encode(): r["c"] for r in sorted(rows, key=lambda r: (-r["c"], r["word"]))}, chosen
+    rows = counts.where(chosen).select("word", "c").toArrow().sort_by([("c", "descending"), ("word", "ascending")])
+    return {w.encode(): c for w, c in zip(rows["word"].to_pylist(), rows["c"].to_pylist())}, chosen
 
 
 class Model:
