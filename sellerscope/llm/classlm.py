@@ -266,14 +266,13 @@ def frequent(counts: DataFrame) -> tuple[dict[bytes, int], Column]:
     words, come to the driver."""
     step = F.floor(F.log2("c") * 16).cast("int")
     sizes = {r["s"]: r["n"] for r in counts.groupBy(step.alias("s")).agg(F.count("*").alias("n")).collect()}  # 16 a doubling
-    taken, chosen = 0, F.lit(False)
+    taken, least, share = 0, max(sizes, default=0) + 1, F.lit(False)
     for s in sorted(sizes, reverse=True):
-        room = FREQUENT - taken
-        taken += sizes[s]
-        if taken > FREQUENT:
-            chosen |= (step == s) & (F.pmod(F.xxhash64("word"), F.lit(1 << 20)) < room * (1 << 20) // sizes[s])
+        if taken + sizes[s] > FREQUENT:
+            share = (step == s) & (F.pmod(F.xxhash64("word"), F.lit(1 << 20)) < (FREQUENT - taken) * (1 << 20) // sizes[s])
             break
-        chosen |= step == s
+        taken, least = taken + sizes[s], s
+    chosen = (step >= least) | share
     rows = counts.where(chosen).select("word", "c").toArrow().sort_by([("c", "descending"), ("word", "ascending")])
     return {w.encode(): c for w, c in zip(rows["word"].to_pylist(), rows["c"].to_pylist())}, chosen
 
