@@ -52,8 +52,8 @@ def op2_best_fit_packing(spark, sf_dir):
 def op5_pfair_mixing(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source")
     return mixing.mix(docs).select("doc_id", "source", F.col("_component").alias("component"), F.col("_block").alias("block"),
-                                   F.col("_release").alias("release"), F.col("_deadline").alias("deadline"),
-                                   F.col("_slot").alias("slot"), F.col("_place").alias("place"))
+                                   F.col("_release").alias("release"), F.col("_turn").alias("turn"),
+                                   F.col("_deadline").alias("deadline"), F.col("_slot").alias("slot"), F.col("_place").alias("place"))
 
 
 @query

@@ -120,35 +120,85 @@ def test_period_is_fair():
         assert done == shares
 
 
+def test_phases_have_no_gaps():
+    rng = random.Random(1)
+    for _ in range(60):
+        blocks = {f"s{i}": rng.randint(1, 60) for i in range(rng.randint(1, 9))}
+        shares, slots = {i: rng.randint(1, 9) for i in blocks}, {}
+        for i, low, high, share, start, total, plan in mixing.phases(blocks, shares):
+            for b in range(low, high):
+                turn, j = divmod(b - low, share)
+                release, deadline, at = plan[j]
+                assert release <= at < deadline
+                assert at < total
+                slots[start + turn * total + at] = (i, b)
+        order = [slots[x] for x in range(sum(blocks.values()))]
+        assert all([b for s, b in order if s == i] == list(range(n)) for i, n in blocks.items())
+
+
+def check_mixture(got, of, root_shares=None):
+    """Slots without gaps, every source's blocks in turn, release and deadline kept; for given shares at the root, the
+    bound until a component runs out."""
+    slots, turns = {}, {}
+    for r in got:
+        assert r._release <= r._turn < r._deadline
+        assert r._component != "root" or r._turn == r._slot
+        slots.setdefault(r._slot, set()).add((of[r.doc_id], r._block, r._component))
+        turns.setdefault(r._component, {}).setdefault(r._turn, set()).add((of[r.doc_id], r._block))
+    assert sorted(slots) == list(range(len(slots))) and all(len(x) == 1 for x in slots.values())
+    for node, x in turns.items():  # a pool's slots are its sources' alone, the root has slots for pools too
+        assert (node == "root" or sorted(x) == list(range(len(x)))) and all(len(y) == 1 for y in x.values())
+    order = [next(iter(slots[s])) for s in sorted(slots)]
+    for source in {s for s, _, _ in order}:
+        mine = [b for s, b, _ in order if s == source]
+        assert mine == list(range(len(mine)))
+    if root_shares:
+        who = [s if c == "root" else None for s, _, c in order]
+        left, done, total = {x: who.count(x) for x in set(who)}, dict.fromkeys(who, 0), sum(root_shares[x] for x in set(who))
+        for at, s in enumerate(who, 1):
+            done[s] += 1
+            assert all(abs(done[x] - at * root_shares[x] / total) < 1 for x in done)
+            if done[s] == left[s]:
+                break
+    return order
+
+
 @pytest.mark.parametrize("ranges", [20_000, 9])
-@pytest.mark.parametrize("weights", [None, {"a": 1, "b": 3}])
+@pytest.mark.parametrize("weights", [None, {"a": 1, "b": 3}, {"a": 2, "b": 1, "absent": 5}])
 def test_mix(docs, rows, empty, weights, ranges):
     mixed = mixing.mix(docs, weights, block=4, range_rows=ranges)
     got = mixed.orderBy("_slot", "_place").collect()
     assert sorted(r.doc_id for r in got) == sorted(r[0] for r in rows)
-    of = {r[0]: r[3] for r in rows}
-    name = lambda s: s if s is not None and (weights is None or s in weights) else None
-    left, slots = {}, {}
-    for r in got:
-        slots.setdefault(r._slot, set()).add((name(of[r.doc_id]), r._block))
-        left[name(of[r.doc_id])] = max(left.get(name(of[r.doc_id]), 0), r._block + 1)
-    assert all(len(x) == 1 for x in slots.values())
-    order = [next(iter(slots[s])) for s in sorted(slots)]
-    for source, n in left.items():  # every source's blocks in turn
-        assert [b for s, b in order if s == source] == list(range(n))
-    if weights:
-        shares, done = weights | {None: 1}, dict.fromkeys(left, 0)
-        for at, (s, _) in enumerate(order, 1):
-            done[s] += 1
-            if any(done[x] == left[x] for x in done):
-                break
-            assert all(abs(done[x] - at * shares[x] / 5) < 1 for x in done)
+    check_mixture(got, {r[0]: r[3] for r in rows}, weights and weights | {None: 1})
     ordered = mixing.in_order(mixed, docs.columns)
     assert ordered.columns == docs.columns
     assert [r.doc_id for r in ordered.collect()] == [r.doc_id for r in got] or ordered.rdd.getNumPartitions() > 1
     assert mixing.mix(empty, weights).count() == 0
 
 
+@pytest.mark.parametrize("fan, pools", [(128, 2), (6, 29)])
+def test_mix_schedules_every_source(spark, monkeypatch, fan, pools):
+    """300 sources: the 128 largest at the root, each of the rest in a pool's schedule, in trees of one to three levels."""
+    monkeypatch.setattr(mixing, "FAN", fan)
+    sizes = {f"s{i}": 1 + 600 // (i + 1) for i in range(300)}
+    rows = [(i, s) for i, s in enumerate(s for s, n in sizes.items() for _ in range(n))]
+    of = dict(rows)
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string"), block=2, range_rows=500).collect()
+    assert sorted(r.doc_id for r in got) == sorted(of)
+    order = check_mixture(got, of)
+    nodes = {s: c for s, _, c in order}
+    assert len(nodes) == 300 and sum(c == "root" for c in nodes.values()) == 128
+    assert len(set(nodes.values())) == pools + 1
+    # the shares of the root: until a component runs out each is within a block of its own
+    weight = {s: n ** mixing.POWER for s, n in sizes.items()}
+    root = {}
+    for s, c in nodes.items():
+        root[s if c == "root" else None] = root.get(s if c == "root" else None, 0) + weight[s]
+    total = sum(root.values())
+    shares = {s: max(1, round(mixing.TOTAL * w / total)) for s, w in root.items()}
+    check_mixture(got, of, shares)
+
+
 def test_mix_refuses_weights(docs):
     with pytest.raises(ValueError):
         mixing.mix(docs, {"a": 0})
