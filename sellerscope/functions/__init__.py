@@ -26,5 +26,6 @@ from sellerscope.functions.exprs import (  # noqa: F401
     round1,
     safe_ratio,
     short_id,
+    stddev_from_sums,
     urgency,
 )

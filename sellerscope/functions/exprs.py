@@ -190,9 +190,12 @@ def exact_stddev_samp(c) -> Column:
     The sums are algebraic, so partial aggregation before the shuffle holds.
     """
     cents = F.round(_c(c).cast("decimal(18,2)") * 100, 0).cast("decimal(38,0)")
-    n = F.count(cents)
-    s1 = F.sum(cents)
-    s2 = F.sum(cents * cents)
+    return stddev_from_sums(F.count(cents), F.sum(cents), F.sum(cents * cents))
+
+
+def stddev_from_sums(n: Column, s1: Column, s2: Column) -> Column:
+    """Sample standard deviation from the count, sum and sum of squares of cents."""
+    s1, s2 = s1.cast("decimal(38,0)"), s2.cast("decimal(38,0)")
     num = (n.cast("decimal(38,0)") * s2 - s1 * s1).cast("double")
     var = num / (n.cast("double") * (n - 1).cast("double")) / F.lit(10000.0)
     return F.when(n > 1, F.sqrt(var))

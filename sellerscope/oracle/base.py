@@ -7,8 +7,24 @@ shadow the pre-registered test tables (``orders`` in particular).
 
 from __future__ import annotations
 
-from sellerscope import config as C
-from sellerscope.sources import fixture as FX
+# --- fixed values, stated here once more: the oracle shares none with the code it checks ---
+COMPLETED_STATUSES = ("delivered", "shipped", "approved", "invoiced")
+CATEGORICAL_FILL = ("lead_behaviour_profile", "business_segment", "lead_type", "business_type", "origin", "seller_state")
+NUMERIC_FILL = ("declared_monthly_revenue", "declared_product_catalog_size")
+ACTIVITY_FILL = ("total_orders", "total_gmv", "unique_customers", "total_items_sold", "total_freight")
+RISK_LABELS = ("Low", "Medium", "High", "Critical")
+NOTEBOOK_RISK_LABELS = ("Low Risk", "Medium Risk", "High Risk", "Critical Risk")
+REVENUE_LABELS = ("Zero", "Low (1-1K)", "Medium (1K-10K)", "High (>10K)")
+LEAD_TYPES = ("online_big", "online_medium", "online_small", "offline", "industry",
+              "online_top", "online_beginner", "other", None)
+PROFILES = ("cat", "eagle", "wolf", "shark", "eagle, cat", None)
+BUSINESS_TYPES = ("reseller", "manufacturer", None)
+ACTIVATION_SPRINT = "URGENT: 30-day activation sprint - weekly check-ins needed"
+CATALOG_WORKSHOP = "Monitor: Provide catalog-building workshop"
+EARLY = "Early intervention: Marketing co-op + category optimization"
+WIN_BACK = "Re-engagement: Win-back campaign + personalized outreach"
+SUSTAIN = "Monitor: Proactive support to sustain momentum"
+# -------------------------------------------------------------------------------------------
 
 
 def days(a: str, b: str) -> str:
@@ -57,24 +73,15 @@ def xavg(c: str) -> str:
 WON = ("(TIMESTAMP '1994-07-01 00:00:00' + to_days(CAST((k * 37) % 2000 AS INTEGER))"
        " + to_seconds(CAST((k * 7919) % 86400 AS BIGINT)))")
 
-_STATUS = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in FX.ORDER_STATUS.items())
-
-
-def risk_case(c: str, labels=C.RISK_LABELS) -> str:
-    e, lab = C.RISK_BINS, labels
-    whens = " ".join(f"WHEN {c} > CAST({e[i]} AS DOUBLE) AND {c} <= CAST({e[i + 1]} AS DOUBLE) THEN '{lab[i]}'"
-                     for i in range(len(lab)))
-    return f"CASE {whens} END"
-
+def risk_case(c: str, labels=RISK_LABELS) -> str:
+    low, medium, high, critical = labels
+    return (f"CASE WHEN {c} > 0.0::DOUBLE AND {c} <= 0.3::DOUBLE THEN '{low}' WHEN {c} > 0.3::DOUBLE AND {c} <= 0.6::DOUBLE THEN '{medium}' "
+            f"WHEN {c} > 0.6::DOUBLE AND {c} <= 0.8::DOUBLE THEN '{high}' WHEN {c} > 0.8::DOUBLE AND {c} <= 1.0::DOUBLE THEN '{critical}' END")
 
 
 def revenue_case(c: str) -> str:
-    e, lab = C.REVENUE_BINS, C.REVENUE_LABELS
-    parts = []
-    for i in range(len(lab)):
-        hi = "'inf'::DOUBLE" if e[i + 1] == float("inf") else f"CAST({e[i + 1]!r} AS DOUBLE)"
-        parts.append(f"WHEN {c} > CAST({e[i]!r} AS DOUBLE) AND {c} <= {hi} THEN '{lab[i]}'")
-    return f"CASE {' '.join(parts)} END"
+    return (f"CASE WHEN {c} > -0.1::DOUBLE AND {c} <= 0 THEN 'Zero' WHEN {c} > 0 AND {c} <= 1000 THEN 'Low (1-1K)' "
+            f"WHEN {c} > 1000 AND {c} <= 10000 THEN 'Medium (1K-10K)' WHEN {c} > 10000 THEN 'High (>10K)' END")
 
 
 CTES = {
@@ -85,9 +92,9 @@ SELECT c_custkey + 1000000000, c_mktsegment, CAST(abs(c_acctbal) AS DOUBLE), CAS
     "f_deals": f"""
 SELECT k AS mql_id, k AS seller_id, {WON} AS won_date,
   CASE WHEN k % 50 = 0 THEN NULL WHEN k % 499 = 1 THEN 'NICHE_' || CAST(k % 5 AS VARCHAR) ELSE segment END AS business_segment,
-  {pick('k % 9', FX.LEAD_TYPES)} AS lead_type,
-  {pick('(k // 9) % 6', FX.PROFILES)} AS lead_behaviour_profile,
-  {pick('k % 3', FX.BUSINESS_TYPES)} AS business_type,
+  {pick('k % 9', LEAD_TYPES)} AS lead_type,
+  {pick('(k // 9) % 6', PROFILES)} AS lead_behaviour_profile,
+  {pick('k % 3', BUSINESS_TYPES)} AS business_type,
   CASE k % 4 WHEN 0 THEN NULL WHEN 1 THEN CAST(0 AS DOUBLE) WHEN 2 THEN price ELSE price * 12 END
     AS declared_monthly_revenue,
   CASE k % 5 WHEN 0 THEN NULL WHEN 1 THEN CAST(0 AS DOUBLE) ELSE size END
@@ -108,7 +115,7 @@ SELECT CASE WHEN p_partkey % 10 = 9 THEN -p_partkey ELSE p_partkey END AS seller
 FROM part JOIN nation ON p_partkey % 25 = n_nationkey""",
     "f_orders": f"""
 SELECT o_orderkey AS order_id, o_custkey AS customer_id,
-  CASE o_orderstatus {_STATUS} END AS order_status,
+  CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'shipped' WHEN 'P' THEN 'canceled' END AS order_status,
   CAST(o_orderdate AS TIMESTAMP) AS order_purchase_timestamp,
   CAST(NULL AS TIMESTAMP) AS order_delivered_customer_date
 FROM orders""",
@@ -127,7 +134,7 @@ LEFT JOIN f_sellers s ON d.seller_id = s.seller_id""",
     "f_seller_orders": f"""
 SELECT i.*, o.order_purchase_timestamp, o.order_status, o.customer_id
 FROM f_items i JOIN f_orders o ON i.order_id = o.order_id
-WHERE o.order_status IN {in_list(C.COMPLETED_STATUSES)}""",
+WHERE o.order_status IN {in_list(COMPLETED_STATUSES)}""",
     "f_activity0": f"""
 SELECT seller_id,
   count(DISTINCT order_id) AS total_orders,
@@ -156,8 +163,8 @@ SELECT * REPLACE (
   coalesce(unique_customers, 0) AS unique_customers,
   coalesce(total_items_sold, 0) AS total_items_sold,
   coalesce(total_freight, 0) AS total_freight,
-  {', '.join(f"coalesce({c}, 'Unknown') AS {c}" for c in C.CATEGORICAL_FILL_COLUMNS)},
-  {', '.join(f"coalesce({c}, 0) AS {c}" for c in C.NUMERIC_FILL_COLUMNS)})
+  {', '.join(f"coalesce({c}, 'Unknown') AS {c}" for c in CATEGORICAL_FILL)},
+  {', '.join(f"coalesce({c}, 0) AS {c}" for c in NUMERIC_FILL)})
 FROM f_joined""",
     "f_na": """
 SELECT *, CAST(total_orders = 0 OR coalesce(days_to_first_sale > 90, FALSE) AS INTEGER) AS never_activated
@@ -205,7 +212,7 @@ SELECT *,
   END AS dormancy_risk
 FROM f_nb""",
     "f_nb_scored1": "SELECT *, coalesce(dormancy_risk, never_activated_risk) AS overall_churn_risk FROM f_nb_scored0",
-    "f_nb_scored": f"SELECT *, {risk_case('overall_churn_risk', C.NOTEBOOK_RISK_LABELS)} AS risk_category "
+    "f_nb_scored": f"SELECT *, {risk_case('overall_churn_risk', NOTEBOOK_RISK_LABELS)} AS risk_category "
                    "FROM f_nb_scored1",
 }
 

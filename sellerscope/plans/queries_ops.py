@@ -9,6 +9,7 @@ from sellerscope import config as C
 from sellerscope import functions as X
 from sellerscope.operators import cohorts, interventions, master, segments
 from sellerscope.operators.scalars import attach_scalars
+from sellerscope.oracle import base as O
 from sellerscope.oracle.base import days, pct, q, revenue_case, risk_case, with_ctes, xstd
 from sellerscope.plans.catalog import register
 from sellerscope.sources import registry, sinks
@@ -107,7 +108,7 @@ def q_completed_items(inp):
 
 
 @register("fill_categorical", sql=with_ctes(
-    "SELECT seller_id, " + ", ".join(f"coalesce({c}, 'Unknown') AS {c}" for c in C.CATEGORICAL_FILL_COLUMNS)
+    "SELECT seller_id, " + ", ".join(f"coalesce({c}, 'Unknown') AS {c}" for c in O.CATEGORICAL_FILL)
     + " FROM f_seller_master"))
 def q_fill_categorical(inp):
     return master.fill_categorical(inp.seller_master).select("seller_id", *C.CATEGORICAL_FILL_COLUMNS)
@@ -116,20 +117,20 @@ def q_fill_categorical(inp):
 @register("missing_value_report", sql=with_ctes(
     "SELECT * FROM (" + " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(*) - count({c}) AS missing FROM f_joined"
-        for c in C.CATEGORICAL_FILL_COLUMNS + C.NUMERIC_FILL_COLUMNS) + ") WHERE missing > 0"))
+        for c in O.CATEGORICAL_FILL + O.NUMERIC_FILL) + ") WHERE missing > 0"))
 def q_missing_value_report(inp):
     return master.missing_value_report(master.join_activity(inp.seller_master, inp.activity))
 
 
 @register("fill_numeric", sql=with_ctes(
-    "SELECT seller_id, " + ", ".join(f"coalesce({c}, 0) AS {c}" for c in C.NUMERIC_FILL_COLUMNS)
+    "SELECT seller_id, " + ", ".join(f"coalesce({c}, 0) AS {c}" for c in O.NUMERIC_FILL)
     + " FROM f_seller_master"))
 def q_fill_numeric(inp):
     return master.fill_numeric(inp.seller_master).select("seller_id", *C.NUMERIC_FILL_COLUMNS)
 
 
 @register("fill_activity", sql=with_ctes(
-    "SELECT seller_id, " + ", ".join(C.ACTIVITY_FILL_COLUMNS) + ", first_sale_date, days_since_last_sale "
+    "SELECT seller_id, " + ", ".join(O.ACTIVITY_FILL) + ", first_sale_date, days_since_last_sale "
     "FROM f_master"))
 def q_fill_activity(inp):
     return inp.master.select("seller_id", *C.ACTIVITY_FILL_COLUMNS, "first_sale_date", "days_since_last_sale")
@@ -207,7 +208,7 @@ def q_overall_risk_max(inp):
 
 @register("overall_risk_override", sql=with_ctes(
     f"SELECT seller_id, overall_churn_risk, "
-    f"{risk_case('overall_churn_risk', C.NOTEBOOK_RISK_LABELS)} AS risk_category FROM f_nb_scored1"))
+    f"{risk_case('overall_churn_risk', O.NOTEBOOK_RISK_LABELS)} AS risk_category FROM f_nb_scored1"))
 def q_overall_risk_override(inp):
     return inp.notebook_scored.select("seller_id", "overall_churn_risk", "risk_category")
 
@@ -237,9 +238,9 @@ def q_potential_value(inp):
 
 ACTION_SQL = (
     "CASE WHEN never_activated = 1 AND (coalesce(days_to_first_sale > 30, FALSE) OR days_to_first_sale IS NULL) "
-    f"THEN {q(C.ACTION_ACTIVATION_SPRINT)} WHEN never_activated = 1 THEN {q(C.ACTION_CATALOG_WORKSHOP)} "
-    f"WHEN coalesce(total_orders < 5, FALSE) THEN {q(C.ACTION_EARLY)} "
-    f"WHEN coalesce(days_since_last_sale > 30, FALSE) THEN {q(C.ACTION_WIN_BACK)} ELSE {q(C.ACTION_SUSTAIN)} END")
+    f"THEN {q(O.ACTIVATION_SPRINT)} WHEN never_activated = 1 THEN {q(O.CATALOG_WORKSHOP)} "
+    f"WHEN coalesce(total_orders < 5, FALSE) THEN {q(O.EARLY)} "
+    f"WHEN coalesce(days_since_last_sale > 30, FALSE) THEN {q(O.WIN_BACK)} ELSE {q(O.SUSTAIN)} END")
 
 
 @register("recommended_action", sql=with_ctes(f"SELECT seller_id, {ACTION_SQL} AS recommended_action FROM f_nb"))

@@ -28,7 +28,7 @@ SELECT *, (CAST(rank() OVER (ORDER BY total_gmv) - 1 AS DOUBLE)
           / CAST(count(*) OVER () AS DOUBLE) AS gmv_percentile
 FROM ar""",
     iv=f"""
-SELECT *, overall_churn_risk * {D(C.PRIORITY_RISK_WEIGHT)} + gmv_percentile * {D(C.PRIORITY_GMV_WEIGHT)}
+SELECT *, overall_churn_risk * {D(0.6)} + gmv_percentile * {D(0.4)}
     AS priority_score,
   60 - days_since_last_sale AS days_until_dormant, {URGENCY_SQL} AS urgency
 FROM rk""",

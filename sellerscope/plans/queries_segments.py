@@ -5,9 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sellerscope import config as C
 from sellerscope.operators import labels, ranking, risk, segments, summary
 from sellerscope.operators.scalars import attach_scalars
+from sellerscope.oracle import base as O
 from sellerscope.oracle.base import dmean, pct, q, revenue_case, with_ctes, xavg, xsum
 from sellerscope.plans.catalog import register
 from sellerscope.plans.queries_ops import _segment_sql
@@ -119,7 +119,7 @@ FROM (SELECT {key} AS {label}, count(seller_id) AS Total_Sellers, CAST(sum(churn
 
 
 BANDS = " UNION ALL ".join(f"SELECT {q(lab)} AS Declared_Revenue, {i} AS band_order"
-                           for i, lab in enumerate(C.REVENUE_LABELS))
+                           for i, lab in enumerate(O.REVENUE_LABELS))
 
 
 @register("segment_revenue_band", sql=with_ctes(f"""
@@ -163,14 +163,14 @@ def q_segment_state_top10(inp):
     return segments.segment_state_top10(inp.notebook)
 
 
-@register("segment_extremes", sql=with_ctes(_extremes_sql(BUSINESS_SQL, "Business_Segment", C.MIN_SEGMENT_SUPPORT)))
+@register("segment_extremes", sql=with_ctes(_extremes_sql(BUSINESS_SQL, "Business_Segment", 10)))
 def q_segment_extremes(inp):
     return segments.segment_extremes(segments.segment_business(inp.notebook), "Business_Segment")
 
 
 @register("min_support_segments", sql=with_ctes(f"SELECT * FROM ({BUSINESS_SQL}) WHERE Total_Sellers >= 10"))
 def q_min_support_segments(inp):
-    return segments.segment_business(inp.notebook).filter(F.col("Total_Sellers") >= C.MIN_SEGMENT_SUPPORT)
+    return segments.segment_business(inp.notebook).filter(F.col("Total_Sellers") >= 10)
 
 
 CONTINGENCY_SQL = """
@@ -249,7 +249,7 @@ SELECT * FROM (
   UNION ALL SELECT 2, worst_segment, worst_churn_rate, churn_range_pp FROM
     ({_extremes_sql(f"SELECT * FROM ({PROFILE_SQL}) WHERE DISC_Profile <> 'Unknown'", 'DISC_Profile', 0)})
   UNION ALL SELECT 3, worst_segment, worst_churn_rate, churn_range_pp FROM
-    ({_extremes_sql(BUSINESS_SQL, 'Business_Segment', C.MIN_SEGMENT_SUPPORT)})
+    ({_extremes_sql(BUSINESS_SQL, 'Business_Segment', 10)})
   UNION ALL SELECT 4, 'Zero Declared Revenue', avg(CAST(churned AS DOUBLE)) * 100, NULL FROM f_nb
     WHERE declared_monthly_revenue = 0
   UNION ALL SELECT 5, 'Low First-Month Performance', avg(CAST(dormant AS DOUBLE)) * 100, NULL FROM f_nb
@@ -262,7 +262,7 @@ def q_churn_drivers(inp):
 # ------------------------------------------------------- risk and summaries
 
 CATS = " UNION ALL ".join(f"SELECT {q(lab)} AS risk_category, {i} AS category_order"
-                          for i, lab in enumerate(reversed(C.RISK_LABELS)))
+                          for i, lab in enumerate(reversed(O.RISK_LABELS)))
 
 
 @register("risk_distribution", sql=with_ctes(f"""
