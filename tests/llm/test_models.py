@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sellerscope.llm import ann, classlm, langid, licenses, quality
+from tests.llm import by_hand
 
 
 def fold(n):
@@ -314,6 +315,16 @@ def test_quality(spark, docs):
     assert left.columns == df.columns and {r.doc_id for r in left.collect()} == {i for i, r in got.items() if r.kept}
 
 
+def test_quality_posterior_by_hand(spark, docs, rows):
+    labels = by_hand.labels_of(rows)
+    table = spark.createDataFrame([(i, q, 0) for i, q in labels.items()], "doc_id long, quality int, toxic int")
+    got = sorted((r.doc_id, r.posterior, r.kept) for r in quality.quality(docs, table).collect())
+    expected = sorted(by_hand.posteriors(rows, labels))
+    assert [x[0] for x in got] == [x[0] for x in expected]
+    assert np.allclose([x[1] for x in got], [x[1] for x in expected], atol=1e-6)
+    assert [x[2] for x in got] == [x[1] >= quality.KEEP for x in expected] and {x[2] for x in got} == {True, False}
+
+
 def test_quality_without_labels(spark, docs, empty):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert all(r.kept for r in quality.quality(docs, none).collect())

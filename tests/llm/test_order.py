@@ -11,6 +11,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from sellerscope.llm import mixing, packing
+from tests.llm import by_hand
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -207,19 +208,27 @@ def test_mix_refuses_weights(docs):
 # ---- the pipeline
 
 def test_pipeline(spark, docs, rows, tmp_path):
-    """Each stage on what its predecessor kept, against brute force."""
+    """Each stage on what its predecessor kept, against brute force; labels of both classes, so that rows are rejected."""
     from tests.llm.test_dedup import exact_expected, near_expected
     docs.write.parquet(f"{tmp_path}/documents.parquet")
-    spark.createDataFrame([(1, 1, 0), (2, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    labels = by_hand.labels_of(rows)
+    spark.createDataFrame([(i, q, 0) for i, q in labels.items()], "doc_id long, quality int, toxic int").write.parquet(
+        f"{tmp_path}/labels.parquet")
     now, left = spark.read.parquet(f"{tmp_path}/documents.parquet"), {}
     for name, stage in corpus_pipeline.STAGES:
         before = {r.doc_id: (r.doc_id, r.text, r.lang, r.source) for r in now.collect()}
+        if name == "mixture":
+            mixed = mixing.mix(now).orderBy("_slot", "_place").collect()
+            check_mixture(mixed, {i: r[3] for i, r in before.items()})
+            assert [r.doc_id for r in stage(spark, now, str(tmp_path)).collect()] == [r.doc_id for r in mixed]
         columns, now = now.columns, corpus_pipeline.cut(stage(spark, now, str(tmp_path)), "stage")
         if name != "packing":
             assert now.columns == columns
             left[name] = sorted(r.doc_id for r in now.collect())
-    assert left["quality"] == sorted(r[0] for r in rows)  # one class of labels: nothing is rejected
-    assert left["exact dedup"] == sorted({i for i, _, _, kept, _ in exact_expected(rows) if kept})
+    kept = {i for i, p in by_hand.posteriors(rows, labels) if p >= 0.5}
+    good = [r for r in rows if r[0] in kept]
+    assert left["quality"] == sorted(r[0] for r in good) and 0 < len(good) < len(rows)
+    assert left["exact dedup"] == sorted({i for i, _, _, kept, _ in exact_expected(good) if kept})
     some = [r for r in rows if r[0] in set(left["exact dedup"])]
     assert left["near dedup"] == sorted({i for i, _, _, kept in near_expected(list(dict.fromkeys(some))) if kept})
     assert left["mixture"] == left["near dedup"]
