@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sellerscope.operators import evaluation as EV
 from sellerscope.operators import ranking
+from sellerscope.operators.scalars import attach_scalars
 
 
 @pytest.fixture(scope="module")
@@ -41,6 +42,15 @@ def test_exact_quantile_matches_numpy(values, p):
     assert got == pytest.approx(np.percentile(pdf["v"], p * 100), abs=1e-9)
 
 
+def test_bracketed_quantile_filters_its_rows(values):
+    """Beyond ``most`` rows the quantile has a bracket; its row is still a scalar that a filter can hold."""
+    pdf, df = values
+    q = ranking.exact_quantile(df, "v", 0.8, "threshold", most=50)
+    got = attach_scalars(df, q).filter(F.col("v") >= F.col("threshold")).groupBy("threshold").agg(F.count("*").alias("n")).first()
+    threshold = np.percentile(pdf["v"], 80)
+    assert got.threshold == threshold and got.n == (pdf["v"] >= threshold).sum()
+
+
 def test_stratified_split_exact_fractions(values):
     pdf, df = values
     out = ranking.stratified_split(df, "y", "k", 0.25, 42).toPandas()
