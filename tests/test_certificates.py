@@ -121,3 +121,20 @@ def test_many_buckets_and_large_integers(spark, monkeypatch):
     for descending in (False, True):
         t = ranking.prefix_sums(df, "v", {"n": F.lit(1).cast("long")}, descending=descending)
         assert sorted((r.v - big, r.n_before) for r in t.collect()) == [(i, 3 - i if descending else i) for i in range(4)]
+
+
+def test_forest_rows_stay_where_they_are(spark):
+    """Scoring shuffles one row a key, not one a key, tree and level, whatever the number of levels."""
+    nodes = spark.createDataFrame([(0, 0, 0, 1.5, 1, 2, 0.0, None, 4, 1.0), (0, 1, None, None, None, None, 0.0, 0.25, 2, 1.0),
+                                   (0, 2, None, None, None, None, 1.0, 0.75, 2, 1.0), (1, 0, None, None, None, None, 1.0, 0.5, 4, 1.0)],
+                                  "tree int, node int, feature int, threshold double, left int, right int, prediction double, "
+                                  "share double, support long, weight double")
+    rows = spark.createDataFrame([(1, [1.5]), (2, [2.0]), (3, [float("nan")]), (None, [0.0])], "seller_id long, x array<double>")
+    got = forest.tree_scores(rows, "seller_id", "x", nodes, 2, 6)
+    assert {r.seller_id: r.score for r in got.collect()} == {1: 0.375, 2: 0.625, 3: 0.625, None: 0.375}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1
+
+
+def test_fit_partitions_grow_with_the_rows():
+    assert [TR.fit_partitions(n) for n in (0, 200_000, 600_000, 1_200_000, 7_200_000, 14_400_000)] == [4, 4, 12, 24, 24, 48]
