@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sellerscope.llm import exact_dedup, mixing, near_dedup, packing
 from sellerscope.llm.common import cut, read_table
@@ -35,7 +36,10 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, public_tokenizers.path(TOKENIZER))
+    """``docs`` is the written mixture: its order is that of its files' numbers and of the rows inside them."""
+    part, piece = (F.regexp_extract("_metadata.file_name", r"^part-(\d+)-.*-c(\d+)", i).cast("long") for i in (1, 2))
+    docs = docs.withColumns({"_part": part * 1_000_000 + piece, "_row": F.col("_metadata.row_index")})
+    return packing.pack(docs, public_tokenizers.path(TOKENIZER), order=("_part", "_row"))
 
 
 STAGES = [("quality", quality), ("exact dedup", exact), ("near dedup", near), ("mixture", mixture), ("packing", packed)]

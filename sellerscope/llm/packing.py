@@ -115,21 +115,21 @@ def worker_encoder(path: str) -> TokenIds:
     return kept[path]
 
 
-def tokenized_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 of every document's ids, followed by ``END_ID``."""
+def tokenized_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 of every document's ids, followed by ``END_ID``, and the document's columns ``keep``."""
     def pieces(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode, end, step = worker_encoder(tokenizer), np.array([END_ID], "<u4").tobytes(), 4 * capacity
         for pdf in batches:
             rows = []
-            for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
+            for doc_id, text, *kept in zip(pdf["doc_id"], pdf["text"], *(pdf[c] for c in keep)):
                 ids = encode(text) + end
-                rows += [(doc_id, i // step, i // 4, min(step, len(ids) - i) // 4, zlib.crc32(ids[i:i + step]))
+                rows += [(doc_id, i // step, i // 4, min(step, len(ids) - i) // 4, zlib.crc32(ids[i:i + step]), *kept)
                          for i in range(0, len(ids), step)]
-            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
+            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", *keep])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text_or_empty().alias("text")).mapInPandas(
-        pieces, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    kind, *kinds = (docs.schema[c].dataType.simpleString() for c in ("doc_id", *keep))
+    return docs.select("doc_id", text_or_empty().alias("text"), *keep).mapInPandas(
+        pieces, ", ".join([f"doc_id {kind}, piece int, start long, length long, ids_crc32 long", *map(" ".join, zip(keep, kinds))]))
 
 
 # ---- the plan, on counts alone --------------------------------------------------------
@@ -286,23 +286,28 @@ def plan_runs(histogram: dict[int, int], capacity: int = CAPACITY,
 
 # ---- the pieces' places ---------------------------------------------------------------
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, salts: int | None = None) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, salts: int | None = None,
+         order: tuple[str, str] | None = None) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     A null or empty text is one piece holding ``END_ID`` alone. Repeated rows are packed
     each. Other columns are not read. An empty table gives an empty result.
+
+    ``order`` names two columns of the documents, a range and a place in it, by which they are to be read: pieces of one
+    length then go to sequences in that order, and sequences are numbered from 0 by the earliest document they hold.
+    As many sequences are used as without it.
     """
     spark = docs.sparkSession
     salts = salts or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    pieces = tokenized_pieces(docs, tokenizer, capacity).withColumn(
-        "salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)))
+    pieces = tokenized_pieces(docs, tokenizer, capacity, order or ()).withColumn(
+        "salt", F.col(order[0]) if order else F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)))
     pieces = cut(pieces, "pieces")
     # ranks within a length: the salts before a piece's own, and its place in its own
     part = pieces.groupBy("length", "salt").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     part = cut(part.select(F.col("length").alias("l"), F.col("salt").alias("s"), "n",
                            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "salts")
-    own = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
+    own = Window.partitionBy("length", "salt").orderBy(*(order or ())[1:], "doc_id", "piece", "ids_crc32")
     ranked = (pieces.withColumn("place", F.row_number().over(own) - 1)
               .join(part, (F.col("length") == F.col("l")) & (F.col("salt") == F.col("s")))
               .withColumn("rank", F.col("base") + F.col("place")))
@@ -311,9 +316,24 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, salts: int |
     plan = plan_runs(histogram, capacity)
     runs = spark.createDataFrame(plan, "run_length long, first long, count long, each long, sequence long, at long")
     runs = F.broadcast(runs) if len(plan) <= BROADCAST_RUNS else runs
-    return (ranked.join(runs, (F.col("length") == F.col("run_length")) & (F.col("rank") >= F.col("first"))
-                        & (F.col("rank") < F.col("first") + F.col("count")))
+    found = (ranked.join(runs, (F.col("length") == F.col("run_length")) & (F.col("rank") >= F.col("first"))
+                         & (F.col("rank") < F.col("first") + F.col("count")))
             .withColumn("step", F.col("rank") - F.col("first"))
-            .select("doc_id", "piece", "start", "length", "ids_crc32",
+            .select(*(order or ()), "doc_id", "piece", "start", "length", "ids_crc32",
                     (F.col("sequence") + F.floor(F.col("step") / F.col("each"))).cast("long").alias("sequence_id"),
                     (F.col("at") + F.pmod("step", "each") * F.col("length")).cast("long").alias("offset")))
+    return _numbered(cut(found, "packed"), *order) if order else found
+
+
+def _numbered(packed: DataFrame, part: str, place: str) -> DataFrame:
+    """``packed`` with its sequences numbered by the least (part, place) they hold: inside each part, after the parts before it."""
+    least = F.min(F.struct(part, place))
+    first = cut(packed.groupBy("sequence_id").agg(least.alias("f")).select(F.col("sequence_id").alias("s"), F.col(f"f.{part}").alias("p"),
+                                                                           F.col(f"f.{place}").alias("at")), "sequences")
+    before = Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)  # a row per part
+    base = first.groupBy("p").agg(F.count("*").alias("n")).select(
+        F.col("p").alias("q"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    inside = F.row_number().over(Window.partitionBy("p").orderBy("at", "s")) - 1
+    number = first.withColumn("i", inside).join(F.broadcast(base), F.col("p") == F.col("q")).select("s", (F.col("base") + F.col("i")).alias("number"))
+    return packed.join(number, F.col("sequence_id") == F.col("s")).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", F.col("number").alias("sequence_id"), "offset")

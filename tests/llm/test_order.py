@@ -236,3 +236,22 @@ def test_pipeline(spark, docs, rows, tmp_path):
     assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == pieces_of(before.values())
     check_packed(got)
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(got)
+
+
+def test_pipeline_packs_in_the_order_of_the_mixture(spark, tmp_path):
+    """Sequences are filled and numbered in the order of the rows, so another order gives other sequences."""
+    some, got = spark.createDataFrame([(i, "and " * (300 + i % 4 * 150)) for i in range(60)], "doc_id long, text string"), {}
+    for name, order in (("up", F.col("doc_id")), ("down", -F.col("doc_id"))):
+        path = f"{tmp_path}/{name}"
+        some.repartitionByRange(3, order).sortWithinPartitions(order).write.parquet(path)
+        found = corpus_pipeline.packed(spark, spark.read.parquet(path), str(tmp_path)).collect()
+        check_packed(found)
+        first = {}
+        for r in found:
+            at = r.doc_id if name == "up" else -r.doc_id
+            first[r.sequence_id] = min(at, first.get(r.sequence_id, at))
+        assert sorted(first) == list(range(len(first)))
+        assert [first[i] for i in sorted(first)] == sorted(first.values())
+        got[name] = {(r.doc_id, r.piece): r.sequence_id for r in found}
+    assert got["up"].keys() == got["down"].keys() and got["up"] != got["down"]
+    assert len(set(got["up"].values())) == len(set(got["down"].values()))
