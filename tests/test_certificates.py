@@ -138,3 +138,10 @@ def test_forest_rows_stay_where_they_are(spark):
 
 def test_fit_partitions_grow_with_the_rows():
     assert [TR.fit_partitions(n) for n in (0, 200_000, 600_000, 1_200_000, 7_200_000, 14_400_000)] == [4, 4, 12, 24, 24, 48]
+
+
+def test_forest_keeps_the_nodes_of_its_rows(train):
+    """The forest's rows are not taken down from the root at every level, and its trees are the same."""
+    est = TR.make_estimator("RandomForest", 400).setNumTrees(5)
+    assert est.getCacheNodeIds()
+    assert est.fit(train).toDebugString.split("\n", 1)[1] == est.setCacheNodeIds(False).fit(train).toDebugString.split("\n", 1)[1]
