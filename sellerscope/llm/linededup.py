@@ -217,20 +217,23 @@ def _verified(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, line) of the lines in ``ids``: a filter of FILTER_BITS bits, of fixed size, keeps nearly all others out of
-    the shuffle; the join after it is exact."""
-    bit = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
-    rows = ids.select(F.floor(bit / 32).cast("int").alias("w"), F.expr(f"shiftleft(1L, CAST(pmod(pmod(xxhash64(id), {FILTER_BITS}), 32) AS INT))").alias("m"))
-    words = np.zeros(FILTER_BITS // 32, np.int64)
+    """(id, line) of the lines in ``ids``: a filter of FILTER_BITS bits, of fixed size, keeps nearly all others in the
+    tasks that read them; the join after it is exact."""
+    bit = F.pmod(F.col("id"), F.lit(FILTER_BITS))  # ids are hashes
+    rows = ids.select(F.floor(bit / 32).cast("int").alias("w"), F.expr(f"shiftleft(1L, CAST(pmod(pmod(id, {FILTER_BITS}), 32) AS INT))").alias("m"))
+    words = np.zeros(FILTER_BITS // 32, np.uint32)
     for r in rows.groupBy("w").agg(F.bit_or("m").alias("m")).collect():  # FILTER_BITS / 32 rows at most
         words[r["w"]] = r["m"]
-    shared = docs.sparkSession.sparkContext.broadcast(words)
+    shared = docs.sparkSession.sparkContext.broadcast(words.astype("<u4").tobytes())
 
     def lines(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: set[int] = set()
+        wanted, seen = shared.value, set()
         for pdf in batches:
             rows, held = [], 0
             for row in _distinct_lines(pdf, seen):
+                at = row[0] % FILTER_BITS
+                if not wanted[at >> 3] >> (at & 7) & 1:
+                    continue
                 rows.append(row)
                 held += len(row[1])
                 if len(rows) >= FRAME or held >= FRAME_CHARACTERS:
@@ -238,8 +241,7 @@ def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
                     rows, held = [], 0
             yield pd.DataFrame(rows, columns=["id", "line"]).astype({"id": "int64"})
 
-    kept = F.pandas_udf(lambda b: pd.Series((shared.value[b // 32] >> (b % 32)) & 1 == 1), "boolean")
-    found = docs.select("text").mapInPandas(lines, "id long, line string").where(kept(bit))
+    found = docs.select("text").mapInPandas(lines, "id long, line string")
     return found.join(ids.select(F.col("id").alias("i")), F.col("id") == F.col("i"), "left_semi").groupBy("id").agg(F.min("line").alias("line"))
 
 

@@ -233,3 +233,14 @@ def test_line_groups(spark, docs, rows):
 
 def test_no_lines(empty):
     assert linededup.line_groups(empty).count() == 0
+
+
+def test_texts_of_candidates(spark):
+    """Only the wanted lines leave the task that reads them, once each, whatever their hash's sign."""
+    lines = [f"line number {i} of many" for i in range(300)]
+    df = spark.createDataFrame([(i, "\n".join(lines[i:i + 3] + ["short"])) for i in range(298)] + [(999, None)], "doc_id long, text string")
+    wanted = {linededup.line_hash(x): x for x in lines[::7]}
+    assert min(wanted) < 0 < max(wanted)
+    got = linededup.texts_of(df, spark.createDataFrame([(h,) for h in wanted], "id long"))
+    assert {r.id: r.line for r in got.collect()} == wanted and got.count() == len(wanted)
+    assert "ArrowEvalPython" not in got._jdf.queryExecution().executedPlan().toString()  # a second Python process per task
