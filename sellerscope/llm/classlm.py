@@ -86,10 +86,16 @@ def encode(texts: DataFrame, ids: dict[bytes, int]) -> DataFrame:
 
     def states(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, end = shared.value, tails + TAILS
+
+        def one(text: str) -> bytes:
+            words = words_of(text)
+            found = list(map(known.get, words))
+            if None in found:
+                found = [tails + tail_of(w) if i is None else i for w, i in zip(words, found)]
+            return np.array([end, *found, end], np.int32).tobytes()
+
         for pdf in batches:
-            yield pd.DataFrame({"states": [
-                np.array([end, *[known[w] if w in known else tails + tail_of(w) for w in words_of(text)], end], np.int32).tobytes()
-                for text in pdf["text"]]})
+            yield pd.DataFrame({"states": [one(text) for text in pdf["text"]]})
 
     return texts.select("text").mapInPandas(states, "states binary")
 
@@ -332,40 +338,49 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
         m = shipped(shared)
         base = np.log10(m.tokens + m.types + 1)
         row = TaskContext.get().partitionId() << 40
-        end_known, memo = int(m.tokens > 0), {}
+        end_known, ends = int(m.tokens > 0), np.log10(m.texts + 1) - base
 
-        def entry(w: bytes) -> tuple[int, float, float, bool]:
-            """Class, base and inner log probability, and whether the counts are known here."""
-            c, t = m.count.get(w), tail_of(w)
-            if c is None:
-                return m.first_tail + t, 0.0, 0.0, False
+        def entry(w: bytes, c: int) -> tuple[int, float, float]:
+            """Class, base and inner log probability."""
             if w in m.of:
-                return m.of[w], np.log10(c + 1) - base, m.inside[w], True
+                return m.of[w], np.log10(c + 1) - base, m.inside[w]
+            t = tail_of(w)
             n, _, discount = m.tail[t]
-            return m.first_tail + t, np.log10(c + 1) - base, np.log10((c - discount) / n), True
+            return m.first_tail + t, np.log10(c + 1) - base, np.log10((c - discount) / n)
 
-        for w in m.count:
-            memo[w] = entry(w)
+        # the words' numbers; those of a tail whose counts are not here follow
+        place, unseen = {w: i for i, w in enumerate(m.count)}, len(m.count)
+        known = [entry(w, c) for w, c in m.count.items()] + [(m.first_tail + t, 0.0, 0.0) for t in range(TAILS)]
+        of, word_base, inside = (np.array(x) for x in zip(*known))
         for pdf in batches:
-            out = []
+            docs, rows, tokens, rares, sums, scores = [], [], [], [], [], []
+            rare_row, rare_word, rare_times = [], [], []
             for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
                 words = words_of(text)
                 row += 1
-                rare: Counter[bytes] = Counter()
-                found = []
-                for w in words:
-                    e = memo.get(w)
-                    if e is None:
-                        rare[w] += 1
-                        e = (m.first_tail + tail_of(w), 0.0, 0.0, False)
-                    found.append(e)
-                cls, b, s, _ = zip(*found) if found else ((), (), (), ())
-                state = np.array([m.end, *cls, m.end])
-                ends = np.log10(m.texts + 1) - base
-                out.append((row, doc_id, None, 0, len(words) + 1, len(words) - rare.total() + end_known, sum(b) + ends,
-                            float(m.move[state[:-1], state[1:]].sum()) + sum(s)))
-                out += [(row, None, w.decode(), n, 0, 0, 0.0, 0.0) for w, n in rare.items()]
-            yield pd.DataFrame(out, columns=["row", "doc_id", "word", "times", "n_tokens", "n_known", "base", "score"])
+                found = list(map(place.get, words))
+                rare = 0
+                if None in found:
+                    more = Counter(w for w, i in zip(words, found) if i is None)
+                    found = [unseen + tail_of(w) if i is None else i for w, i in zip(words, found)]
+                    rare = more.total()
+                    rare_row += [row] * len(more)
+                    rare_word += [w.decode() for w in more]
+                    rare_times += more.values()
+                at = np.array(found, np.int64)
+                state = np.concatenate(([m.end], of[at], [m.end]))
+                docs.append(doc_id)
+                rows.append(row)
+                tokens.append(len(words) + 1)
+                rares.append(rare)
+                sums.append(float(word_base[at].sum()) + ends)
+                scores.append(float(m.move[state[:-1], state[1:]].sum()) + float(inside[at].sum()))
+            n, k = np.array(tokens, np.int64), np.array(rares, np.int64)
+            yield pd.DataFrame({"row": rows, "doc_id": pd.Series(docs, dtype=pdf["doc_id"].dtype), "word": None, "times": 0, "n_tokens": n,
+                                "n_known": n - 1 - k + end_known, "base": sums, "score": scores})
+            if rare_row:
+                yield pd.DataFrame({"row": rare_row, "doc_id": None, "word": rare_word, "times": rare_times, "n_tokens": 0, "n_known": 0,
+                                    "base": 0.0, "score": 0.0})
 
     parts = cut(texts.mapInPandas(look_up, f"row long, doc_id {kind}, word string, times long, n_tokens long, "
                                            "n_known long, base double, score double"), "parts")
