@@ -11,6 +11,11 @@ most two bits, goes with every key and drops most chance meetings inside the joi
 left is verified by a banded bit-parallel edit distance. Only hashes are shuffled; the texts
 of candidate lines are fetched afterwards.
 
+A segment that more than ``MEETING`` lines have is no key by itself. The segment that stays unchanged can be
+chosen so that at most as many edits lie before it as segments do, and likewise behind it; both rests are cut again
+by the edits they may hold, and the lines meet under the segment together with the pieces that stay unchanged in the
+rests, and so on down to ``DEEPEST`` cuts.
+
 The earliest line of each group of linked classes stays; blank lines always stay.
 """
 
@@ -18,6 +23,7 @@ from __future__ import annotations
 
 from array import array
 from collections.abc import Iterable, Iterator
+from itertools import product
 
 import numpy as np
 import pandas as pd
@@ -30,6 +36,8 @@ from sellerscope.llm.common import WHITE, connected_components, cut
 DISTANCE, LEAST, WIDE = 2, 12, 40
 #: line hashes a task remembers, rows or characters of a frame that it hands on, and bits of the filter of candidate lines
 MEMO, FRAME, FRAME_CHARACTERS, FILTER_BITS = 200_000, 50_000, 4_000_000, 1 << 23
+#: lines up to which a segment is a key by itself, so that a probe meets no more of them; cuts of what lies beside a segment that more have
+MEETING, DEEPEST = 32, 4
 
 
 def threshold(length: int) -> int:
@@ -209,6 +217,44 @@ def _keys(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield out()
 
 
+def _open(line: str, key: int, index: bool) -> Iterator[list[tuple[int, int, int, int]]]:
+    """What lies beside the keys of ``line`` that are ``key``: (start, end, the index line's length there, edits it may hold)."""
+    for s, e, seed, bits in _plan(len(line)):
+        if (bits >= 0) == index and xxhash.xxh64_intdigest(line[s:e], seed) - (1 << 63) == key:
+            other, i = divmod(seed, 8)
+            at, n = segments(other, t := threshold(other))[i]
+            yield [(0, s, at, i), (e, len(line), other - at - n, t - i)]
+
+
+def _pieces(line: str, rest: tuple[int, int, int, int], index: bool) -> Iterator[tuple[str, list[tuple[int, int, int, int]]]]:
+    """(text that stays unchanged, rests beside it) for each piece of a rest; a rest that may hold no edit is part of that text."""
+    s, e, m, edits = rest
+    own = segments(m, edits)
+    for j, at, n in [(j, *x) for j, x in enumerate(own)] if index else probes(e - s, m, edits):
+        before, behind = (s, s + at, own[j][0], j), (s + at + n, e, m - own[j][0] - n, edits - j)
+        if all(x[3] or x[1] - x[0] == x[2] for x in (before, behind)):
+            first, last = s if not j else s + at, e if j == edits else s + at + n
+            yield f"{j}{line[first:last]}", [x for x in (before, behind) if x[3]]
+
+
+def _finer(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The keys below each key (of an index line where bits >= 0), with the rests that are still open."""
+    names = ["key", "id", "map", "bits", "rests"]
+    for pdf in batches:
+        rows = []
+        for key, h, parity_map, bits, rests, line in zip(*(pdf[c] for c in (*names, "line"))):
+            index = bits >= 0
+            states = _open(line, key, index) if rests is None else [list(zip(*[iter(rests)] * 4))]
+            for state in states:
+                for chosen in product(*(list(_pieces(line, x, index)) for x in state)):
+                    finer = xxhash.xxh64_intdigest("\n".join([str(key), *(text for text, _ in chosen)])) - (1 << 63)
+                    rows.append((finer, h, parity_map, bits, [int(y) for _, left in chosen for x in left for y in x]))
+                if len(rows) >= FRAME:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows = []
+        yield pd.DataFrame(rows, columns=names)
+
+
 def _verified(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         d = [within(a, b, threshold(min(len(a), len(b)))) for a, b in zip(pdf["line_a"], pdf["line_b"])]
@@ -245,17 +291,36 @@ def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return found.join(ids.select(F.col("id").alias("i")), F.col("id") == F.col("i"), "left_semi").groupBy("id").agg(F.min("line").alias("line"))
 
 
-def links(docs: DataFrame) -> DataFrame:
-    """(a, b, distance): all linked pairs of classes, a < b."""
-    keys = cut(docs.select("text").mapInPandas(_keys, "key long, id long, map long, bits tinyint"), "keys")
-    index = keys.where("bits >= 0")
+def _crowded(keys: DataFrame) -> DataFrame:
+    return keys.where("bits >= 0").groupBy(F.col("key").alias("crowd")).agg(F.count("*").alias("n")).where(F.col("n") > MEETING).select("crowd")
+
+
+def _met(keys: DataFrame, crowded: DataFrame) -> DataFrame:
+    """(a, b), a < b: lines that meet under a key that is not crowded."""
+    index = keys.where("bits >= 0").join(crowded, F.col("key") == F.col("crowd"), "left_anti")
     probe = keys.where("bits < 0").select(F.col("key").alias("k"), F.col("id").alias("p"), F.col("map").alias("pm"))
     pairs = index.join(probe, (F.col("key") == F.col("k")) & (F.col("id") != F.col("p"))
                        & (F.bit_count(F.col("map").bitwiseXOR(F.col("pm"))) <= F.col("bits")))
-    pairs = cut(pairs.select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct(), "pairs")
-    ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
+    return pairs.select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct()
+
+
+def links(docs: DataFrame) -> DataFrame:
+    """(a, b, distance): all linked pairs of classes, a < b."""
+    keys = cut(docs.select("text").mapInPandas(_keys, "key long, id long, map long, bits tinyint"), "keys")
+    crowded = cut(_crowded(keys), "crowded")
+    pairs = cut(_met(keys, crowded), "pairs")
+    there = F.col("key") == F.col("crowd")
+    crowd = cut(keys.join(crowded, there, "left_semi").distinct().withColumn("rests", F.lit(None).cast("array<int>")), "crowd")
+    ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).union(crowd.select("id")).distinct(), "ids")
     line = cut(texts_of(docs, ids), "candidates")
-    full = (pairs.join(line.select(F.col("id").alias("a"), F.col("line").alias("line_a")), "a")
+    for depth in range(1, DEEPEST + 1):
+        if crowd.isEmpty():
+            break
+        crowd = cut(crowd.join(line, "id").mapInPandas(_finer, "key long, id long, map long, bits tinyint, rests array<int>").distinct(), "finer")
+        crowded = cut(_crowded(crowd) if depth < DEEPEST else crowded.limit(0), "crowded")
+        pairs = pairs.union(cut(_met(crowd, crowded), "pairs"))
+        crowd = cut(crowd.join(crowded, there, "left_semi"), "crowd")
+    full = (pairs.distinct().join(line.select(F.col("id").alias("a"), F.col("line").alias("line_a")), "a")
             .join(line.select(F.col("id").alias("b"), F.col("line").alias("line_b")), "b"))
     return cut(full.select("a", "b", "line_a", "line_b").mapInPandas(_verified, "a long, b long, distance long"), "links")
 

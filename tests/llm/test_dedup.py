@@ -231,6 +231,30 @@ def test_line_groups(spark, docs, rows):
     assert texts == {i: "\n".join(x) for i, x in wanted.items()}
 
 
+def test_common_passage(spark, monkeypatch):
+    """Very many lines that share a passage, and the characters of their ends, meet few others; no link is lost."""
+    rng, made = random.Random(8), []
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(60)).strip() + "."
+    lines = []
+    for side in range(3):  # before, behind and around the rest
+        for _ in range(120):
+            rest = list("the quick brown fox jumps over")
+            rng.shuffle(rest)
+            rest = "".join(rest).replace(" ", "_")
+            lines.append((rest + passage, passage + rest, rest[:15] + passage + rest[15:])[side])
+    lines += [changed(rng, x, 2) for x in lines[::6]]
+    lines += [f"{passage[:44]} of {i:03} items" for i in range(60)]
+    lines = sorted(set(lines))
+    near = {(linededup.line_hash(x), linededup.line_hash(y)) for k, x in enumerate(lines) for y in lines[:k]
+            if abs(len(x) - len(y)) <= 2 and linededup.within(x, y) is not None}
+    write = linededup.cut
+    monkeypatch.setattr(linededup, "cut", lambda df, name: [made.append((name, (out := write(df, name)).count())), out][1])
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string")
+    got = linededup.links(df).collect()
+    assert {(r.a, r.b) for r in got} == {(min(x), max(x)) for x in near} and len(got) == len(near)
+    assert sum(n for name, n in made if name == "pairs") < len(near) + 20 * len(lines)
+
+
 def test_no_lines(empty):
     assert linededup.line_groups(empty).count() == 0
 
