@@ -255,3 +255,16 @@ def test_pipeline_packs_in_the_order_of_the_mixture(spark, tmp_path):
         got[name] = {(r.doc_id, r.piece): r.sequence_id for r in found}
     assert got["up"].keys() == got["down"].keys() and got["up"] != got["down"]
     assert len(set(got["up"].values())) == len(set(got["down"].values()))
+
+
+def test_words_a_worker_keeps():
+    """The memory of ids is bounded, below what an executor with two workers has beside its heap, and gives the tokenizer's ids."""
+    from tokenizers import Tokenizer
+    encode = packing.TokenIds(PATH)
+    text = " ".join(f"a{i:x}b" if i % 3 else "".join(chr(97 + i // 26 ** k % 26) for k in range(4)) + "." for i in range(130_000))
+    plain = Tokenizer.from_file(PATH)
+    for part in (text, text[-2_000:], text[:2_000]):
+        ids = encode(part)
+        assert len(encode.words) + len(encode.words.older) <= 100_000
+        if len(part) < 3_000:
+            assert ids == b"".join(i.to_bytes(4, "little") for i in plain.encode(part, add_special_tokens=False).ids)
