@@ -14,7 +14,9 @@ of candidate lines are fetched afterwards.
 A segment that more than ``MEETING`` lines have is no key by itself. The segment that stays unchanged can be
 chosen so that at most as many edits lie before it as segments do, and likewise behind it; both rests are cut again
 by the edits they may hold, and the lines meet under the segment together with the pieces that stay unchanged in the
-rests, and so on down to ``DEEPEST`` cuts.
+rests, and so on until few lines have a key or no rest holds more characters than edits. A parity map of the pairs of
+neighbouring characters, of which an edit changes at most four bits, goes with these keys as well: lines that differ by
+whole words have much the same characters, but not the same pairs.
 
 The earliest line of each group of linked classes stays; blank lines always stay.
 """
@@ -36,8 +38,8 @@ from sellerscope.llm.common import WHITE, connected_components, cut
 DISTANCE, LEAST, WIDE = 2, 12, 40
 #: line hashes a task remembers, rows or characters of a frame that it hands on, and bits of the filter of candidate lines
 MEMO, FRAME, FRAME_CHARACTERS, FILTER_BITS = 200_000, 50_000, 4_000_000, 1 << 23
-#: lines up to which a segment is a key by itself, so that a probe meets no more of them; cuts of what lies beside a segment that more have
-MEETING, DEEPEST = 32, 4
+#: lines up to which a segment is a key by itself, so that a probe meets no more of them
+MEETING = 32
 
 
 def threshold(length: int) -> int:
@@ -75,6 +77,12 @@ def parity(line: str) -> int:
     return int(np.bitwise_xor.reduce(np.int64(1) << (codes % 61).astype(np.int64)))
 
 
+def pair_parity(line: str) -> int:
+    """A bit per class of pairs of neighbouring characters, set if the line has an odd number of them."""
+    codes = np.frombuffer(line.encode("utf-32-le"), np.uint32).astype(np.int64)
+    return int(np.bitwise_xor.reduce(np.int64(1) << ((codes[:-1] * 7919 + codes[1:]) % 61)))
+
+
 def within(a: str, b: str, distance: int = DISTANCE) -> int | None:
     """The edit distance of a and b if it is at most ``distance``: bit vectors of a band of 2 * distance + 1.
 
@@ -227,28 +235,29 @@ def _open(line: str, key: int, index: bool) -> Iterator[list[tuple[int, int, int
 
 
 def _pieces(line: str, rest: tuple[int, int, int, int], index: bool) -> Iterator[tuple[str, list[tuple[int, int, int, int]]]]:
-    """(text that stays unchanged, rests beside it) for each piece of a rest; a rest that may hold no edit is part of that text."""
+    """(text that stays unchanged, rests beside it to be cut) for each piece of a rest; a rest that may hold no edit is part of that text."""
     s, e, m, edits = rest
     own = segments(m, edits)
     for j, at, n in [(j, *x) for j, x in enumerate(own)] if index else probes(e - s, m, edits):
         before, behind = (s, s + at, own[j][0], j), (s + at + n, e, m - own[j][0] - n, edits - j)
         if all(x[3] or x[1] - x[0] == x[2] for x in (before, behind)):
             first, last = s if not j else s + at, e if j == edits else s + at + n
-            yield f"{j}{line[first:last]}", [x for x in (before, behind) if x[3]]
+            # a rest of no more characters than edits is not cut: nearly all lines that agree beside it are linked
+            yield f"{j}{line[first:last]}", [x for x in (before, behind) if 0 < x[3] < x[2]]
 
 
 def _finer(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The keys below each key (of an index line where bits >= 0), with the rests that are still open."""
-    names = ["key", "id", "map", "bits", "rests"]
+    """The keys below each key (of an index line where bits >= 0), with the rests that are still to be cut, and the map of pairs."""
+    names = ["key", "id", "map", "bits", "rests", "pair_map"]
     for pdf in batches:
         rows = []
-        for key, h, parity_map, bits, rests, line in zip(*(pdf[c] for c in (*names, "line"))):
-            index = bits >= 0
+        for key, h, parity_map, bits, rests, line in zip(*(pdf[c] for c in (*names[:-1], "line"))):
+            index, pair_map = bits >= 0, pair_parity(line)
             states = _open(line, key, index) if rests is None else [list(zip(*[iter(rests)] * 4))]
             for state in states:
                 for chosen in product(*(list(_pieces(line, x, index)) for x in state)):
                     finer = xxhash.xxh64_intdigest("\n".join([str(key), *(text for text, _ in chosen)])) - (1 << 63)
-                    rows.append((finer, h, parity_map, bits, [int(y) for _, left in chosen for x in left for y in x]))
+                    rows.append((finer, h, parity_map, bits, [int(y) for _, left in chosen for x in left for y in x], pair_map))
                 if len(rows) >= FRAME:
                     yield pd.DataFrame(rows, columns=names)
                     rows = []
@@ -298,10 +307,12 @@ def _crowded(keys: DataFrame) -> DataFrame:
 def _met(keys: DataFrame, crowded: DataFrame) -> DataFrame:
     """(a, b), a < b: lines that meet under a key that is not crowded."""
     index = keys.where("bits >= 0").join(crowded, F.col("key") == F.col("crowd"), "left_anti")
-    probe = keys.where("bits < 0").select(F.col("key").alias("k"), F.col("id").alias("p"), F.col("map").alias("pm"))
-    pairs = index.join(probe, (F.col("key") == F.col("k")) & (F.col("id") != F.col("p"))
-                       & (F.bit_count(F.col("map").bitwiseXOR(F.col("pm"))) <= F.col("bits")))
-    return pairs.select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct()
+    probe = keys.where("bits < 0").select(*[F.col(c).alias(f"p_{c}") for c in keys.columns if c not in ("bits", "rests")])
+    near = F.bit_count(F.col("map").bitwiseXOR(F.col("p_map"))) <= F.col("bits")
+    if "pair_map" in keys.columns:
+        near &= F.bit_count(F.col("pair_map").bitwiseXOR(F.col("p_pair_map"))) <= 2 * F.col("bits").cast("int")
+    pairs = index.join(probe, (F.col("key") == F.col("p_key")) & (F.col("id") != F.col("p_id")) & near)
+    return pairs.select(F.least("id", "p_id").alias("a"), F.greatest("id", "p_id").alias("b")).distinct()
 
 
 def links(docs: DataFrame) -> DataFrame:
@@ -313,13 +324,12 @@ def links(docs: DataFrame) -> DataFrame:
     crowd = cut(keys.join(crowded, there, "left_semi").distinct().withColumn("rests", F.lit(None).cast("array<int>")), "crowd")
     ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).union(crowd.select("id")).distinct(), "ids")
     line = cut(texts_of(docs, ids), "candidates")
-    for depth in range(1, DEEPEST + 1):
-        if crowd.isEmpty():
-            break
-        crowd = cut(crowd.join(line, "id").mapInPandas(_finer, "key long, id long, map long, bits tinyint, rests array<int>").distinct(), "finer")
-        crowded = cut(_crowded(crowd) if depth < DEEPEST else crowded.limit(0), "crowded")
+    while not crowd.isEmpty():  # every cut leaves shorter rests
+        crowd = cut(crowd.join(line, "id").mapInPandas(_finer, "key long, id long, map long, bits tinyint, rests array<int>, pair_map long").distinct(), "finer")
+        # lines under one key have rests of the same index lengths and edits: all of them are cut again, or none
+        crowded = cut(_crowded(crowd.where("size(rests) > 0")), "crowded")
         pairs = pairs.union(cut(_met(crowd, crowded), "pairs"))
-        crowd = cut(crowd.join(crowded, there, "left_semi"), "crowd")
+        crowd = cut(crowd.drop("pair_map").join(crowded, there, "left_semi"), "crowd")
     full = (pairs.distinct().join(line.select(F.col("id").alias("a"), F.col("line").alias("line_a")), "a")
             .join(line.select(F.col("id").alias("b"), F.col("line").alias("line_b")), "b"))
     return cut(full.select("a", "b", "line_a", "line_b").mapInPandas(_verified, "a long, b long, distance long"), "links")

@@ -255,6 +255,36 @@ def test_common_passage(spark, monkeypatch):
     assert sum(n for name, n in made if name == "pairs") < len(near) + 20 * len(lines)
 
 
+def test_near_copies_of_a_line(spark, monkeypatch):
+    """Lines that are one long line but for some words meet few others, however many they are; no link is lost."""
+    rng, made = random.Random(9), []
+    words = ["".join(rng.choice("etaoinshr") for _ in range(4)) for _ in range(70)]
+    lines = []
+    for _ in range(400):
+        own = list(words)
+        for _ in range(rng.randrange(1, 4)):
+            own[rng.randrange(70)] = rng.choice(words)
+        lines.append(" ".join(own))
+    lines += [changed(rng, x, 2) for x in lines[::8]]
+    lines = sorted(set(lines))
+    near = {(linededup.line_hash(x), linededup.line_hash(y)) for k, x in enumerate(lines) for y in lines[:k]
+            if abs(len(x) - len(y)) <= 2 and linededup.within(x, y) is not None}
+    write = linededup.cut
+    monkeypatch.setattr(linededup, "cut", lambda df, name: [made.append((name, (out := write(df, name)).count())), out][1])
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string")
+    got = linededup.links(df).collect()
+    assert {(r.a, r.b) for r in got} == {(min(x), max(x)) for x in near} and len(got) == len(near) > 50
+    assert sum(n for name, n in made if name == "pairs") < len(near) + 16 * len(lines)
+
+
+def test_map_of_pairs():
+    rng = random.Random(10)
+    for _ in range(2000):
+        a = "".join(rng.choice("abc") for _ in range(rng.randint(0, 14)))
+        b = changed(rng, a, 2)
+        assert (linededup.pair_parity(a) ^ linededup.pair_parity(b)).bit_count() <= 4 * distance(a, b)
+
+
 def test_no_lines(empty):
     assert linededup.line_groups(empty).count() == 0
 
