@@ -45,6 +45,24 @@ def test_activity_matches_pandas_with_hot_seller(orders_items):
     assert got.loc[0, "total_items_sold"] > 2500  # the hot seller is really there
 
 
+def test_orders_of_more_customers(spark):
+    """Repeated orders with other or no customers count once; the figures of an order are not gathered as sets."""
+    orders = [(1, 10), (1, 11), (1, 12), (1, 11), (2, None), (2, 10), (3, None), (4, 13)]
+    so = spark.createDataFrame([(o, c, "delivered", datetime(2020, 1, o)) for o, c in orders],
+                               "order_id long, customer_id long, order_status string, order_purchase_timestamp timestamp_ntz")
+    si = spark.createDataFrame([(1, 7, 1.25), (1, 7, 2.5), (2, 7, None), (3, 7, 4.0), (4, 8, 0.1), (3, None, 5.0)],
+                               "order_id long, seller_id long, price double").selectExpr("*", "price AS freight_value")
+    act = master.seller_activity(master.completed_items(si, so))
+    got = {r.seller_id: r for r in act.collect()}
+    assert set(got) == {7, 8, None}
+    r = got[7]
+    assert (r.total_orders, r.unique_customers, r.total_items_sold, r.total_gmv) == (3, 3, 11, 19.0)
+    assert r.std_order_value == pytest.approx(np.std([1.25] * 4 + [2.5] * 4 + [4.0], ddof=1))
+    assert (r.first_sale_date, r.last_sale_date) == (datetime(2020, 1, 1), datetime(2020, 1, 3))
+    assert (got[8].total_orders, got[8].std_order_value, got[None].unique_customers) == (1, None, 0)
+    assert "ObjectHashAggregate" not in act._jdf.queryExecution().executedPlan().toString()
+
+
 def test_std_edge_cases(spark):
     df = spark.createDataFrame([(1, 10.0), (2, 5.25), (2, 5.25), (2, 5.25), (3, 1.0), (3, 3.0)],
                                "seller_id long, price double")
